@@ -9,8 +9,8 @@ sort-merge join whose skewed partitions AQE splits.
 ``max_km``; ties go to the smallest site key. Sites are first reduced to one
 row per distinct location (the smallest key wins there); that aggregate is
 partial + final, so a location shared by a large share of the sites collapses
-map-side. Then the number of distinct locations is counted (a one-number
-action) and decides the plan:
+map-side. The locations are persisted, counted (a one-number action), and
+the count decides the plan:
 
 - up to ``fold_limit`` locations: the locations become one key-sorted array,
   attached to every point as an uncorrelated scalar subquery, and each point
@@ -29,6 +29,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -105,7 +106,10 @@ def nearest_site(
     searches the whole sphere. ``point_id`` (a unique column) is needed only
     when the distinct site locations exceed ``fold_limit``.
     """
-    locations = site_locations(sites, site_key, site_lat, site_lon, site_cols)
+    # Persisted once: the size check and the search both read it instead of
+    # re-running the de-duplication. Lost blocks are recomputed from the short
+    # lineage (scan, aggregate), so an executor loss costs time, not results.
+    locations = site_locations(sites, site_key, site_lat, site_lon, site_cols).persist(StorageLevel.MEMORY_AND_DISK)
     key_out = site_key_as or site_key
     n_locations = locations.count()
     if n_locations <= fold_limit:
@@ -142,8 +146,13 @@ def _nearest_by_fold(points: DataFrame, locations: DataFrame, point_lat: str, po
     # Uncorrelated scalar subquery: computed once, then a constant of the plan.
     # Per-point radians and cosine are computed once, outside the fold.
     p_phi = F.radians(ref(point_lat).cast("double"))
-    staged = points.withColumn("_sites", table.scalar()).withColumns(
-        {"_pphi": p_phi, "_plam": F.radians(ref(point_lon).cast("double")), "_pcos": F.cos(p_phi)}
+    keep = [ref(c) for c in points.columns]
+    staged = points.select(
+        *keep,
+        table.scalar().alias("_sites"),
+        p_phi.alias("_pphi"),
+        F.radians(ref(point_lon).cast("double")).alias("_plam"),
+        F.cos(p_phi).alias("_pcos"),
     )
     arr = F.col("_sites")
     # (a, position) per location: ``a`` ranks like the distance, and position
@@ -156,12 +165,12 @@ def _nearest_by_fold(points: DataFrame, locations: DataFrame, point_lat: str, po
             i.alias("i"),
         ),
     )
-    # The fold runs once, in its own projection; later columns only read it.
-    folded = staged.withColumn("_w", F.array_min(scored))
-    folded = folded.withColumn("_d", km_of_haversine(F.col("_w.a"), radius))
-    in_range = F.col("_d") < max_km if max_km is not None else F.col("_d").isNotNull()
-    best = F.when(in_range, F.struct(F.col("_d").alias("d"), F.get(arr, F.col("_w.i"))["site"].alias("site")))
-    return folded.withColumn("_best", best).drop("_sites", "_pphi", "_plam", "_pcos", "_w", "_d")
+    # The fold runs once, in its own projection; the next one only reads it.
+    folded = staged.select(*keep, arr, F.array_min(scored).alias("_w"))
+    d = km_of_haversine(F.col("_w.a"), radius)
+    in_range = d < max_km if max_km is not None else d.isNotNull()
+    best = F.when(in_range, F.struct(d.alias("d"), F.get(arr, F.col("_w.i"))["site"].alias("site")))
+    return folded.select(*keep, best.alias("_best"))
 
 
 def _unit_xyz(lat: Column, lon: Column) -> list[Column]:

@@ -230,12 +230,21 @@ def _period(period: str) -> Column:
 
 
 def _mean_by(df: DataFrame, key: Column | str, key_name: str, digits: int | None, with_count: bool) -> DataFrame:
+    """Mean distance per key, smallest first; or, ``with_count``, mean and
+    count per non-null key, most incidents first.
+
+    The null key is dropped by ``HAVING count(key) > 0`` rather than by a
+    filter on the key: a filter on the key would be pushed below the
+    projection that computes it and re-evaluate that (possibly costly)
+    expression; a condition on an aggregate has to stay above the aggregate.
+    """
     aggs = [_rounded(F.avg("distance"), digits).alias("avg(distance)")]
     if with_count:
-        aggs.append(F.count(F.lit(1)).alias("count"))
+        aggs += [F.count(F.lit(1)).alias("count"), F.count(key).alias("_keyed")]
     out = df.groupBy(key).agg(*aggs)
     if with_count:
-        return out.filter(F.col(f"`{key_name}`").isNotNull()).orderBy(F.desc("count"), F.asc(f"`{key_name}`"))
+        out = out.filter(F.col("_keyed") > 0).drop("_keyed")
+        return out.orderBy(F.desc("count"), F.asc(f"`{key_name}`"))
     return out.orderBy(F.asc("avg(distance)"), F.asc(f"`{key_name}`"))
 
 
