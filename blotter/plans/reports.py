@@ -271,7 +271,8 @@ def assigned_distance_by_area(crimes: DataFrame, stations: DataFrame, digits: in
 def nearest_stations(crimes: DataFrame, stations: DataFrame, max_km: float | None = 1000.0, **search) -> DataFrame:
     """Firearm incidents with their nearest station (``AREA NAME`` = its
     division) and the distance; null when no station is within ``max_km``."""
-    fired = firearm_incidents(crimes)
+    point_id = search.get("point_id")
+    fired = firearm_incidents(crimes, extra=(point_id,) if point_id else ())
     sites = station_sites(stations)
     found = nearest_site(
         fired, sites, "LAT", "LON", "AREA", "Y", "X", site_cols=("DIVISION",), max_km=max_km,
