@@ -37,7 +37,9 @@ from blotter.functions.geo import EARTH_RADIUS_KM, haversine_km, haversine_term,
 from blotter.functions.typed import ref
 from blotter.session import checkpoint_dir
 
-DEFAULT_FOLD_LIMIT = 4096
+# Above this many distinct site locations the per-point fold (cost: one
+# haversine term per location per point) gives way to the grid search.
+DEFAULT_FOLD_LIMIT = 512
 
 
 def assigned_site(

@@ -11,6 +11,7 @@ from blotter.plans.reports import (
     nearest_distance_by_site,
     nearest_stations,
     row_count,
+    schema_rows,
     street_parts_of_day,
     street_parts_of_day_text,
     top_months,
@@ -28,6 +29,7 @@ __all__ = [
     "nearest_distance_by_site",
     "nearest_stations",
     "row_count",
+    "schema_rows",
     "street_parts_of_day",
     "street_parts_of_day_text",
     "top_months",

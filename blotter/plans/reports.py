@@ -6,7 +6,7 @@ per column when the plan is built. Results use the report column names.
 
 | Report | Function |
 |---|---|
-| Q0 base dataset and its row count | ``base_dataset``, ``row_count`` |
+| Q0 base dataset, its row count and schema | ``base_dataset``, ``row_count``, ``schema_rows`` |
 | Q1 top months per year (DataFrame / SQL) | ``top_months``, ``top_months_sql`` |
 | Q2 street incidents by part of day (columns / text lines) | ``street_parts_of_day``, ``street_parts_of_day_text`` |
 | Q3 victims by descent in the richest and poorest areas | ``descent_in_income_extremes`` |
@@ -53,6 +53,16 @@ def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
+def schema_rows(df: DataFrame) -> DataFrame:
+    """The schema of ``df`` as a table (name, type, nullable), in column order.
+
+    Built from plan metadata on the driver; no data is read.
+    """
+    fields = [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(df.schema.fields)]
+    table = df.sparkSession.createDataFrame(fields, "position int, name string, type string, nullable boolean")
+    return table.orderBy("position").drop("position")
+
+
 # --------------------------------------------------------------------- Q1
 
 
@@ -74,7 +84,7 @@ def top_months(crimes: DataFrame, n: int = 3, date_col: str = "Date Rptd") -> Da
 TOP_MONTHS_SQL = """
 WITH monthly AS (
     SELECT year(d) AS Year, month(d) AS Month, count(*) AS TotalCrimes
-    FROM {dated}
+    FROM {source}
     GROUP BY year(d), month(d)
 ), numbered AS (
     SELECT Year, Month, TotalCrimes,
@@ -88,13 +98,21 @@ WHERE pick <= {n}
 """
 
 
-def top_months_sql(crimes: DataFrame, n: int = 3, date_col: str = "Date Rptd") -> DataFrame:
+def top_months_sql(crimes: DataFrame, n: int = 3, date_col: str = "Date Rptd", view: str | None = None) -> DataFrame:
     """SQL form of ``top_months``: picks by row number, then reports the
     RANK among the picked rows (tied months share a rank).
     Columns: Year, Month, TotalCrimes, Rank.
+
+    The typed dates (one column ``d``) are queried through a temporary view:
+    ``view`` names it (it stays registered for other SQL); by default the
+    DataFrame is bound to the statement without a lasting name.
     """
     dated = crimes.select(as_date(crimes, date_col).alias("d"))
-    return crimes.sparkSession.sql(TOP_MONTHS_SQL, dated=dated, n=int(n))
+    spark = crimes.sparkSession
+    if view is None:
+        return spark.sql(TOP_MONTHS_SQL.replace("{n}", str(int(n))), source=dated)
+    dated.createOrReplaceTempView(view)
+    return spark.sql(TOP_MONTHS_SQL.replace("{source}", f"`{view}`").replace("{n}", str(int(n))))
 
 
 # --------------------------------------------------------------------- Q2

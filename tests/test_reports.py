@@ -48,6 +48,9 @@ def test_q0_base_dataset_types_and_dedupe(spark, two_extracts):
     # T1: bad text becomes null instead of failing the job
     assert (None, None, 22, None, None) in got
     assert rows(R.row_count(base)) == [(11,)]
+    schema = [tuple(r) for r in R.schema_rows(base).collect()]
+    assert schema == [("Date Rptd", "date", True), ("DATE OCC", "date", True), ("Vict Age", "int", True),
+                      ("LAT", "double", True), ("LON", "double", True)]
 
 
 def test_q1_top_months_ties_and_forms(spark, two_extracts):
@@ -62,6 +65,8 @@ def test_q1_top_months_ties_and_forms(spark, two_extracts):
     # T6: the SQL form reports RANK among the picked rows: tied months share it
     assert [r for r in sql_form if r[0] == 2020] == [(2020, 1, 3, 1), (2020, 2, 2, 2), (2020, 3, 2, 2)]
     assert [r[:3] for r in df_form] == [r[:3] for r in sql_form]
+    named = rows(R.top_months_sql(crimes, n=3, view="crime_data"))
+    assert named == sql_form and spark.catalog.tableExists("crime_data")
     assert R.top_months(crimes).columns == ["Year", "Month", "Total Crimes", "Top Number"]
     assert R.top_months_sql(crimes).columns == ["Year", "Month", "TotalCrimes", "Rank"]
 
