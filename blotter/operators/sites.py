@@ -27,6 +27,7 @@ the count decides the plan:
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -226,8 +227,8 @@ def _nearest_by_grid(
     ``s_L`` away from it in one coordinate, hence more than ``s_L`` in chord.
     So once the best candidate lies within ``s_L`` (with a margin) it is the
     nearest; otherwise the point moves to the next level. Each level's result
-    is checkpointed to the shared checkpoint folder, which bounds lineage and
-    lets a lost executor's work be redone from the last level only.
+    is written as a table in the shared checkpoint folder, which bounds
+    lineage and lets a lost executor's work be redone from the last level.
     """
     spark = points.sparkSession
     checkpoint_dir(spark)
@@ -247,27 +248,31 @@ def _nearest_by_grid(
         *[c.alias(f"p{n}") for c, n in zip(_unit_xyz(lat, lon), "xyz")],
     )
     offsets = F.array([F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c")) for a, b, c in _OFFSETS])
+    point_cols = ["_pid", "_plat", "_plon", "px", "py", "pz"]
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/blotter-nearest-{uuid.uuid4().hex}"
     settled: list[DataFrame] = []
     for level, size in enumerate(levels):
         last = level == len(levels) - 1
         cells = site_xyz.select("_site", "_lat", "_lon", *_cells([F.col(n) for n in "xyz"], size))
-        probes = pending.filter(F.col("px").isNotNull()).select(
-            "_pid", "_plat", "_plon", F.explode(offsets).alias("o"),
+        # All 27 probes of a point stay in its partition, so the partial
+        # aggregate below reduces them to one row per point before the shuffle.
+        probes = pending.select(
+            *point_cols, F.explode(offsets).alias("o"),
             *[F.floor(F.col(f"p{n}") / F.lit(size)).alias(f"h{n}") for n in "xyz"],
         ).select(
-            "_pid", "_plat", "_plon",
+            *point_cols,
             (F.col("hx") + F.col("o.a")).alias("cx"),
             (F.col("hy") + F.col("o.b")).alias("cy"),
             (F.col("hz") + F.col("o.c")).alias("cz"),
         )
-        pairs = probes.join(cells, ["cx", "cy", "cz"], "inner").select(
-            "_pid", haversine_km(F.col("_plat"), F.col("_plon"), F.col("_lat"), F.col("_lon"), radius).alias("d"), "_site"
+        pairs = probes.join(cells, ["cx", "cy", "cz"], "left").withColumn(
+            "d", haversine_km(F.col("_plat"), F.col("_plon"), F.col("_lat"), F.col("_lon"), radius)
         )
-        if max_km is not None:
-            pairs = pairs.filter(F.col("d") < max_km)
-        # (d, site) structs order by distance, then by site key.
-        best = pairs.groupBy("_pid").agg(F.min(F.struct("d", "_site")).alias("b"))
-        judged = pending.join(best, "_pid", "left").withColumn(
+        in_range = F.col("d").isNotNull() if max_km is None else F.col("d") < max_km
+        # (d, site) structs order by distance, then by site key; a point with
+        # no candidate keeps a null best.
+        judged = pairs.groupBy(*point_cols).agg(F.min(F.when(in_range, F.struct("d", "_site"))).alias("b"))
+        judged = judged.withColumn(
             "_done",
             F.col("px").isNull()
             | F.lit(last)
@@ -276,14 +281,18 @@ def _nearest_by_grid(
                 F.lit(False),
             ),
         )
-        judged = judged.checkpoint(eager=True)
+        # One job writes the level to the shared checkpoint folder; later
+        # levels and the result read it back, so lineage stops here.
+        path = f"{folder}/level={level}"
+        judged.write.mode("overwrite").parquet(path)
+        judged = spark.read.parquet(path)
         settled.append(
             judged.filter("_done").select(
                 F.col("_pid").alias(point_id),
                 F.when(F.col("b").isNotNull(), F.struct(F.col("b.d").alias("d"), F.col("b._site").alias("site"))).alias("_best"),
             )
         )
-        pending = judged.filter(~F.col("_done")).select("_pid", "_plat", "_plon", "px", "py", "pz")
+        pending = judged.filter(~F.col("_done")).select(*point_cols)
         if last or pending.isEmpty():
             break
     out = settled[0]

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.sources.schemas import canonical, crime_text_schema
+from blotter.sources.schemas import TABLE_SCHEMAS, canonical, crime_text_schema
 
 
 def _as_list(paths: str | Iterable[str]) -> list[str]:
@@ -109,5 +109,9 @@ def read_text_fields(spark: SparkSession, paths: str | Iterable[str], sep: str =
 
 
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
-    """A parquet table ``<base_dir>/<name>.parquet``."""
-    return spark.read.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")
+    """A parquet table ``<base_dir>/<name>.parquet``, with its declared schema
+    when one is known (no footer read to infer it)."""
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{base_dir.rstrip('/')}/{name}.parquet")

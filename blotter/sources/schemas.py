@@ -49,6 +49,17 @@ STATION_COLUMNS = ("X", "Y", "FID", "DIVISION", "LOCATION", "PREC")
 GEOCODE_COLUMNS = ("LAT", "LON", "ZIPcode")
 INCOME_COLUMNS = ("Zip Code", "Community", "Estimated Median Income")
 
+# Declared schemas of the benchmark tables the stand-ins read
+# (DDL form). Declaring them skips the footer read of schema inference.
+TABLE_SCHEMAS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 # Canonical names the reports use, keyed by their normalised spelling.
 _CANONICAL = {
     name.strip().lower(): name.strip()
