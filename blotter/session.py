@@ -43,9 +43,9 @@ def local_session(cpus: int | str = "*", app: str = "blotter", extra: dict | Non
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names a shared file system and is used as is.
-    Only when it is unset (tests, a laptop) is a fresh local folder created
-    and registered, so lineage can still be cut with ``checkpoint()``.
+    On a cluster this setting names a shared file system and is used as is;
+    if it is unset there, this raises. Only in local mode (tests, a laptop)
+    is a fresh local folder created and registered instead.
     """
     existing = spark.sparkContext.getCheckpointDir()
     if existing:
@@ -54,8 +54,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if current:
         spark.sparkContext.setCheckpointDir(current)
         return spark.sparkContext.getCheckpointDir() or current
-    # Unset (a test or a laptop): the setting cannot be changed at run time,
-    # so register a fresh local folder with the context instead.
+    # Unset. A local folder is only valid when the whole job runs on this
+    # machine (tests, a laptop); on a cluster it must name shared storage.
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
     folder = tempfile.mkdtemp(prefix="blotter-ckpt-")
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir() or folder
