@@ -9,8 +9,8 @@ sort-merge join whose skewed partitions AQE splits.
 ``max_km``; ties go to the smallest site key. Sites are first reduced to one
 row per distinct location (the smallest key wins there); that aggregate is
 partial + final, so a location shared by a large share of the sites collapses
-map-side. The locations are persisted, counted (a one-number action), and
-the count decides the plan:
+map-side. The locations are written once as a table in the shared checkpoint
+folder, counted (a one-number action), and the count decides the plan:
 
 - up to ``fold_limit`` locations: the locations become one key-sorted array,
   attached to every point as an uncorrelated scalar subquery, and each point
@@ -27,16 +27,14 @@ the count decides the plan:
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from blotter.functions.geo import EARTH_RADIUS_KM, haversine_km, haversine_term, km_of_haversine
 from blotter.functions.typed import ref
-from blotter.session import checkpoint_dir
+from blotter.session import materialize
 
 # Above this many distinct site locations the per-point fold (cost: one
 # haversine term per location per point) gives way to the grid search.
@@ -109,10 +107,10 @@ def nearest_site(
     searches the whole sphere. ``point_id`` (a unique column) is needed only
     when the distinct site locations exceed ``fold_limit``.
     """
-    # Persisted once: the size check and the search both read it instead of
-    # re-running the de-duplication. Lost blocks are recomputed from the short
-    # lineage (scan, aggregate), so an executor loss costs time, not results.
-    locations = site_locations(sites, site_key, site_lat, site_lon, site_cols).persist(StorageLevel.MEMORY_AND_DISK)
+    # Written once to the shared checkpoint folder: the size check and the
+    # search read that table, so the site table is scanned once however many
+    # rows collapse into few locations, and no executor loss can force a rescan.
+    locations = materialize(site_locations(sites, site_key, site_lat, site_lon, site_cols), "sites")
     key_out = site_key_as or site_key
     n_locations = locations.count()
     if n_locations <= fold_limit:
@@ -231,7 +229,6 @@ def _nearest_by_grid(
     lineage and lets a lost executor's work be redone from the last level.
     """
     spark = points.sparkSession
-    checkpoint_dir(spark)
     top = _chord(max_km, radius) if max_km is not None else 2.0
     if cell_km is not None:
         s0 = max(_chord(cell_km, radius), _MIN_CHORD)
@@ -249,7 +246,6 @@ def _nearest_by_grid(
     )
     offsets = F.array([F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c")) for a, b, c in _OFFSETS])
     point_cols = ["_pid", "_plat", "_plon", "px", "py", "pz"]
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/blotter-nearest-{uuid.uuid4().hex}"
     settled: list[DataFrame] = []
     for level, size in enumerate(levels):
         last = level == len(levels) - 1
@@ -283,9 +279,7 @@ def _nearest_by_grid(
         )
         # One job writes the level to the shared checkpoint folder; later
         # levels and the result read it back, so lineage stops here.
-        path = f"{folder}/level={level}"
-        judged.write.mode("overwrite").parquet(path)
-        judged = spark.read.parquet(path)
+        judged = materialize(judged, f"nearest-level{level}")
         settled.append(
             judged.filter("_done").select(
                 F.col("_pid").alias(point_id),

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int | str = "*", app: str = "blotter", extra: dict | None = None) -> SparkSession:
@@ -61,3 +62,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="blotter-ckpt-")
     spark.sparkContext.setCheckpointDir(folder)
     return spark.sparkContext.getCheckpointDir() or folder
+
+
+def materialize(df: DataFrame, tag: str) -> DataFrame:
+    """Write ``df`` once as a parquet table in the shared checkpoint folder
+    and return a DataFrame reading it back.
+
+    Later uses read the table instead of recomputing ``df`` (one scan of the
+    inputs, ever), the lineage stops here, and the table survives the loss
+    of the executors that wrote it.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/blotter-{tag}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -26,6 +26,9 @@ from blotter.session import checkpoint_dir
 from blotter.sources.schemas import crime_text_schema
 
 
+_BATCH_FORMATS = ("parquet", "orc", "json", "csv")
+
+
 def read_crime_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """A streaming DataFrame of the CSV extracts arriving in ``directory``."""
     reader = spark.readStream.schema(crime_text_schema()).option("header", True).option("enforceSchema", True)
@@ -46,14 +49,25 @@ def start_report(
     """Start a streaming report in complete mode.
 
     ``sink="memory"`` makes the result queryable as the table ``name`` in
-    this session (for tests and notebooks); any other format is written with
-    ``sink_options`` (for example ``path``).
+    this session (for tests and notebooks). ``sink="parquet"`` (or another
+    batch format) rewrites the whole report at ``sink_options["path"]`` after
+    every micro-batch, since file sinks cannot take complete output; the
+    overwrite is idempotent, so a replayed batch gives the same table. Any
+    other streaming sink format is used directly with ``sink_options``.
     """
     spark = report.sparkSession
     location = checkpoint_location or os.path.join(checkpoint_dir(spark).removeprefix("file:"), "streams", name)
     writer = report.writeStream.outputMode("complete").option("checkpointLocation", location)
     if sink == "memory":
         writer = writer.format("memory").queryName(name)
+    elif sink in _BATCH_FORMATS:
+        options = dict(sink_options)
+        path = options.pop("path")
+
+        def rewrite(batch: DataFrame, _batch_id: int) -> None:
+            batch.write.mode("overwrite").format(sink).options(**options).save(path)
+
+        writer = writer.foreachBatch(rewrite).queryName(name)
     else:
         writer = writer.format(sink).options(**sink_options)
     if available_now:

@@ -52,3 +52,21 @@ def read_crime_stream_batch(spark, directory):
     from blotter.sources import read_crimes
 
     return read_crimes(spark, [os.path.join(directory, f) for f in sorted(os.listdir(directory))], dedupe=None)
+
+
+def test_parquet_sink_holds_the_whole_report(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    (inbox / "a.csv").write_text(crime_csv([_incident("1", "0930", 2019), _incident("2", "1300", 2019)]))
+    out = str(tmp_path / "out")
+    query = start_report(
+        R.street_parts_of_day(read_crime_stream(spark, str(inbox))), "street_parquet",
+        sink="parquet", checkpoint_location=str(tmp_path / "ck3"), path=out,
+    )
+    try:
+        query.processAllAvailable()
+        (inbox / "b.csv").write_text(crime_csv([_incident("3", "0931", 2020)]))
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert sorted(tuple(r) for r in spark.read.parquet(out).collect()) == [("afternoon", 1), ("morning", 2)]
