@@ -10,6 +10,7 @@ from blotter.plans.reports import (
     nearest_distance_by_period,
     nearest_distance_by_site,
     nearest_stations,
+    rejected_values,
     row_count,
     schema_rows,
     street_parts_of_day,
@@ -28,6 +29,7 @@ __all__ = [
     "nearest_distance_by_period",
     "nearest_distance_by_site",
     "nearest_stations",
+    "rejected_values",
     "row_count",
     "schema_rows",
     "street_parts_of_day",

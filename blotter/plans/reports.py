@@ -6,7 +6,7 @@ per column when the plan is built. Results use the report column names.
 
 | Report | Function |
 |---|---|
-| Q0 base dataset, its row count and schema | ``base_dataset``, ``row_count``, ``schema_rows`` |
+| Q0 base dataset, its row count and schema; values that failed typing | ``base_dataset``, ``row_count``, ``schema_rows``, ``rejected_values`` |
 | Q1 top months per year (DataFrame / SQL) | ``top_months``, ``top_months_sql`` |
 | Q2 street incidents by part of day (columns / text lines) | ``street_parts_of_day``, ``street_parts_of_day_text`` |
 | Q3 victims by descent in the richest and poorest areas | ``descent_in_income_extremes`` |
@@ -63,6 +63,32 @@ def schema_rows(df: DataFrame) -> DataFrame:
     return table.orderBy("position").drop("position")
 
 
+# Typed columns of the reports and their typing, for ``rejected_values``.
+_TYPED = {
+    "Date Rptd": as_date,
+    "DATE OCC": as_date,
+    "TIME OCC": as_int,
+    "AREA": as_int,
+    "Vict Age": as_int,
+    "Weapon Used Cd": as_int,
+    "LAT": as_double,
+    "LON": as_double,
+}
+
+
+def rejected_values(crimes: DataFrame) -> DataFrame:
+    """Per typed column, how many present values failed to parse (and so
+    became null instead of failing the job). One row; one pass with partial
+    counts. Blank text counts as absent, not rejected."""
+    counts = []
+    for name, typing in _TYPED.items():
+        if name not in crimes.columns:
+            continue
+        present = F.length(F.trim(ref(name).cast("string"))) > 0
+        counts.append(F.count(F.when(present & typing(crimes, name).isNull(), F.lit(1))).alias(name))
+    return crimes.agg(*counts)
+
+
 # --------------------------------------------------------------------- Q1
 
 
@@ -156,7 +182,7 @@ def income_extreme_areas(income: DataFrame, n: int = 3, dedupe_keys: bool = Fals
     ``dedupe_keys``.
     """
     parsed = income.select(
-        as_text(income, "Zip Code").alias("ZIP Code"),
+        F.trim(as_text(income, "Zip Code")).alias("ZIP Code"),
         money_to_int(as_text(income, "Estimated Median Income")).alias("income"),
     ).distinct()
     picked = top_and_bottom_n(parsed, "income", n, tie_break=["ZIP Code"]).select("ZIP Code")
@@ -186,7 +212,7 @@ def descent_in_income_extremes(
     geo = geocode.select(
         as_double(geocode, "LAT").alias("LAT"),
         as_double(geocode, "LON").alias("LON"),
-        as_text(geocode, "ZIPcode").alias("ZIP Code"),
+        F.trim(as_text(geocode, "ZIPcode")).alias("ZIP Code"),
     )
     places = geo.join(zips, "ZIP Code", "inner").select("LAT", "LON")
 

@@ -48,6 +48,10 @@ def test_q0_base_dataset_types_and_dedupe(spark, two_extracts):
     # T1: bad text becomes null instead of failing the job
     assert (None, None, 22, None, None) in got
     assert rows(R.row_count(base)) == [(11,)]
+    rejected = read_crimes(spark, two_extracts, dedupe="rows")
+    got_rejected = R.rejected_values(rejected).first().asDict()
+    assert got_rejected["Date Rptd"] == 1 and got_rejected["Vict Age"] == 1  # "junk", "x"
+    assert got_rejected["DATE OCC"] == 0 and got_rejected["LAT"] == 0  # blank is absent, not rejected
     schema = [tuple(r) for r in R.schema_rows(base).collect()]
     assert schema == [("Date Rptd", "date", True), ("DATE OCC", "date", True), ("Vict Age", "int", True),
                       ("LAT", "double", True), ("LON", "double", True)]
