@@ -61,11 +61,21 @@ def top_and_bottom_n(
     broken by ``tie_break`` (ascending). With fewer than 2n rows a row can be
     in both lists and then appears twice, as UNION ALL does; pass
     ``distinct_rows=True`` to keep each row once.
+
+    One pass over ``df``: every row is paired with both sides ("top",
+    "bottom") and numbered within its side; the ``<= n`` filter becomes a
+    partial ``WindowGroupLimit``, so each map task forwards at most n rows per
+    side to the two-group shuffle.
     """
     key = F.col(f"`{by}`")
+    side = F.col("_side")
     ties = [F.col(f"`{c}`").asc_nulls_last() for c in tie_break]
-    ranked = df.filter(key.isNotNull())
-    top = ranked.orderBy(key.desc(), *ties).limit(n)
-    bottom = ranked.orderBy(key.asc(), *ties).limit(n)
-    out = top.unionAll(bottom)
+    order = [
+        F.when(side == "top", key).desc_nulls_last(),
+        F.when(side == "bottom", key).asc_nulls_last(),
+        *ties,
+    ]
+    paired = df.filter(key.isNotNull()).withColumn("_side", F.explode(F.array(F.lit("top"), F.lit("bottom"))))
+    picked = top_n_per_group(paired, [side], order, n, rank="row_number", rank_col="_pick")
+    out = picked.drop("_side", "_pick")
     return out.distinct() if distinct_rows else out
