@@ -193,9 +193,11 @@ def _cells(xyz: Sequence[Column], size: float) -> list[Column]:
     return [F.floor(c / F.lit(size)).alias(n) for c, n in zip(xyz, ("cx", "cy", "cz"))]
 
 
-def _finest_chord(locations: DataFrame, top: float, target: int) -> float:
-    """Cell size for the first level: the finest of a halving ladder at which
-    99% of non-empty cells hold at most ``target`` locations."""
+def _first_chord(locations: DataFrame, top: float, target: int) -> float:
+    """Cell size for the first level: the coarsest of a halving ladder at
+    which 99% of non-empty cells hold at most ``target`` locations. Coarser
+    would put more candidates in each 27-cube block; finer would only add
+    levels (jobs) for points that find nothing nearby."""
     ladder = [top / (2.0**j) for j in range(24) if top / (2.0**j) >= _MIN_CHORD]
     xyz = _unit_xyz(F.col("_lat"), F.col("_lon"))
     exploded = locations.select(F.explode(F.array([F.lit(s) for s in ladder])).alias("s"), *[c.alias(n) for c, n in zip(xyz, "xyz")])
@@ -204,7 +206,7 @@ def _finest_chord(locations: DataFrame, top: float, target: int) -> float:
     ).count()
     p99 = per_cell.groupBy("s").agg(F.percentile_approx("count", 0.99).alias("p99"))
     fits = [row["s"] for row in p99.filter(F.col("p99") <= target).select("s").collect()]
-    return min(fits) if fits else ladder[-1]
+    return max(fits) if fits else ladder[-1]
 
 
 def _nearest_by_grid(
@@ -233,7 +235,7 @@ def _nearest_by_grid(
     if cell_km is not None:
         s0 = max(_chord(cell_km, radius), _MIN_CHORD)
     else:
-        s0 = _finest_chord(locations, top, target_per_cell)
+        s0 = _first_chord(locations, top, target_per_cell)
     levels = [s0]
     while levels[-1] * (1.0 - _MARGIN) < top:
         levels.append(levels[-1] * 2.0)
