@@ -1,6 +1,7 @@
 """Relational building blocks shared by the reports."""
 
+from blotter.operators.joins import broadcast_if_bounded
 from blotter.operators.sites import assigned_site, nearest_site, site_locations
 from blotter.operators.topn import top_and_bottom_n, top_n_per_group
 
-__all__ = ["assigned_site", "nearest_site", "site_locations", "top_and_bottom_n", "top_n_per_group"]
+__all__ = ["assigned_site", "broadcast_if_bounded", "nearest_site", "site_locations", "top_and_bottom_n", "top_n_per_group"]

@@ -1,0 +1,23 @@
+"""Broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A lookup side of at most this many rows is broadcast. The reports' lookups
+# are a few narrow columns, so this is a few MB per executor at most.
+DEFAULT_BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``F.broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The check is ``df.limit(max_rows + 1).count()``: each task stops after
+    ``max_rows + 1`` rows, so a large table is never read in full to learn
+    that it is large. Beyond the bound the join stays a shuffle join, whose
+    skewed partitions AQE splits.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

@@ -1,9 +1,8 @@
 """Distance from incidents to sites: the assigned site, and the nearest site.
 
-``assigned_site`` is an inner equi-join on the site number. Spark picks the
-strategy from the size of the site table: a broadcast hash join when its
-estimate is under ``spark.sql.autoBroadcastJoinThreshold``, otherwise a
-sort-merge join whose skewed partitions AQE splits.
+``assigned_site`` is an inner equi-join on the site number. The site table is
+broadcast when a bounded count proves it small (``broadcast_if_bounded``);
+otherwise it is a sort-merge join whose skewed partitions AQE splits.
 
 ``nearest_site`` finds, for every point, the closest site strictly within
 ``max_km``; ties go to the smallest site key. Sites are first reduced to one
@@ -34,11 +33,15 @@ from pyspark.sql import functions as F
 
 from blotter.functions.geo import EARTH_RADIUS_KM, haversine_km, haversine_term, km_of_haversine
 from blotter.functions.typed import ref
+from blotter.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
 from blotter.session import materialize
 
 # Above this many distinct site locations the per-point fold (cost: one
 # haversine term per location per point) gives way to the grid search.
 DEFAULT_FOLD_LIMIT = 512
+# Up to this many locations the grid's cell index (one row per location and
+# level, about 60 bytes) is broadcast to the probes; beyond, it is shuffled.
+GRID_BROADCAST_LOCATIONS = 1_000_000
 
 
 def assigned_site(
@@ -52,12 +55,14 @@ def assigned_site(
     site_lon: str,
     distance_col: str = "distance",
     radius: float = EARTH_RADIUS_KM,
+    max_site_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Inner-join each point to the site whose key equals its key, with the
     distance between them (32-bit, like the stored coordinates).
 
     When ``point_key == site_key`` the key appears once in the output.
     """
+    sites = broadcast_if_bounded(sites, max_site_rows)
     if point_key == site_key:
         joined = points.join(sites, on=point_key, how="inner")
     else:
@@ -121,7 +126,10 @@ def nearest_site(
             f"{n_locations} site locations exceed fold_limit={fold_limit}; "
             "the grid search needs a unique point_id column"
         )
-    found = _nearest_by_grid(points, locations, point_id, point_lat, point_lon, max_km, radius, cell_km)
+    found = _nearest_by_grid(
+        points, locations, point_id, point_lat, point_lon, max_km, radius, cell_km,
+        broadcast_cells=n_locations <= GRID_BROADCAST_LOCATIONS,
+    )
     joined = points.join(found, on=point_id, how="left")
     return _expand(joined, key_out, site_cols, distance_col)
 
@@ -219,6 +227,7 @@ def _nearest_by_grid(
     radius: float,
     cell_km: float | None,
     target_per_cell: int = 16,
+    broadcast_cells: bool = False,
 ) -> DataFrame:
     """``point_id`` → ``_best`` for every point; exact, see module doc.
 
@@ -252,6 +261,8 @@ def _nearest_by_grid(
     for level, size in enumerate(levels):
         last = level == len(levels) - 1
         cells = site_xyz.select("_site", "_lat", "_lon", *_cells([F.col(n) for n in "xyz"], size))
+        if broadcast_cells:
+            cells = F.broadcast(cells)
         # All 27 probes of a point stay in its partition, so the partial
         # aggregate below reduces them to one row per point before the shuffle.
         probes = pending.select(

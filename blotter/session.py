@@ -48,20 +48,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if it is unset there, this raises. Only in local mode (tests, a laptop)
     is a fresh local folder created and registered instead.
     """
-    existing = spark.sparkContext.getCheckpointDir()
+    try:
+        context = spark.sparkContext
+    except Exception:  # a Spark Connect session has no context: use the setting
+        current = spark.conf.get("spark.checkpoint.dir", None)
+        if not current:
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
+        return current
+    existing = context.getCheckpointDir()
     if existing:
         return existing
-    current = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    current = context.getConf().get("spark.checkpoint.dir", None)
     if current:
-        spark.sparkContext.setCheckpointDir(current)
-        return spark.sparkContext.getCheckpointDir() or current
+        context.setCheckpointDir(current)
+        return context.getCheckpointDir() or current
     # Unset. A local folder is only valid when the whole job runs on this
     # machine (tests, a laptop); on a cluster it must name shared storage.
-    if not spark.sparkContext.master.startswith("local"):
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or object storage)")
     folder = tempfile.mkdtemp(prefix="blotter-ckpt-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return spark.sparkContext.getCheckpointDir() or folder
+    context.setCheckpointDir(folder)
+    return context.getCheckpointDir() or folder
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
