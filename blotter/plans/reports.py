@@ -214,7 +214,8 @@ def descent_in_income_extremes(
         as_double(geocode, "LON").alias("LON"),
         F.trim(as_text(geocode, "ZIPcode")).alias("ZIP Code"),
     )
-    places = geo.join(zips, "ZIP Code", "inner").select("LAT", "LON")
+    # The ZIP list has at most 2n rows by construction: always broadcast.
+    places = geo.join(F.broadcast(zips), "ZIP Code", "inner").select("LAT", "LON")
 
     occurred = as_date(crimes, date_col)
     in_year = crimes.filter(
