@@ -26,9 +26,12 @@ def us_date_text(text: Column) -> Column:
     """``M/D/YYYY[ time]`` text → date, time of day discarded; bad text → null.
 
     Only the part before the first space is parsed, padded or not, matching
-    a split on ``/`` that drops whatever follows the year.
+    a split on ``/`` that drops whatever follows the year. ISO text
+    (``YYYY-MM-DD[ time]``, what a typed date or timestamp becomes as text) is
+    accepted too; the two forms cannot be confused (slashes vs dashes).
     """
-    return F.try_to_date(F.substring_index(F.trim(text), " ", 1), "M/d/yyyy")
+    day = F.substring_index(F.trim(text), " ", 1)
+    return F.coalesce(F.try_to_date(day, "M/d/yyyy"), F.try_to_date(day, "yyyy-M-d"))
 
 
 def as_date(df: DataFrame, name: str) -> Column:

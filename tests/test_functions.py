@@ -33,6 +33,9 @@ def test_us_date_text_forms(spark):
         "",
         None,
         "13/40/2020 01:00:00 PM",
+        "2020-01-08",
+        "2020-01-08 13:45:00",
+        "2020-13-08",
     ]
     got = one_col(spark, values, "string", us_date_text)
     assert got == [
@@ -44,6 +47,9 @@ def test_us_date_text_forms(spark):
         None,
         None,
         None,
+        dt.date(2020, 1, 8),
+        dt.date(2020, 1, 8),
+        None,
     ]
 
 

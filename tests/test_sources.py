@@ -52,3 +52,25 @@ def test_text_fields_split_naively(spark, write_csv):
     path = write_csv('a,"b,c",d\nx,y\n')
     got = sorted(r.fields for r in read_text_fields(spark, path).collect())
     assert got == [["a", '"b', 'c"', "d"], ["x", "y"]]
+
+
+def test_parquet_extract_unions_with_csv(spark, write_csv, tmp_path):
+    import datetime as dt
+
+    from blotter.plans import reports as R
+
+    typed = spark.createDataFrame(
+        [(7, dt.date(2020, 3, 1), dt.datetime(2020, 2, 28, 10, 0), 35, 34.1, -118.2)],
+        "DR_NO long, `Date Rptd` date, `DATE OCC` timestamp, `Vict Age` int, LAT double, LON double",
+    )
+    path = str(tmp_path / "extract.parquet")
+    typed.write.parquet(path)
+    text = write_csv(crime_csv([{"DR_NO": "8", "Date Rptd": "03/02/2020 12:00:00 AM", "Vict Age": "40"}]))
+    from blotter.sources.extracts import read_csv_text, union_extracts
+
+    both = union_extracts([read_csv_text(spark, path, fmt="parquet"), read_csv_text(spark, text)])
+    base = rows(R.base_dataset(both))
+    assert base[-2:] == [
+        (dt.date(2020, 3, 1), dt.date(2020, 2, 28), 35, 34.1, -118.2),
+        (dt.date(2020, 3, 2), None, 40, None, None),
+    ]
