@@ -6,6 +6,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from blotter.operators import assigned_site, nearest_site, site_locations
 from tests.fixtures import f32
@@ -98,3 +99,15 @@ def test_assigned_site_joins_on_key(spark):
     sdf = spark.createDataFrame([(1, 34.0, -118.0), (2, None, None)], "a int, y double, x double")
     got = sorted(tuple(r) for r in assigned_site(pdf, sdf, "a", "a", "lat", "lon", "y", "x").select("a", "distance").collect())
     assert got == [(1, 0.0), (2, None)]
+
+
+def test_broadcast_only_within_the_bound(spark):
+    from blotter.operators import broadcast_if_bounded
+
+    small = spark.range(10)
+    big = spark.range(1000)
+    hinted = broadcast_if_bounded(small, 100)
+    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
+    assert broadcast_if_bounded(big, 100) is big  # beyond the bound: unchanged, Spark/AQE decide
+    at_bound = broadcast_if_bounded(spark.range(100), 100)  # exactly at the bound: broadcast
+    assert "broadcast" in at_bound._jdf.queryExecution().analyzed().toString().lower()
