@@ -206,7 +206,7 @@ def _first_chord(locations: DataFrame, top: float, target: int) -> float:
     which 99% of non-empty cells hold at most ``target`` locations. Coarser
     would put more candidates in each 27-cube block; finer would only add
     levels (jobs) for points that find nothing nearby."""
-    ladder = [top / (2.0**j) for j in range(24) if top / (2.0**j) >= _MIN_CHORD]
+    ladder = [top / (2.0**j) for j in range(24) if top / (2.0**j) >= _MIN_CHORD] or [max(top, _MIN_CHORD)]
     xyz = _unit_xyz(F.col("_lat"), F.col("_lon"))
     exploded = locations.select(F.explode(F.array([F.lit(s) for s in ladder])).alias("s"), *[c.alias(n) for c, n in zip(xyz, "xyz")])
     per_cell = exploded.groupBy(

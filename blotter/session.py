@@ -71,6 +71,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir() or folder
 
 
+def checkpoint_root(spark: SparkSession) -> str:
+    """The configured ``spark.checkpoint.dir`` itself (stable across runs),
+    for state that a restarted application must find again, such as the
+    progress of a streaming query. ``checkpoint_dir`` instead returns the
+    per-session subfolder Spark creates inside it. Falls back to that
+    subfolder when the setting is unset (local mode only)."""
+    try:
+        configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    except Exception:  # Spark Connect: no context
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+    return configured or checkpoint_dir(spark)
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` once as a parquet table in the shared checkpoint folder
     and return a DataFrame reading it back.

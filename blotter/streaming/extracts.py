@@ -17,12 +17,10 @@ location is given, so a restarted query resumes where it stopped.
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from blotter.session import checkpoint_dir
+from blotter.session import checkpoint_root
 from blotter.sources.schemas import crime_text_schema
 
 
@@ -56,7 +54,9 @@ def start_report(
     other streaming sink format is used directly with ``sink_options``.
     """
     spark = report.sparkSession
-    location = checkpoint_location or os.path.join(checkpoint_dir(spark).removeprefix("file:"), "streams", name)
+    # The stable root, not the per-session subfolder: a restarted application
+    # must find the same offsets and state to resume.
+    location = checkpoint_location or f"{checkpoint_root(spark).rstrip('/')}/streams/{name}"
     writer = report.writeStream.outputMode("complete").option("checkpointLocation", location)
     if sink == "memory":
         writer = writer.format("memory").queryName(name)

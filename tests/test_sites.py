@@ -111,3 +111,10 @@ def test_broadcast_only_within_the_bound(spark):
     assert broadcast_if_bounded(big, 100) is big  # beyond the bound: unchanged, Spark/AQE decide
     at_bound = broadcast_if_bounded(spark.range(100), 100)  # exactly at the bound: broadcast
     assert "broadcast" in at_bound._jdf.queryExecution().analyzed().toString().lower()
+
+
+def test_grid_with_a_tiny_radius(spark):
+    sites = [(k, 34.0 + k * 1e-5, -118.0) for k in range(1, 30)]
+    points = [(1, 34.0001, -118.0), (2, 35.0, -118.0)]
+    want = brute(points, sites, 0.05)
+    _assert_same(run(spark, points, sites, 0.05, fold_limit=0), want)

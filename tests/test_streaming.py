@@ -70,3 +70,13 @@ def test_parquet_sink_holds_the_whole_report(spark, tmp_path):
     finally:
         query.stop()
     assert sorted(tuple(r) for r in spark.read.parquet(out).collect()) == [("afternoon", 1), ("morning", 2)]
+
+
+def test_default_stream_state_is_stable_across_sessions(spark):
+    from blotter.session import checkpoint_root
+
+    root = checkpoint_root(spark)
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if configured:
+        assert root == configured  # not the per-session uuid subfolder
+    assert root
