@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__ as E
 from blotter.plans import reports as R
 from blotter.sources import read_crimes
+from tests.planutil import executed_final_plan
 from tests.conftest import SMOKE_DIR
 from tests.fixtures import crime_csv
 
@@ -16,9 +17,7 @@ PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroup
 
 
 def executed_plan(df) -> str:
-    df.collect()  # runs this DataFrame's own query, so AQE's final plan is shown
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return plan.split("== Initial Plan ==")[0]  # the final plan only
+    return executed_final_plan(df)
 
 
 @pytest.mark.parametrize("name", sorted(E.queries()))

@@ -10,12 +10,11 @@ from pyspark.sql import functions as F
 from blotter.operators import site_locations
 from blotter.plans import reports as R
 from blotter.sources import deduplicate
+from tests.planutil import executed_final_plan
 
 
 def _executed(df) -> str:
-    df.collect()  # runs this DataFrame's own query, so AQE's final plan is shown
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    return plan.split("== Initial Plan ==")[0]  # the final plan only
+    return executed_final_plan(df)
 
 
 def _crimes(spark, n=3000):
