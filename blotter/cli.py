@@ -94,6 +94,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         print(f"rows: {R.row_count(result).first()[0]}")
     if args.report == "base":
         R.schema_rows(result).show(truncate=False)
+        # values present in the files that failed typing (they became null)
+        R.rejected_values(read_crimes(spark, args.crimes, dedupe="rows", fmt=args.format)).show(truncate=False)
     return 0
 
 

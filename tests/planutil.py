@@ -1,23 +1,12 @@
-"""Plan-string helpers shared by the plan tests."""
+"""Plan-string helpers shared by the plan tests (the tool's own parser)."""
 
 from __future__ import annotations
 
+import os
+import sys
 
-def final_plan(plan: str) -> str:
-    """Drop every AQE ``== Initial Plan ==`` section (at any depth, e.g. inside
-    a subquery), keeping the final plans."""
-    out, skip_below = [], None
-    for line in plan.splitlines():
-        indent = len(line) - len(line.lstrip(" :|+-"))
-        if skip_below is not None:
-            if indent >= skip_below and line.strip():
-                continue
-            skip_below = None
-        if "== Initial Plan ==" in line:
-            skip_below = indent
-            continue
-        out.append(line)
-    return "\n".join(out)
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+from plan_summary import final_plan  # noqa: E402
 
 
 def executed_final_plan(df) -> str:
