@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from blotter.functions.geo import EARTH_RADIUS_KM, haversine_km, haversine_term, km_of_haversine
 from blotter.functions.typed import ref
 from blotter.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
-from blotter.session import materialize
+from blotter.session import materialize_observed
 
 # Above this many distinct site locations the per-point fold (cost: one
 # haversine term per location per point) gives way to the grid search.
@@ -115,9 +115,11 @@ def nearest_site(
     # Written once to the shared checkpoint folder: the size check and the
     # search read that table, so the site table is scanned once however many
     # rows collapse into few locations, and no executor loss can force a rescan.
-    locations = materialize(site_locations(sites, site_key, site_lat, site_lon, site_cols), "sites")
+    # The write job also counts the locations (an observed metric): that
+    # count is the size check, at no extra job.
+    locations, seen = materialize_observed(site_locations(sites, site_key, site_lat, site_lon, site_cols), "sites")
     key_out = site_key_as or site_key
-    n_locations = locations.count()
+    n_locations = seen["rows"]
     if n_locations <= fold_limit:
         found = _nearest_by_fold(points, locations, point_lat, point_lon, max_km, radius)
         return _expand(found, key_out, site_cols, distance_col)
@@ -290,9 +292,12 @@ def _nearest_by_grid(
                 F.lit(False),
             ),
         )
-        # One job writes the level to the shared checkpoint folder; later
-        # levels and the result read it back, so lineage stops here.
-        judged = materialize(judged, f"nearest-level{level}")
+        # One job writes the level to the shared checkpoint folder (later
+        # levels and the result read it back, so lineage stops here) and
+        # counts the points still pending on the way.
+        judged, seen = materialize_observed(
+            judged, f"nearest-level{level}", pending=F.sum(F.when(~F.col("_done"), 1).otherwise(0))
+        )
         settled.append(
             judged.filter("_done").select(
                 F.col("_pid").alias(point_id),
@@ -300,7 +305,7 @@ def _nearest_by_grid(
             )
         )
         pending = judged.filter(~F.col("_done")).select(*point_cols)
-        if last or pending.isEmpty():
+        if last or not seen["pending"]:
             break
     out = settled[0]
     for part in settled[1:]:

@@ -10,7 +10,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cpus: int | str = "*", app: str = "blotter", extra: dict | None = None) -> SparkSession:
@@ -92,7 +93,16 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     inputs, ever), the lineage stops here, and the table survives the loss
     of the executors that wrote it.
     """
+    return materialize_observed(df, tag)[0]
+
+
+def materialize_observed(df: DataFrame, tag: str, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``materialize``, also returning aggregate ``metrics`` (name → Column)
+    computed by the write job itself (Spark's ``Observation``), so counts of
+    the written rows need no extra job. ``rows`` is always included."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/blotter-{tag}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    observation = Observation(f"blotter-{tag}-{uuid.uuid4().hex[:8]}")
+    aggs = [F.count(F.lit(1)).alias("rows"), *[c.alias(name) for name, c in metrics.items()]]
+    df.observe(observation, *aggs).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path), dict(observation.get)
