@@ -120,7 +120,7 @@ WITH monthly AS (
 SELECT Year, Month, TotalCrimes,
        rank() OVER (PARTITION BY Year ORDER BY TotalCrimes DESC) AS Rank
 FROM numbered
-WHERE pick <= {n}
+WHERE pick <= :n
 """
 
 
@@ -135,10 +135,10 @@ def top_months_sql(crimes: DataFrame, n: int = 3, date_col: str = "Date Rptd", v
     """
     dated = crimes.select(as_date(crimes, date_col).alias("d"))
     spark = crimes.sparkSession
-    if view is None:
-        return spark.sql(TOP_MONTHS_SQL.replace("{n}", str(int(n))), source=dated)
-    dated.createOrReplaceTempView(view)
-    return spark.sql(TOP_MONTHS_SQL.replace("{source}", f"`{view}`").replace("{n}", str(int(n))))
+    if view is not None:
+        dated.createOrReplaceTempView(view)
+        dated = spark.table(view)
+    return spark.sql(TOP_MONTHS_SQL, args={"n": int(n)}, source=dated)
 
 
 # --------------------------------------------------------------------- Q2
