@@ -6,6 +6,8 @@ import math
 import random
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from blotter.operators import assigned_site, nearest_site, site_locations
@@ -118,3 +120,16 @@ def test_grid_with_a_tiny_radius(spark):
     points = [(1, 34.0001, -118.0), (2, 35.0, -118.0)]
     want = brute(points, sites, 0.05)
     _assert_same(run(spark, points, sites, 0.05, fold_limit=0), want)
+
+
+@settings(max_examples=3, deadline=None)
+@given(
+    st.lists(st.tuples(st.floats(-60, 60), st.floats(-180, 180)), min_size=1, max_size=40),
+    st.lists(st.tuples(st.floats(-60, 60), st.floats(-180, 180)), min_size=1, max_size=40),
+    st.sampled_from([300.0, 3000.0, None]),
+    st.sampled_from([None, 50.0, 500.0]),
+)
+def test_grid_matches_brute_force_on_generated_layouts(spark, site_xy, point_xy, max_km, cell_km):
+    sites = [(i + 1, a, b) for i, (a, b) in enumerate(site_xy)]
+    points = [(i, a, b) for i, (a, b) in enumerate(point_xy)]
+    _assert_same(run(spark, points, sites, max_km, fold_limit=0, cell_km=cell_km), brute(points, sites, max_km))
