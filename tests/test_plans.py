@@ -58,3 +58,9 @@ def test_nearest_fold_runs_once_per_point(spark):
 def test_base_dataset_reads_only_needed_columns_of_orders(spark):
     plan = executed_plan(E.q2_street_parts(spark, SMOKE_DIR))
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in plan
+
+
+@pytest.mark.parametrize("name", ["q4_assigned_by_day", "q4_assigned_by_area", "q4_nearest_by_day", "q4_nearest_by_site"])
+def test_q4_scans_the_incident_table_once(spark, name):
+    plan = executed_plan(E.queries()[name](spark, SMOKE_DIR))
+    assert len(re.findall(r"events\.parquet", plan)) == 1, plan
