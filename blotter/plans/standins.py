@@ -127,7 +127,7 @@ def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("AREA").cast("string"),
         F.col("Premis Desc"),
     )
-    return inc.select(F.split(line, ",", -1).alias("fields"))
+    return inc.select(line.alias("value")).select("value", F.split(F.col("value"), ",", -1).alias("fields"))
 
 
 def supplier_stations(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -99,13 +99,14 @@ def read_lookup(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
 
 
 def read_text_fields(spark: SparkSession, paths: str | Iterable[str], sep: str = ",") -> DataFrame:
-    """Lines of text files split naively on ``sep`` into ``fields`` (array).
+    """Lines of text files: the raw line (``value``) and its naive split on
+    ``sep`` (``fields``, an array).
 
     This is the quote-unaware form: a quoted separator inside a field shifts
     the positions of the fields after it. Use ``read_crimes`` for real CSV.
     """
     lines = spark.read.text(_as_list(paths))
-    return lines.select(F.split(F.col("value"), sep, -1).alias("fields"))
+    return lines.select("value", F.split(F.col("value"), sep, -1).alias("fields"))
 
 
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
