@@ -66,3 +66,18 @@ def as_double(df: DataFrame, name: str) -> Column:
 
 def as_text(df: DataFrame, name: str) -> Column:
     return ref(name).cast("string")
+
+
+def in_date_range(df: DataFrame, name: str, start: str, end: str) -> Column:
+    """``start <= date(name) < end`` (ISO dates), written so a typed column
+    keeps the comparison on the raw column: parquet can then skip row groups
+    and partitions (``PushedFilters``). Text must be parsed first, so for text
+    the comparison is on the parsed date."""
+    dtype = _type_of(df, name)
+    if isinstance(dtype, DateType):
+        return (ref(name) >= F.lit(start).cast("date")) & (ref(name) < F.lit(end).cast("date"))
+    if isinstance(dtype, (TimestampType, TimestampNTZType)):
+        kind = "timestamp_ntz" if isinstance(dtype, TimestampNTZType) else "timestamp"
+        return (ref(name) >= F.lit(start).cast(kind)) & (ref(name) < F.lit(end).cast(kind))
+    day = as_date(df, name)
+    return (day >= F.lit(start).cast("date")) & (day < F.lit(end).cast("date"))

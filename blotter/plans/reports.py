@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blotter.functions.typed import as_date, as_double, as_float, as_int, as_text, ref
+from blotter.functions.typed import as_date, as_double, as_float, as_int, as_text, in_date_range, ref
 from blotter.functions.values import descent_label, money_to_int, part_of_day
 from blotter.operators.sites import assigned_site, nearest_site
 from blotter.operators.topn import top_and_bottom_n, top_n_per_group
@@ -223,11 +223,7 @@ def descent_in_income_extremes(
     # The ZIP list has at most 2n rows by construction: always broadcast.
     places = geo.join(F.broadcast(zips), "ZIP Code", "inner").select("LAT", "LON")
 
-    occurred = as_date(crimes, date_col)
-    in_year = crimes.filter(
-        (occurred >= F.make_date(F.lit(year), F.lit(1), F.lit(1)))
-        & (occurred < F.make_date(F.lit(year + 1), F.lit(1), F.lit(1)))
-    )
+    in_year = crimes.filter(in_date_range(crimes, date_col, f"{year:04d}-01-01", f"{year + 1:04d}-01-01"))
     per_place = (
         in_year.select(
             as_double(in_year, "LAT").alias("LAT"),

@@ -64,3 +64,19 @@ def test_base_dataset_reads_only_needed_columns_of_orders(spark):
 def test_q4_scans_the_incident_table_once(spark, name):
     plan = executed_plan(E.queries()[name](spark, SMOKE_DIR))
     assert len(re.findall(r"events\.parquet", plan)) == 1, plan
+
+
+def test_year_filter_reaches_a_typed_parquet_scan(spark, tmp_path):
+    import datetime as dt
+
+    path = str(tmp_path / "typed.parquet")
+    spark.createDataFrame(
+        [(dt.datetime(2015, 6, 1, 10, 0), "W", 34.1, -118.2), (dt.datetime(2016, 6, 1, 10, 0), "B", 34.1, -118.2)],
+        "`DATE OCC` timestamp_ntz, `Vict Descent` string, LAT double, LON double",
+    ).write.parquet(path)
+    geo = spark.createDataFrame([(34.1, -118.2, "1")], "LAT double, LON double, ZIPcode string")
+    income = spark.createDataFrame([("1", "$5")], "`Zip Code` string, `Estimated Median Income` string")
+    out = R.descent_in_income_extremes(spark.read.parquet(path), geo, income, year=2015, n=1)
+    assert [tuple(r) for r in out.collect()] == [("White", 2)]  # the ZIP is both richest and poorest
+    plan = executed_plan(out)
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(`?DATE OCC`?,2015-01-01", plan), plan
