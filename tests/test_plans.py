@@ -80,3 +80,19 @@ def test_year_filter_reaches_a_typed_parquet_scan(spark, tmp_path):
     assert [tuple(r) for r in out.collect()] == [("White", 2)]  # the ZIP is both richest and poorest
     plan = executed_plan(out)
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(`?DATE OCC`?,2015-01-01", plan), plan
+
+
+def test_firearm_filter_reaches_a_typed_parquet_scan(spark, tmp_path):
+    import datetime as dt
+
+    path = str(tmp_path / "typed_q4.parquet")
+    spark.createDataFrame(
+        [(dt.date(2015, 6, 1), 1, "C", 150, 34.1, -118.2), (dt.date(2015, 6, 2), 1, "C", 99, 34.1, -118.2)],
+        "`DATE OCC` date, AREA int, `AREA NAME` string, `Weapon Used Cd` int, LAT float, LON float",
+    ).write.parquet(path)
+    stations = spark.createDataFrame([(1, "C", 34.0, -118.0)], "PREC int, DIVISION string, Y float, X float")
+    out = R.assigned_distance_by_period(spark.read.parquet(path), stations)
+    assert out.count() == 1
+    plan = executed_plan(out)
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(`?Weapon Used Cd`?,100\)", plan), plan
+    assert "AREA NAME" not in re.search(r"ReadSchema: (struct<[^\n]*)", plan).group(1)  # pruned
