@@ -9,13 +9,21 @@ rounded to 6 decimals on both sides, as summation order is not fixed.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+# Importable however this file is loaded (by path, from another folder). The
+# queries run no Python on executors, so only the driver needs the package.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
 
-from blotter.plans import reports as R
-from blotter.plans import standins as S
-from blotter.sources.extracts import deduplicate, union_extracts
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+
+from blotter.plans import reports as R  # noqa: E402
+from blotter.plans import standins as S  # noqa: E402
+from blotter.sources.extracts import deduplicate, union_extracts  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 DIGITS = 6
