@@ -29,7 +29,8 @@ def read_csv_text(spark: SparkSession, path: str, fmt: str = "csv", **options) -
     """
     if fmt == "csv":
         reader = spark.read.option("header", True).option("inferSchema", False)
-        reader = reader.option("mode", "PERMISSIVE").option("multiLine", False)
+        # Standard CSV escapes a quote inside a quoted field by doubling it.
+        reader = reader.option("mode", "PERMISSIVE").option("multiLine", False).option("escape", '"')
         for key, value in options.items():
             reader = reader.option(key, value)
         df = reader.csv(path)
@@ -86,6 +87,7 @@ def read_crimes(
             spark.read.schema(crime_text_schema())
             .option("header", True)
             .option("enforceSchema", True)
+            .option("escape", '"')
             .csv(paths)
         )
     else:

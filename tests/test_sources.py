@@ -74,3 +74,8 @@ def test_parquet_extract_unions_with_csv(spark, write_csv, tmp_path):
         (dt.date(2020, 3, 1), dt.date(2020, 2, 28), 35, 34.1, -118.2),
         (dt.date(2020, 3, 2), None, 40, None, None),
     ]
+
+
+def test_doubled_quotes_and_quoted_commas(spark, write_csv):
+    path = write_csv('DR_NO,Premis Desc,Mocodes\n1,"STREET","a, ""b"" c"\n')
+    assert rows(read_crimes(spark, path, dedupe=None), "DR_NO", "Premis Desc", "Mocodes") == [("1", "STREET", 'a, "b" c')]
