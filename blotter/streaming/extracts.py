@@ -30,6 +30,7 @@ _BATCH_FORMATS = ("parquet", "orc", "json", "csv")
 def read_crime_stream(spark: SparkSession, directory: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """A streaming DataFrame of the CSV extracts arriving in ``directory``."""
     reader = spark.readStream.schema(crime_text_schema()).option("header", True).option("enforceSchema", True)
+    reader = reader.option("escape", '"')  # standard CSV: a doubled quote inside quotes
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     return reader.csv(directory)
