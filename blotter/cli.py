@@ -32,6 +32,7 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--format", default="csv", help="format of the extract files (csv, parquet, ...)")
         s.add_argument("--show", type=int, default=20, help="rows to print")
         s.add_argument("--count", action="store_true", help="also print the number of result rows")
+        s.add_argument("--explain", action="store_true", help="print the physical plan instead of running it")
         return s
 
     common("base", "Q0: typed base dataset, its row count and schema")
@@ -89,6 +90,9 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     args = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"blotter-{args.report}").getOrCreate()
     result = build(spark, args)
+    if args.explain:
+        result.explain("formatted")
+        return 0
     result.show(args.show, truncate=False)
     if args.count or args.report == "base":
         print(f"rows: {R.row_count(result).first()[0]}")

@@ -23,6 +23,7 @@ def test_cli_reports(spark, write_csv, capsys):
         (["descent", "--crimes", crimes, "--geocode", geo, "--income", income, "--year", "2020"], "White"),
         (["distance", "--crimes", crimes, "--stations", stations, "--by", "area"], "Central"),
         (["distance", "--crimes", crimes, "--stations", stations, "--nearest"], "2020"),
+        (["street", "--crimes", crimes, "--explain"], "PushedFilters"),
     ]
     for argv, expected in runs:
         assert main(argv, spark=spark) == 0
