@@ -310,7 +310,9 @@ def assigned_distance_by_area(crimes: DataFrame, stations: DataFrame, digits: in
     """Per incident ``AREA NAME``: mean distance to the assigned station and
     the number of incidents; most incidents first. A null area name is not a
     group. Columns: ``AREA NAME``, ``avg(distance)``, ``count``."""
-    fired = firearm_incidents(crimes, extra=("AREA NAME",))
+    # The name is a raw column here, so the null group can go before the
+    # join (a pushable IS NOT NULL) instead of only after the aggregate.
+    fired = firearm_incidents(crimes, extra=("AREA NAME",)).filter(ref("AREA NAME").isNotNull())
     joined = assigned_site(fired, station_sites(stations), "AREA", "AREA", "LAT", "LON", "Y", "X")
     return _mean_by(joined, F.col("`AREA NAME`"), "AREA NAME", digits, with_count=True)
 
