@@ -43,16 +43,16 @@ def _parser() -> argparse.ArgumentParser:
     s = common("street", "Q2: street incidents by part of day")
     s.add_argument("--text", action="store_true", help="naive text-line form")
     s = common("descent", "Q3: victims by descent in the richest and poorest ZIP codes")
-    s.add_argument("--geocode", required=True)
-    s.add_argument("--income", required=True)
+    s.add_argument("--geocode", required=True, help="LAT, LON, ZIPcode extract")
+    s.add_argument("--income", required=True, help="Zip Code, Estimated Median Income extract")
     s.add_argument("--year", type=int, default=2015)
     s.add_argument("--n", type=int, default=3)
     s.add_argument("--distinct-zips", action="store_true", help="count a ZIP in both lists once")
     s = common("distance", "Q4: firearm incidents, distance to the assigned or nearest station")
-    s.add_argument("--stations", required=True)
+    s.add_argument("--stations", required=True, help="X (lon), Y (lat), DIVISION, PREC extract")
     s.add_argument("--nearest", action="store_true", help="nearest station instead of the assigned one")
     s.add_argument("--by", choices=["year", "month", "day", "area"], default="year")
-    s.add_argument("--max-km", type=float, default=1000.0)
+    s.add_argument("--max-km", type=float, default=1000.0, help="nearest search radius; beyond it, no station")
     return p
 
 
