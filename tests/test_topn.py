@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from blotter.operators import top_and_bottom_n, top_n_per_group
@@ -42,3 +44,20 @@ def test_top_and_bottom_tie_break(spark):
     df = spark.createDataFrame([("z", 1), ("y", 1), ("x", 1), ("w", 9)], "k string, v int")
     out = top_and_bottom_n(df, "v", 1, tie_break=["k"])
     assert rows(out, "k") == [("w",), ("x",)]
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(-5, 5)), min_size=1, max_size=80), st.integers(1, 4))
+def test_top_n_matches_brute_force(spark, pairs, n):
+    rows_in = [(g, v, i) for i, (g, v) in enumerate(pairs)]
+    df = spark.createDataFrame(rows_in, "g int, v int, k int")
+    got = rows(top_n_per_group(df, ["g"], [F.desc("v"), F.asc("k")], n, rank_col="r"))
+    want = []
+    for g in sorted({g for g, _, _ in rows_in}):
+        ranked = sorted((r for r in rows_in if r[0] == g), key=lambda r: (-r[1], r[2]))[:n]
+        want += [(*r, i + 1) for i, r in enumerate(ranked)]
+    assert got == sorted(want)
+    tb = rows(top_and_bottom_n(df, "v", n, tie_break=["k"]), "k")
+    top = sorted(rows_in, key=lambda r: (-r[1], r[2]))[:n]
+    bottom = sorted(rows_in, key=lambda r: (r[1], r[2]))[:n]
+    assert tb == sorted((r[2],) for r in top + bottom)
