@@ -102,3 +102,31 @@ def test_us_date_round_trip(spark, dates, padded):
     df = spark.createDataFrame([(fmt(d),) for d in dates], "t string")
     got = [r[0] for r in df.select(us_date_text(F.col("t"))).collect()]
     assert got == dates
+
+
+@settings(max_examples=4, deadline=None)
+@given(
+    st.lists(st.tuples(st.integers(0, 5), st.sampled_from(["W", "B", "K", None]), st.booleans()), min_size=1, max_size=60),
+    st.lists(st.tuples(st.integers(0, 6), st.integers(0, 3)), min_size=1, max_size=20),
+    st.lists(st.tuples(st.integers(0, 3), st.integers(1, 9)), min_size=1, max_size=6),
+)
+def test_preaggregated_descent_equals_join_then_count(spark, incidents, geocode, income):
+    from blotter.plans.reports import descent_in_income_extremes, income_extreme_areas
+
+    crimes = spark.createDataFrame(
+        [(f"{p}.5", "-118.0", code, "06/01/2015" if in_year else "06/01/2014") for p, code, in_year in incidents],
+        "LAT string, LON string, `Vict Descent` string, `DATE OCC` string",
+    )
+    geo = spark.createDataFrame([(f"{p}.5", "-118.0", str(z)) for p, z in geocode], "LAT string, LON string, ZIPcode string")
+    inc = spark.createDataFrame([(str(z), f"${v}") for z, v in income], "`Zip Code` string, `Estimated Median Income` string")
+    got = sorted(tuple(r) for r in descent_in_income_extremes(crimes, geo, inc, year=2015, n=2).collect())
+    # the naive plan: filter, join geocode, join the ZIP list, count per code
+    zips = income_extreme_areas(inc, n=2)
+    naive = (
+        crimes.filter(F.col("`DATE OCC`") == "06/01/2015").filter(F.col("`Vict Descent`").isNotNull())
+        .join(geo, ["LAT", "LON"]).join(zips, F.col("ZIPcode") == zips["`ZIP Code`"])
+        .groupBy("`Vict Descent`").count().collect()
+    )
+    labels = {"W": "White", "B": "Black"}
+    want = sorted((labels.get(r[0], "Error"), r[1]) for r in naive)
+    assert got == want
