@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -130,3 +131,23 @@ def test_preaggregated_descent_equals_join_then_count(spark, incidents, geocode,
     labels = {"W": "White", "B": "Black"}
     want = sorted((labels.get(r[0], "Error"), r[1]) for r in naive)
     assert got == want
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", None]), st.integers(1, 3), st.integers(90, 210)), min_size=1, max_size=50))
+def test_single_aggregate_equals_mean_join_count(spark, incidents):
+    crimes = spark.createDataFrame(
+        [("06/01/2015", str(a), name, str(w), f"34.{a}", "-118.1") for name, a, w in incidents],
+        "`DATE OCC` string, AREA string, `AREA NAME` string, `Weapon Used Cd` string, LAT string, LON string",
+    )
+    stations = spark.createDataFrame([(str(a), f"S{a}", "34.05", "-118.25") for a in (1, 2, 3)], "PREC string, DIVISION string, Y string, X string")
+    got = sorted(tuple(r) for r in R.assigned_distance_by_area(crimes, stations).collect())
+    # the reference's form: mean per name JOIN count per name (inner, so the null name vanishes)
+    fired = R.firearm_incidents(crimes, extra=("AREA NAME",))
+    joined = assigned_site(fired, R.station_sites(stations), "AREA", "AREA", "LAT", "LON", "Y", "X")
+    mean = joined.groupBy("`AREA NAME`").agg(F.avg("distance").alias("avg(distance)"))
+    count = joined.groupBy("`AREA NAME`").count()
+    want = sorted(tuple(r) for r in mean.join(count, "AREA NAME").select("`AREA NAME`", "`avg(distance)`", "count").collect())
+    assert [(a, c) for a, _, c in got] == [(a, c) for a, _, c in want]
+    for (_, g, _), (_, w, _) in zip(got, want):
+        assert g == pytest.approx(w, rel=1e-12)
