@@ -9,6 +9,7 @@ rounded to 6 decimals on both sides, as summation order is not fixed.
 
 from __future__ import annotations
 
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -100,6 +101,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return q1_top_months(spark, SMOKE_DIR)
 
 
+def _corpus() -> tuple[dict, dict]:
+    """Queries and SQL of the corpus operators, if that subpackage is there."""
+    if importlib.util.find_spec("blotter.llm") is None:
+        return {}, {}
+    from blotter.llm import registry
+
+    queries, sql = dict(registry.QUERIES), dict(registry.SQL)
+    if importlib.util.find_spec("corpus_pipeline") is not None:
+        import corpus_pipeline
+
+        queries["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return queries, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "q0_base": q0_base,
@@ -114,6 +131,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "q4_nearest_by_day": q4_nearest_by_day,
         "q4_nearest_by_site": q4_nearest_by_site,
         "q4_nearest_by_site_grid": q4_nearest_by_site_grid,
+        **_corpus()[0],
     }
 
 
@@ -308,4 +326,5 @@ def oracle_sql() -> dict[str, str]:
         """,
         "q4_nearest_by_site": _NEAREST_BY_SITE,
         "q4_nearest_by_site_grid": _NEAREST_BY_SITE,
+        **_corpus()[1],
     }

@@ -20,7 +20,7 @@ def executed_plan(df) -> str:
     return executed_final_plan(df)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(n for n in E.queries() if n.startswith("q")))
 def test_no_python_in_any_registered_query(spark, name):
     df = E.queries()[name](spark, SMOKE_DIR)
     plan = df._jdf.queryExecution().executedPlan().toString() + df._jdf.queryExecution().optimizedPlan().toString()
