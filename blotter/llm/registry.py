@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from blotter.llm import exact_dedup, repetition
+from blotter.llm import automaton, exact_dedup, packing, repetition, secrets
 
 QUERIES = {
+    "op1_secret_ownership": secrets.query,
+    "op6_token_automaton": automaton.query,
     "op7_bloom_exact_dedup": exact_dedup.query,
     "op8_repetition_rules": repetition.query,
+    "op9_best_two_fit": packing.query,
 }
 SQL = {
     "op7_bloom_exact_dedup": exact_dedup.SQL,
