@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from blotter.llm import automaton, exact_dedup, packing, repetition, secrets
+from blotter.llm import automaton, exact_dedup, near_dedup, packing, repetition, secrets
 
 QUERIES = {
     "op1_secret_ownership": secrets.query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op7_bloom_exact_dedup": exact_dedup.query,
     "op8_repetition_rules": repetition.query,
     "op9_best_two_fit": packing.query,
+    "op10_chosen_path_near_dedup": near_dedup.query,
 }
 SQL = {
     "op7_bloom_exact_dedup": exact_dedup.SQL,
