@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from blotter.llm import automaton, exact_dedup, near_dedup, packing, repetition, secrets
+from blotter.llm import automaton, exact_dedup, language_model, near_dedup, packing, personal_data, repetition, secrets
 
 QUERIES = {
     "op1_secret_ownership": secrets.query,
+    "op3_deleted_interpolation": language_model.query,
+    "op4_semi_crf_pii": personal_data.query,
     "op6_token_automaton": automaton.query,
     "op7_bloom_exact_dedup": exact_dedup.query,
     "op8_repetition_rules": repetition.query,
