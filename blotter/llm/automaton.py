@@ -104,7 +104,7 @@ class Codec:
         self.automaton = MergeAutomaton(vocabulary)
         self.split = regex.compile(SPLIT).findall
         self.words: dict[str, bytes] = {}
-        self.packed = PieceCache(self._encode, vocabulary.special)
+        self.pieces = PieceCache(self._encode, vocabulary.special)
         size = max(vocabulary.label) + 1
         self.label = [vocabulary.label.get(i, b"") for i in range(size)]
 
@@ -130,7 +130,7 @@ class Codec:
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.frombuffer(p, "<u4") for p in self.packed(texts)]
+        return self.pieces(texts)
 
     def decode(self, ids) -> str:
         """Bytes that are no UTF-8 become U+FFFD."""

@@ -122,18 +122,19 @@ class Words:
         at = np.cumsum([1, *(len(b) + 1 for b in blobs)])
         self.first = np.searchsorted(self.start, at)
         self.doc = np.repeat(np.arange(len(texts)), np.diff(self.first))
-        self.hash = self._hash()
-
-    def _hash(self) -> np.ndarray:
-        up, down = _powers(len(self.data) + 1)
-        total = np.zeros(len(self.data) + 1, np.uint64)
-        np.cumsum(_BYTE[self.data] * up[: len(self.data)], out=total[1:])
-        length = (self.end - self.start).astype(np.uint64)
-        out = mix((total[self.end] - total[self.start]) * down[self.start] + length * np.uint64(0xD6E8FEB86659FD93))
-        for i in np.flatnonzero(length > _LONG_WORD):
-            word = self.data[self.start[i] : self.end[i]].tobytes()
-            out[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return out
+        self.hash = span_hashes(data, self.start, self.end)
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the byte strings ``data[start:end]``."""
+    up, down = _powers(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * up[: len(data)], out=total[1:])
+    length = (end - start).astype(np.uint64)
+    out = mix((total[end] - total[start]) * down[start] + length * np.uint64(0xD6E8FEB86659FD93))
+    for i in np.flatnonzero(length > _LONG_WORD):
+        out[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return out
 
 
 def joined_hash(parts: list[np.ndarray]) -> np.ndarray:
