@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from blotter.llm import automaton, exact_dedup, language_model, near_dedup, packing, personal_data, repetition, secrets
+from blotter.llm import automaton, exact_dedup, language_model, near_dedup, packing, personal_data, repetition, secrets, suffix_dedup
 
 QUERIES = {
     "op1_secret_ownership": secrets.query,
+    "op2_suffix_dedup": suffix_dedup.query,
     "op3_deleted_interpolation": language_model.query,
     "op4_semi_crf_pii": personal_data.query,
     "op6_token_automaton": automaton.query,
