@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from blotter.llm import automaton, exact_dedup, language_model, near_dedup, packing, personal_data, repetition, secrets, suffix_dedup
+from blotter.llm import automaton, exact_dedup, language_model, licenses, near_dedup, packing, personal_data, repetition, secrets, suffix_dedup
 
 QUERIES = {
     "op1_secret_ownership": secrets.query,
     "op2_suffix_dedup": suffix_dedup.query,
     "op3_deleted_interpolation": language_model.query,
     "op4_semi_crf_pii": personal_data.query,
+    "op5_license_digest": licenses.query,
     "op6_token_automaton": automaton.query,
     "op7_bloom_exact_dedup": exact_dedup.query,
     "op8_repetition_rules": repetition.query,
@@ -16,5 +17,6 @@ QUERIES = {
     "op10_chosen_path_near_dedup": near_dedup.query,
 }
 SQL = {
+    "op5_license_digest": licenses.SQL,
     "op7_bloom_exact_dedup": exact_dedup.SQL,
 }
