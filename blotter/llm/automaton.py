@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame, SparkSession
 from blotter.llm.common import documents, with_text_columns
 from blotter.llm.tokens import SPLIT, PieceCache, Vocabulary, default_vocabulary
 
+#: Lengths of labels where the next four bytes begin none that is longer.
+_SHORT = (3, 2, 1)
 #: Entries of the transition table and of the words held by a worker.
 HELD = 400_000
 
@@ -33,7 +35,7 @@ class MergeAutomaton:
         made = {w for _, _, w in vocabulary.merges}
         self.label = vocabulary.label
         self.token = {label: i for i, label in vocabulary.label.items() if len(label) == 1 or i in made}
-        self.longest = max(map(len, self.token))
+        self.lengths = self._lengths()
         self.left: dict[int, int] = {}
         self.time = dict.fromkeys(self.token.values(), -1)
         self.target = dict.fromkeys((i for label, i in self.token.items() if len(label) == 1), 0)
@@ -53,6 +55,18 @@ class MergeAutomaton:
         self.lost.append(v)
         self.since.append(time)
 
+    def _lengths(self) -> dict[bytes, tuple[int, ...]]:
+        """By the next four bytes (fewer at the end), the lengths of the labels
+        that may follow, longest first."""
+        found: dict[bytes, set[int]] = {}
+        for label in self.token:
+            found.setdefault(label[:4], set()).add(len(label))
+        for head in [*found]:
+            for k in range(1, len(head)):
+                if head[:k] in self.token:
+                    found[head].add(k)
+        return {head: tuple(sorted(sizes, reverse=True)) for head, sizes in found.items()}
+
     def has_arc(self, state: int, token: int) -> bool:
         copied, lost, since, left, time = self.copied, self.lost, self.since, self.left, self.time
         while state:
@@ -65,32 +79,33 @@ class MergeAutomaton:
 
     def encode(self, word: bytes) -> list[int]:
         """Ids of the path that spells ``word``; longer labels are tried first."""
-        n, token, table, target = len(word), self.token, self.table, self.target
+        n, token, table, target, lengths = len(word), self.token, self.table, self.target, self.lengths
         path: list[int] = []
-        at, state, length = 0, 0, min(self.longest, n)
+        at, state, below = 0, 0, n + 1
         places: list[tuple[int, int, int]] = []
         dead: set[tuple[int, int]] = set()
         while at < n:
-            while length:
+            found = 0
+            for length in lengths.get(word[at : at + 4], _SHORT):
+                if length >= below or length > n - at:
+                    continue
                 t = token.get(word[at : at + length])
                 if t is not None:
                     key = state << 20 | t
                     ok = table.get(key)
                     if ok is None:
                         ok = table[key] = self.has_arc(state, t)
-                    if ok and (at + length, target[t]) not in dead:
+                    if ok and (not dead or (at + length, target[t]) not in dead):
+                        found = length
                         break
-                length -= 1
-            if length:
-                places.append((at, state, length))
+            if found:
+                places.append((at, state, found))
                 path.append(t)
-                at, state = at + length, target[t]
-                length = min(self.longest, n - at)
+                at, state, below = at + found, target[t], n + 1
             else:
                 dead.add((at, state))
-                at, state, length = places.pop()
+                at, state, below = places.pop()
                 path.pop()
-                length -= 1
         return path
 
 
@@ -145,7 +160,7 @@ def codec(path: str) -> Codec:
 
 def encode(docs: DataFrame, text_col: str = "text", vocabulary: str | None = None) -> DataFrame:
     """``docs`` with ``ids``, array<int>. A null or empty text has no ids.
-    Rows are encoded one by one; the input has no column ids."""
+    Rows are encoded one by one; a column ids of the input is replaced."""
     path = vocabulary or default_vocabulary()
     return with_text_columns(docs, "ids array<int>", lambda texts: [[i.astype(np.int32) for i in codec(path).encode(texts)]], text_col)
 
@@ -155,6 +170,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", vocabulary: str | None = No
     from pyspark.sql.types import StringType, StructField, StructType
 
     path = vocabulary or default_vocabulary()
+    encoded = encoded.drop("decoded")
 
     def run(batches):
         import pyarrow as pa
