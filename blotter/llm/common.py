@@ -67,9 +67,12 @@ def texts_of(column: pa.Array) -> list[str]:
 
 
 def with_text_columns(df: DataFrame, fields: str, fn: Callable[[list[str]], list], text: str = "text") -> DataFrame:
-    """``df`` with the columns of ``fields`` (DDL) added at the end; ``fn``
-    gets the texts of some rows and returns one sequence for each field."""
+    """``df`` with the columns of ``fields`` (DDL) added at the end, in place
+    of columns with these names; ``fn`` gets the texts of some rows and returns
+    one sequence for each field."""
     added = StructType.fromDDL(fields)
+    taken = {f.name.lower() for f in added.fields}
+    df = df.select(*[f"`{c}`" for c in df.columns if c.lower() not in taken])
     schema = StructType([*df.schema.fields, *added.fields])
     at = df.columns.index(text)
 

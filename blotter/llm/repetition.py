@@ -126,8 +126,7 @@ def repetition_rules(
     """``docs`` with the counts and the verdict of every whole text.
 
     A null or empty text has no words, so it fails. The columns of the input
-    stay as they are and come first; give it none that are called like the
-    new ones. Rows are judged one by one: repeated rows get equal answers.
+    come first, but for those that are called like new ones. Rows are judged one by one: repeated rows get equal answers.
     """
     return with_text_columns(docs, _FIELDS, lambda texts: judge(texts, min_words, max_covered, max_longest), text_col)
 
