@@ -1,12 +1,16 @@
-"""Burrows-Wheeler transform and common prefixes of a collection, by columns.
-
-The transform begins with the last symbol of every string. In round j the
-suffixes of length j enter, one for each string that is long enough: where a
-symbol stands in the transform decides where the suffix that begins with it
-goes, and the symbol before the suffix is written there. The common prefix of a
-new suffix and its neighbours is one more than the smallest value between the
-places of their symbols. Transform and common prefixes are files that each
-round reads from the front and writes anew.
+"""Burrows-Wheeler transform and common prefixes of an aligned collection, by columns.
+
+The strings of a collection stand under one another, aligned at a given place.
+Round after round, from the last column to the first, one symbol of each string
+enters: the suffixes that begin in a column are the symbols of that column in
+front of the suffixes of the next one, so a stable sort of the symbols, in the
+order of the suffixes behind them, is their order, and the common prefix of
+neighbours with the same symbol is one more than the smallest between their
+places. Strings may end and begin in any column. Suffixes are compared within a
+column and a group alone, as aligned repeats stand in one column.
+
+A round reads order and common prefixes of the column behind from files, from
+front to end, and writes those of its own column.
 """
 
 from __future__ import annotations
@@ -15,125 +19,102 @@ import tempfile
 
 import numpy as np
 
-#: Ends a string; never a byte of UTF-8. Ends of different strings differ.
-END = 255
 
+class AlignedTransform:
+    """``offset`` is the place in each string that is aligned. Common prefixes
+    count up to ``most`` (at most 255). The files are the task's own and last
+    while the object is in use."""
 
-class CollectionBWT:
-    """For strings of UTF-8 bytes; common prefixes count up to ``most`` (at
-    most 255). The files are the task's own and last while the object is in use."""
-
-    def __init__(self, strings: list[bytes], most: int):
-        self.length = np.array(list(map(len, strings)), np.int64)
-        self.most = most
-        width = int(self.length.max(initial=0))
-        #: Right-aligned: column -1 holds the last symbols, END stands before the first.
-        self.column = np.full((width + 1, len(strings)), END, np.uint8)
+    def __init__(self, strings: list[bytes], offset: np.ndarray, group: np.ndarray, most: int):
+        length = np.array(list(map(len, strings)), np.int64)
+        self.first = int(offset.max(initial=0)) - offset
+        self.end = self.first + length
+        self.offset, self.group, self.most = offset, group.astype(np.int64), most
+        #: Symbols by column.
+        self.column = np.zeros((int(self.end.max(initial=0)), len(strings)), np.uint8)
         for k, s in enumerate(strings):
-            if s:
-                self.column[width + 1 - len(s) :, k] = np.frombuffer(s, np.uint8)
+            self.column[self.first[k] : self.end[k], k] = np.frombuffer(s, np.uint8)
 
     def __enter__(self):
-        self._files = {(n, t): tempfile.TemporaryFile(buffering=0) for n in ("bwt", "lcp") for t in (0, 1)}
-        self._build()
+        self._files = {(n, t): tempfile.TemporaryFile(buffering=0) for n in ("order", "lcp") for t in (0, 1)}
         return self
 
     def __exit__(self, *_):
         for f in self._files.values():
             f.close()
 
-    def _read(self, turn: int) -> tuple[np.ndarray, np.ndarray]:
-        """The transform and the common prefixes with a zero at their end."""
+    def _read(self, column: int, size: int) -> tuple[np.ndarray, np.ndarray]:
         out = []
-        for name, size in (("bwt", self._size), ("lcp", self._size + 1)):
-            file, values = self._files[name, turn % 2], np.empty(size, np.uint8)
+        for name, kind in (("order", np.int32), ("lcp", np.uint8)):
+            values, file = np.empty(size, kind), self._files[name, column % 2]
             file.seek(0)
-            if file.readinto(values) != size:
+            if file.readinto(values) != values.nbytes:
                 raise OSError(f"the {name} file is short")
             out.append(values)
         return out[0], out[1]
 
-    def _write(self, turn: int, bwt: np.ndarray, lcp: np.ndarray) -> None:
-        self._size = len(bwt)
-        for name, values in (("bwt", bwt), ("lcp", lcp)):
-            file = self._files[name, turn % 2]
+    def _write(self, column: int, order: np.ndarray, lcp: np.ndarray) -> None:
+        for name, values in (("order", order), ("lcp", lcp)):
+            file = self._files[name, column % 2]
             file.seek(0)
-            if file.write(values) != len(values):
+            if file.write(values) != values.nbytes:
                 raise OSError(f"the {name} file was cut short")
 
-    def _build(self) -> None:
-        m = len(self.length)
-        self._write(0, self.column[-1], np.zeros(m + 1, np.uint8))
-        at = np.arange(m)  # where the newest symbol of each string stands
-        count = np.bincount(self.column[-1], minlength=256)
-        active = np.flatnonzero(self.length > 0)
-        self.rounds = len(self.column) - 1
-        for j in range(1, self.rounds + 1):
-            bwt, lcp = self._read(j - 1)
-            active = active[self.length[active] >= j]
-            order = np.argsort(bwt, kind="stable")
-            new = _places(bwt, order, count, at[active])
-            before, behind = self._common(lcp, order, bwt, new)
-            size = len(bwt) + len(active)
-            kept = np.ones(size + 1, bool)
-            kept[new] = False
-            next_bwt, next_lcp = np.empty(size, np.uint8), np.empty(size + 1, np.uint8)
-            next_bwt[kept[:-1]], next_lcp[kept] = bwt, lcp
-            next_bwt[new] = self.column[-1 - j, active]
-            count += np.bincount(self.column[-1 - j, active], minlength=256)
-            next_lcp[new + 1] = behind  # of the next suffix; a new one sets its own below
-            next_lcp[-1] = 0
-            next_lcp[new] = before
-            at[active] = new
-            self._write(j, next_bwt, next_lcp)
-
-    def _common(self, lcp: np.ndarray, order: np.ndarray, bwt: np.ndarray, new: np.ndarray):
-        """Common prefixes of the suffixes at ``new`` with those before and after."""
-        out = []
-        n = len(order)
-        for a, b in ((new - 1, new), (new, new + 1)):
-            value = np.zeros(len(new), np.uint8)
-            ok = np.flatnonzero((a >= 0) & (b < n))
-            ok = ok[bwt[order[a[ok]]] == bwt[order[b[ok]]]]
-            if len(ok):
-                ok = ok[np.argsort(order[a[ok]])]  # so that reduceat reads on, from the front
-                span = np.empty(2 * len(ok), np.int64)
-                span[::2], span[1::2] = order[a[ok]] + 1, order[b[ok]] + 1
-                low = np.minimum.reduceat(lcp, span)[::2].astype(np.int64)
-                value[ok] = np.minimum(low + 1, self.most)
-            out.append(value)
-        return out
-
     def repeated_starts(self) -> tuple[np.ndarray, np.ndarray]:
-        """(string, start) of the suffixes that share ``most`` symbols with another."""
-        bwt, lcp = self._read(self.rounds)
-        order = np.argsort(bwt, kind="stable")
-        place = np.empty(len(bwt), np.int64)
-        place[order] = np.arange(len(bwt))
-        reach = lcp >= self.most
-        repeated = reach[:-1] | reach[1:]
-        at = len(bwt) - len(self.length) + np.arange(len(self.length))  # of the ends
-        strings, starts = [], []
-        for j in range(1, self.rounds + 1):
-            active = np.flatnonzero(self.length >= j)
-            at[active] = place[at[active]]
-            if j >= self.most:
-                hit = active[repeated[at[active]]]
-                strings.append(hit)
-                starts.append(self.length[hit] - j)
-        none = [np.zeros(0, np.int64)]
-        return np.concatenate(strings or none), np.concatenate(starts or none)
-
-
-def _places(bwt: np.ndarray, order: np.ndarray, count: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Ranks of the suffixes that begin with the symbols at ``at``: symbols are
-    stably sorted in ``order``, so each symbol's places ascend there."""
-    symbol = bwt[at]
-    edge = np.concatenate([[0], np.cumsum(count)])
-    out = np.empty(len(at), np.int64)
-    by_symbol = np.argsort(symbol, kind="stable")
-    for group in np.split(by_symbol, np.flatnonzero(np.diff(symbol[by_symbol])) + 1):
-        if len(group):
-            s = symbol[group[0]]
-            out[group] = edge[s] + np.searchsorted(order[edge[s] : edge[s + 1]], at[group])
-    return out
+        """(string, start) of the suffixes that share ``most`` symbols with
+        another of their column and group."""
+        none = np.zeros(0, np.int64)
+        strings, starts = [none], [none]
+        by_end = np.argsort(self.end, kind="stable")
+        ends = self.end[by_end]
+        size = 0
+        for c in range(len(self.column) - 1, -1, -1):
+            order, lcp = self._read(c + 1, size) if size else (np.zeros(0, np.int32), np.zeros(0, np.uint8))
+            order, lcp = self._without(order, lcp, self.first[order] <= c)
+            new = by_end[np.searchsorted(ends, c + 1) : np.searchsorted(ends, c + 1, "right")]
+            order, lcp = self._with(order, lcp, new[self.first[new] <= c])
+            order, lcp = self._sorted(order, lcp, self.column[c])
+            size = len(order)
+            self._write(c, order, lcp)
+            reach = np.append(lcp >= self.most, False)
+            hit = order[reach[:-1] | reach[1:]]
+            strings.append(hit)
+            starts.append(c - self.first[hit])
+        return np.concatenate(strings), np.concatenate(starts)
+
+    def _without(self, order, lcp, kept):
+        """Strings that began in the column behind leave; prefixes meet over them."""
+        at = np.flatnonzero(kept)
+        if len(at) == len(order):
+            return order, lcp
+        if not len(at):
+            return order[:0], lcp[:0]
+        low = np.minimum.reduceat(lcp[: at[-1] + 1], np.concatenate([[0], at[:-1] + 1]))
+        return order[at], low
+
+    def _with(self, order, lcp, new):
+        """Strings that end in this column enter, before all others of their group."""
+        if not len(new):
+            return order, lcp
+        order = np.concatenate([new.astype(np.int32), order])
+        lcp = np.concatenate([np.zeros(len(new), np.uint8), lcp])
+        by_group = np.argsort(self.group[order], kind="stable")
+        return order[by_group], lcp[by_group]
+
+    def _sorted(self, order, lcp, symbols):
+        """``order`` after the symbols in front; prefixes do not reach over groups."""
+        key = self.group[order] << 8 | symbols[order]
+        by_key = np.argsort(key, kind="stable")
+        key = key[by_key]
+        out = np.zeros(len(order), np.uint8)
+        same = np.flatnonzero(key[1:] == key[:-1]) + 1
+        a, b = by_key[same - 1], by_key[same]
+        value = lcp[b].astype(np.int64)
+        apart = np.flatnonzero(b - a > 1)
+        if len(apart):
+            apart = apart[np.argsort(a[apart])]
+            span = np.empty(2 * len(apart), np.int64)
+            span[::2], span[1::2] = a[apart] + 1, b[apart] + 1
+            value[apart] = np.minimum.reduceat(np.append(lcp, np.uint8(0)), span)[::2]
+        out[same] = np.minimum(value + 1, self.most)
+        return order[by_key], out

@@ -8,9 +8,9 @@ Anchors that occur once are set aside by a Bloom filter of those that do not;
 its size is bounded, what it lets through is counted exactly.
 
 Equal segments are one string with a count; with a count of two or more all its
-windows repeat. Different segments of an anchor are compared by the transform of
-their collection (``collection_bwt``): windows repeat where a common prefix has
-``WINDOW`` symbols. Anchors with more than ``MOST_STRINGS`` different segments
+windows repeat. Different segments of an anchor, aligned there, are compared by
+the transform of their collection (``collection_bwt``): windows repeat where a
+common prefix has ``WINDOW`` symbols. Anchors with more than ``MOST_STRINGS`` different segments
 would fill a task; their windows are counted by hash, spread over all tasks.
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from blotter.llm.collection_bwt import CollectionBWT
+from blotter.llm.collection_bwt import AlignedTransform
 from blotter.llm.common import _BYTE, _powers, documents, mix, slices, texts_of, written
 
 WINDOW = 200
@@ -35,8 +35,9 @@ BITS_PER_ENTRY = 16
 _BLOCK = 32768
 #: Strings in a collection, and of one anchor at most.
 STRINGS, MOST_STRINGS = 1500, 4000
-#: Texts are read in stretches of so many windows.
-STRETCH = 1_000_000
+#: Texts are read in stretches of so many windows, whose hashes fit a cache.
+STRETCH = 200_000
+_ORDER = np.uint64(0xD1342543DE82EF95)
 
 _SEGMENT = "anchor long, offset int, windows int, hash long"
 SEGMENT = ["anchor", "offset", "windows", "hash"]
@@ -46,7 +47,7 @@ SEGMENT = ["anchor", "offset", "windows", "hash"]
 
 
 def _stretches(blobs: list[bytes], window: int):
-    """Lists of (text, first byte, bytes), each of some megabytes at most."""
+    """Lists of (text, first byte, bytes), each of two stretches at most."""
     held, size = [], 0
     for i, blob in enumerate(blobs):
         for a in range(0, max(len(blob) - window + 1, 0), STRETCH):
@@ -61,14 +62,13 @@ def _stretches(blobs: list[bytes], window: int):
 
 
 def _window_minima(values: np.ndarray, width: int) -> np.ndarray:
-    """The smallest of each ``width`` neighbours, by minima from both ends of blocks."""
-    n = len(values)
-    padded = np.full(-(-n // width) * width, np.iinfo(np.uint64).max, np.uint64)
-    padded[:n] = values
-    blocks = padded.reshape(-1, width)
-    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-    behind = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
+    """The smallest of each ``width`` neighbours, from those of powers of two."""
+    have = 1
+    while 2 * have <= width:
+        values = np.minimum(values[:-have], values[have:])
+        have *= 2
+    rest = width - have
+    return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
 def segments(blobs: list[bytes], window: int = WINDOW, gram: int = GRAM):
@@ -83,9 +83,12 @@ def segments(blobs: list[bytes], window: int = WINDOW, gram: int = GRAM):
         up, down = _powers(len(data) + 1)
         total = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(_BYTE[data] * up[: len(data)], out=total[1:])
-        grams = mix((total[gram:] - total[:-gram]) * down[: len(data) - gram + 1])
+        grams = (total[gram:] - total[:-gram]) * down[: len(data) - gram + 1]
         place = np.uint64((1 << 24) - 1)
-        minima = _window_minima((grams & ~place) | np.arange(len(grams), dtype=np.uint64), window - gram + 1)
+        ranked = grams * _ORDER
+        ranked &= ~place
+        ranked |= np.arange(len(grams), dtype=np.uint64)
+        minima = _window_minima(ranked, window - gram + 1)
         valid = np.zeros(len(data) + 1, np.int8)
         valid[begin] += 1
         valid[begin + size - window + 1] -= 1
@@ -98,7 +101,7 @@ def segments(blobs: list[bytes], window: int = WINDOW, gram: int = GRAM):
         body = mix((total[lo + length] - total[lo]) * down[lo] + length.astype(np.uint64))
         k = np.searchsorted(begin, lo, "right") - 1
         text, shift = (np.array([h[x] for h in held], np.int64)[k] for x in (0, 1))
-        out.append((text, lo - begin[k] + shift, grams[anchor].view(np.int64), anchor - lo, windows, body.view(np.int64)))
+        out.append((text, lo - begin[k] + shift, mix(grams[anchor]).view(np.int64), anchor - lo, windows, body.view(np.int64)))
         parts.append((data, lo, length))
     sizes = np.cumsum([0, *(len(o[0]) for o in out)])
 
@@ -238,14 +241,16 @@ def _compared(strings: DataFrame, window: int) -> DataFrame:
 def _collections(table: pa.Table, window: int):
     anchor = table.column("anchor").to_numpy()
     edges = [0, *(np.flatnonzero(np.diff(anchor)) + 1).tolist(), len(anchor)]
+    group = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
     start = 0
     for e, after in zip(edges[1:], [*edges[2:], None]):
         if after is None or after - start > STRINGS:
             part = table.slice(start, e - start)
             strings = part.column("content").to_pylist()
             if strings:
-                with CollectionBWT(strings, window) as c:
-                    which, begin = c.repeated_starts()
+                offset = part.column("offset").to_numpy().astype(np.int64)
+                with AlignedTransform(strings, offset, group[start:e], window) as t:
+                    which, begin = t.repeated_starts()
                 yield _spans(part, which, begin, window)
             start = e
 
@@ -257,7 +262,7 @@ def _spans(part: pa.Table, which: np.ndarray, begin: np.ndarray, window: int):
     new = np.ones(len(which), bool)
     new[1:] = (which[1:] != which[:-1]) | (begin[1:] != begin[:-1] + 1)
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(which)) - 1
+    last = np.append(first, len(which))[1:] - 1
     edge = np.searchsorted(which[first], np.arange(part.num_rows + 1)).astype(np.int32)
     a, b = (pa.ListArray.from_arrays(pa.array(edge), pa.array(x.astype(np.int32))) for x in (begin[first], begin[last] + window))
     columns = [part.column(c).combine_chunks() for c in SEGMENT]
