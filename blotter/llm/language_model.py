@@ -19,6 +19,7 @@ from math import ceil
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,32 +38,80 @@ GRID = 16
 _NEVER = -(10**6)
 #: The least weight of the uniform share.
 FLOOR = 1e-6
+#: Texts are split into words by so many at once.
+_AT_ONCE = 500_000
 START, END = np.uint64(0x5353), np.uint64(0x4545)
 
 
+def zstd() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=1)
+
+
 def pack(values: np.ndarray) -> bytes:
-    """Byte planes, which compress where high bytes are alike."""
-    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    """Byte planes, compressed: high bytes are alike."""
+    planes = values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+    return len(planes).to_bytes(8, "little") + (zstd().compress(planes, asbytes=True) if planes else b"")
 
 
 def unpack(blob: bytes, dtype) -> np.ndarray:
-    planes = np.frombuffer(blob, np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    size = int.from_bytes(blob[:8], "little")
+    planes = np.frombuffer(zstd().decompress(blob[8:], size, asbytes=True) if size else b"", np.uint8)
+    planes = planes.reshape(np.dtype(dtype).itemsize, -1)
     return np.ascontiguousarray(planes.T).view(dtype).reshape(-1)
 
 
+def pack_rows(rows: DataFrame) -> DataFrame:
+    """``rows`` (id, text, role, block) as (block, role, rows): those of a
+    block that a task has read at once, compressed. Texts are shuffled twice,
+    and so take less than half the room."""
+
+    def run(batches):
+        for batch in batches:
+            block = batch.column("block").to_numpy()
+            order = np.argsort(block, kind="stable")
+            edges = [0, *(np.flatnonzero(np.diff(block[order])) + 1).tolist(), len(block)]
+            table = pa.Table.from_batches([batch])
+            out = []
+            for a, b in zip(edges, edges[1:]):
+                if a < b:
+                    part = table.take(pa.array(order[a:b]))
+                    sink = pa.BufferOutputStream()
+                    with pa.ipc.new_stream(sink, part.schema, options=pa.ipc.IpcWriteOptions(compression=zstd())) as writer:
+                        writer.write_table(part.select(["id", "text", "role", "block"]))
+                    out.append((int(block[order[a]]), int(part.column("role")[0].as_py()), sink.getvalue().to_pybytes()))
+            if out:
+                columns = [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "role", "rows"])
+
+    return rows.select("id", "text", "role", "block").mapInArrow(run, "block long, role int, rows binary")
+
+
+def unpack_rows(blobs: pd.Series) -> pa.Table:
+    return pa.concat_tables([pa.ipc.open_stream(b).read_all() for b in blobs])
+
+
 class Tokens:
     """The tokens of some texts: their words and, for each text, one end.
     ``keys`` are the distinct n-grams; word, context and pair index them."""
 
     def __init__(self, texts: list[str]):
-        words = Words(texts, lower=True)
-        n = np.diff(words.first) + 1
+        hashes, sizes, at = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+        while at < len(texts):
+            size, upto = 0, at
+            while upto < len(texts) and (upto == at or size + len(texts[upto]) <= _AT_ONCE):
+                size += len(texts[upto])
+                upto += 1
+            words = Words(texts[at:upto], lower=True)
+            hashes.append(words.hash)
+            sizes.append(np.diff(words.first))
+            at = upto
+        n = np.concatenate(sizes) + 1
         self.doc = np.repeat(np.arange(len(texts)), n)
         last = np.cumsum(n) - 1
         token = np.full(int(n.sum()), END)
         inside = np.ones(len(token), bool)
         inside[last] = False
-        token[inside] = words.hash
+        token[inside] = np.concatenate(hashes)
         before = np.empty_like(token)
         before[1:] = token[:-1]
         before[last - n + 1] = START
@@ -88,7 +137,7 @@ def _parts(keys: np.ndarray, parts: int) -> np.ndarray:
 
 def _ngrams(parts: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        tokens = Tokens(group["text"].tolist())
+        tokens = Tokens(unpack_rows(group["rows"]).column("text").to_pylist())
         keys, count = tokens.keys, tokens.counts()
         part = _parts(keys, parts)
         edges = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])
@@ -144,7 +193,7 @@ def _cells(n_counted: int):
     """Held-out tokens by bucket and rounded estimates."""
 
     def run(docs: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-        tokens = Tokens(docs["text"].tolist())
+        tokens = Tokens(unpack_rows(docs["rows"]).column("text").to_pylist())
         c, _ = _of_block(tokens, counts)
         context = c[tokens.context]
         grid = []
@@ -183,16 +232,17 @@ def learn_weights(cells: DataFrame, n_distinct: int) -> np.ndarray:
 
 def _scores(weights: np.ndarray, n: int, distinct: int):
     def run(docs: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-        tokens = Tokens(docs["text"].tolist())
+        table = unpack_rows(docs["rows"])
+        tokens = Tokens(table.column("text").to_pylist())
         c = sum(_of_block(tokens, counts))
         word, context = c[tokens.word], c[tokens.context]
         mix = weights[bucket_of(context)]
         p = mix[:, 0] * _ratio(c[tokens.pair], context) + mix[:, 1] * _ratio(word, n) + mix[:, 2] / (distinct + 1)
         base = np.log10((word + 0.5) / (n + 0.5 * (distinct + 1)))
-        rows = len(docs)
+        rows = table.num_rows
         sums = lambda x=None: np.bincount(tokens.doc, weights=x, minlength=rows)
         return pd.DataFrame({
-            "id": docs["id"], "held_out": docs["role"] == TEST, "n_tokens": sums().astype(np.int64),
+            "id": pd.Series(table.column("id").to_pylist(), dtype=object), "held_out": bool(docs["role"].iloc[0] == TEST), "n_tokens": sums().astype(np.int64),
             "n_known": sums(word > 0).astype(np.int64), "train_tokens": n,
             "base_score": sums(base), "score": sums(np.log10(p)),
         })
@@ -223,7 +273,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     of_role = F.when(F.col("role") == TEST, number[TEST]).when(F.col("role") == WEIGHED, number[WEIGHED]).otherwise(number[COUNTED])
     # by id and text, so that neither copies nor null ids fill one block
     block = F.pmod(F.xxhash64("id", "text"), of_role.cast("long")) * 3 + F.col("role")
-    dealt = picked.withColumn("block", block)
+    dealt = pack_rows(picked.withColumn("block", block))
 
     sent = dealt.groupBy("block").applyInPandas(
         _ngrams(max(1, ceil(size / PART_BYTES))), "part long, block long, role int, keys binary, counts binary"

@@ -1,0 +1,59 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+from blotter.llm import exact_dedup as X
+from tests.llm.conftest import EDGES, table
+
+
+def norm(t):
+    return re.sub(r"[\x20\x09-\x0D]+", " ", t or "")
+
+
+def expected(rows):
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(norm(t), []).append(i)
+    out = []
+    for i, t in rows:
+        g = groups[norm(t)]
+        keep = min((x for x in g if x is not None), default=None)
+        out.append((i, keep, len(g), i == keep, hashlib.sha256(norm(t).encode()).hexdigest()))
+    return sorted(out, key=str)
+
+
+def test_groups_of_edge_rows(edges):
+    assert sorted(map(tuple, X.copy_groups(edges).collect()), key=str) == expected(EDGES)
+
+
+def test_a_full_filter_changes_nothing(spark):
+    rows = [(i, f"t{i % 700}") for i in range(2000)]
+    got = X.copy_groups(table(spark, rows), max_log2_slots=15)
+    assert sorted(map(tuple, got.collect()), key=str) == expected(rows)
+
+
+def test_filter_passes_most_single_rows(spark):
+    rows = table(spark, [(i, f"t{i}") for i in range(3000)] + [(9000, "t5")])
+    hashed = rows.selectExpr("doc_id as id", "sha2(text, 256) as sha")
+    blocks = X.blocks_for(3001)
+    marked = X.mark_suspects(hashed, X.repeat_filter(hashed, blocks), blocks).filter("suspect").collect()
+    assert {5, 9000} <= {r.id for r in marked} and len(marked) < 200
+
+
+def test_kept_rows(edges, empty):
+    kept = X.drop_copies(edges)
+    assert kept.columns == edges.columns
+    rows = kept.collect()
+    assert sorted(norm(r.text) for r in rows) == sorted({norm(t) for _, t in EDGES})
+    best = {}
+    for i, t in EDGES:
+        if i is not None:
+            best[norm(t)] = min(i, best.get(norm(t), i))
+    assert all(r.doc_id == best[norm(r.text)] for r in rows)
+    assert X.drop_copies(empty).count() == 0 and X.copy_groups(empty).count() == 0
+
+
+def test_no_python_runs(edges):
+    plan = X.copy_groups(edges)._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
