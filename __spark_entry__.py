@@ -21,10 +21,11 @@ if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from blotter.plans import reports as R  # noqa: E402
 from blotter.plans import standins as S  # noqa: E402
-from blotter.sources.extracts import deduplicate, union_extracts  # noqa: E402
+from blotter.sources.extracts import deduplicate, parse_lines, typed_crimes, union_extracts  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 DIGITS = 6
@@ -32,8 +33,8 @@ Q3_YEAR = 1997
 
 
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Q0 loader: both extracts, UNION ALL, whole-row DISTINCT."""
-    return deduplicate(union_extracts(S.order_extracts(spark, sf_dir)), "rows")
+    """Q0 loader: both extracts, typed, UNION ALL, whole-row DISTINCT."""
+    return deduplicate(typed_crimes(union_extracts(S.order_extracts(spark, sf_dir))), "rows")
 
 
 def q0_base(spark, sf_dir):
@@ -52,6 +53,33 @@ def q1_top_months_sql(spark, sf_dir):
     return R.top_months_sql(_base(spark, sf_dir), n=3)
 
 
+def q0_csv_lines(spark, sf_dir):
+    """Quoted CSV lines under a header in another spelling, parsed and typed."""
+    return R.base_dataset(typed_crimes(parse_lines(S.csv_lines(spark, sf_dir), S.LINE_HEADER)))
+
+
+def q0_rejected_values(spark, sf_dir):
+    return R.rejected_values(parse_lines(S.csv_lines(spark, sf_dir), S.LINE_HEADER))
+
+
+def q1_top_months_view(spark, sf_dir):
+    return R.top_months_sql(_base(spark, sf_dir), n=3, view="crime_dates")
+
+
+def q2_street_parts_csv(spark, sf_dir):
+    """Hours of the street lines, whose premise holds commas and quotes."""
+    crimes = parse_lines(S.csv_lines(spark, sf_dir), S.LINE_HEADER)
+    premise = F.substring_index("Premis Desc", ", ", 1)
+    return R.street_parts_of_day(crimes.withColumn("Premis Desc", premise))
+
+
+def q2_street_parts_text_sets(spark, sf_dir):
+    """Text form over two sets of lines (UNION ALL): odd and even records."""
+    lines = S.event_lines(spark, sf_dir)
+    odd = F.substring_index("value", ",", 1).cast("long") % 2 == 1
+    return R.street_parts_of_day_text(lines.filter(odd).unionByName(lines.filter(~odd)))
+
+
 def q2_street_parts(spark, sf_dir):
     return R.street_parts_of_day(S.event_incidents(spark, sf_dir))
 
@@ -87,12 +115,30 @@ def q4_nearest_by_site(spark, sf_dir):
 
 
 def q4_nearest_by_site_grid(spark, sf_dir):
-    """Q4-2b through the grid search (the path taken beyond ``fold_limit``
-    site locations), forced here so the scale path is checked on real data;
-    the answer must equal ``q4_nearest_by_site``."""
+    """Q4-2b from the incidents themselves, each with its nearest station,
+    without counting them by place first; equals ``q4_nearest_by_site``."""
+    found = R.nearest_stations(S.event_incidents(spark, sf_dir), S.supplier_stations(spark, sf_dir))
+    means = found.groupBy("AREA NAME").agg(F.round(F.avg("distance"), DIGITS).alias("avg(distance)"), F.count(F.lit(1)).alias("count"))
+    return means.filter(F.col("AREA NAME").isNotNull())
+
+
+def q4_nearest_many_sites(spark, sf_dir):
+    """Q4-2b over many stations (a dense cluster and far ones), with repeated
+    and null record numbers and incidents out of range."""
     return R.nearest_distance_by_site(
-        S.event_incidents(spark, sf_dir), S.supplier_stations(spark, sf_dir), digits=DIGITS,
-        fold_limit=0, point_id="DR_NO",
+        S.scattered_incidents(spark, sf_dir), S.order_stations(spark, sf_dir), digits=DIGITS
+    )
+
+
+def q4_assigned_by_year(spark, sf_dir):
+    return R.assigned_distance_by_period(
+        S.dated_incidents(spark, sf_dir), S.supplier_stations(spark, sf_dir), period="year", digits=DIGITS
+    )
+
+
+def q4_nearest_by_year(spark, sf_dir):
+    return R.nearest_distance_by_period(
+        S.dated_incidents(spark, sf_dir), S.supplier_stations(spark, sf_dir), period="year", digits=DIGITS
     )
 
 
@@ -121,16 +167,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "q0_base": q0_base,
         "q0_rows": q0_rows,
+        "q0_csv_lines": q0_csv_lines,
+        "q0_rejected_values": q0_rejected_values,
         "q1_top_months": q1_top_months,
         "q1_top_months_sql": q1_top_months_sql,
+        "q1_top_months_view": q1_top_months_view,
         "q2_street_parts": q2_street_parts,
         "q2_street_parts_text": q2_street_parts_text,
+        "q2_street_parts_csv": q2_street_parts_csv,
+        "q2_street_parts_text_sets": q2_street_parts_text_sets,
         "q3_descent_extremes": q3_descent_extremes,
         "q4_assigned_by_day": q4_assigned_by_day,
+        "q4_assigned_by_year": q4_assigned_by_year,
         "q4_assigned_by_area": q4_assigned_by_area,
         "q4_nearest_by_day": q4_nearest_by_day,
+        "q4_nearest_by_year": q4_nearest_by_year,
         "q4_nearest_by_site": q4_nearest_by_site,
         "q4_nearest_by_site_grid": q4_nearest_by_site_grid,
+        "q4_nearest_many_sites": q4_nearest_many_sites,
         **_corpus()[0],
     }
 
@@ -139,7 +193,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 _EXTRACTS = """
 ext AS (
-    SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1999-01-01'
+    SELECT * FROM orders WHERE coalesce(o_orderdate < TIMESTAMP '1999-01-01', true)
     UNION ALL
     SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01'
 ),
@@ -215,6 +269,13 @@ best AS (
 )
 """
 
+_ASSIGNED_BY_EVENT = f"""
+assigned AS (
+    SELECT f.event_id, CAST({_distance('f.lat', 'f.lon', 's.y', 's.x')} AS REAL) AS distance
+    FROM fired f JOIN st s ON f.area = s.site
+)
+"""
+
 _ASSIGNED = f"""
 assigned AS (
     SELECT f.occ, f.area_name, CAST({_distance('f.lat', 'f.lon', 's.y', 's.x')} AS REAL) AS distance
@@ -223,6 +284,46 @@ assigned AS (
 """
 
 
+# Events as CSV lines: what the cells hold once parsed and typed.
+_LINES = """
+cells AS (
+    SELECT event_id AS k, make_date(2015 + CAST(event_id AS INTEGER) % 3, CAST(month(ts) AS INTEGER),
+                                    CAST(dayofmonth(ts) AS INTEGER) % 28 + 1) AS day,
+           event_type, ts
+    FROM events
+)
+"""
+
+_MANY = f"""
+scattered AS (
+    SELECT event_id, CASE WHEN event_type = 'view' THEN NULL ELSE CAST(floor(value * 4) AS INTEGER) END AS weapon,
+           CAST(CASE WHEN event_id % 5 = 0 THEN CAST(-70.0 AS DOUBLE) + (event_id % 1399) * CAST(0.1 AS DOUBLE)
+                     WHEN event_type = 'error' THEN CAST(0.0 AS DOUBLE)
+                     ELSE CAST(33.7 AS DOUBLE) + ((minute(ts) * 60 + second(ts)) / CAST(3600.0 AS DOUBLE)) * CAST(0.6 AS DOUBLE)
+                END AS REAL) AS lat,
+           CAST(CASE WHEN event_id % 5 = 0 THEN CAST(-179.0 AS DOUBLE) + ((event_id * 13) % 3571) * CAST(0.1 AS DOUBLE)
+                     WHEN event_type = 'error' THEN CAST(0.0 AS DOUBLE)
+                     ELSE CAST(-118.7 AS DOUBLE) + (((dayofmonth(ts) - 1) * 24 + hour(ts)) / CAST(744.0 AS DOUBLE)) * CAST(0.6 AS DOUBLE)
+                END AS REAL) AS lon
+    FROM events
+),
+shots AS (SELECT * FROM scattered WHERE weapon BETWEEN 100 AND 199 AND lat <> 0),
+posts AS (
+    SELECT CAST(o_orderkey AS INTEGER) AS site, 'Order#' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS division,
+           CAST(CASE WHEN o_orderkey % 10 = 0 THEN CAST(-69.7 AS DOUBLE) + (o_orderkey % 1381) * CAST(0.1 AS DOUBLE)
+                ELSE CAST(33.9 AS DOUBLE) + ((o_orderkey * 7919) % 9973) * CAST(0.00002 AS DOUBLE) END AS REAL) AS y,
+           CAST(CASE WHEN o_orderkey % 10 = 0 THEN CAST(-179.5 AS DOUBLE) + ((o_orderkey * 7) % 3583) * CAST(0.1 AS DOUBLE)
+                ELSE CAST(-118.4 AS DOUBLE) + ((o_orderkey * 6271) % 9941) * CAST(0.00002 AS DOUBLE) END AS REAL) AS x
+    FROM orders
+),
+reach AS (
+    SELECT f.event_id, p.site, p.division, {_distance('f.lat', 'f.lon', 'p.y', 'p.x')} AS d FROM shots f CROSS JOIN posts p
+),
+closest AS (
+    SELECT event_id, min(d) AS d, arg_min(division, (d, site)) AS division FROM reach WHERE d < 1000.0 GROUP BY 1
+)
+"""
+
 _NEAREST_BY_SITE = f"""
     WITH {_Q4_INPUTS}, {_NEAREST}
     SELECT division AS "AREA NAME",
@@ -324,6 +425,55 @@ def oracle_sql() -> dict[str, str]:
                    round(avg(CAST(b.distance AS DOUBLE)), {DIGITS}) AS "avg(distance)"
             FROM fired f LEFT JOIN best b ON f.event_id = b.event_id GROUP BY 1
         """,
+        "q0_csv_lines": f"""
+            WITH {_LINES}
+            SELECT CASE WHEN k % 11 = 0 THEN NULL ELSE day END AS "Date Rptd", day AS "DATE OCC",
+                   CASE WHEN k % 13 = 0 OR k % 17 = 0 THEN NULL ELSE CAST(k % 90 AS INTEGER) END AS "Vict Age",
+                   CASE WHEN event_type = 'error' THEN CAST(0.0 AS DOUBLE)
+                        ELSE CAST(33.7 AS DOUBLE) + ((minute(ts) * 60 + second(ts)) / CAST(3600.0 AS DOUBLE)) * CAST(0.6 AS DOUBLE)
+                   END AS "LAT",
+                   CASE WHEN event_type = 'error' THEN CAST(0.0 AS DOUBLE)
+                        ELSE CAST(-118.7 AS DOUBLE) + (((dayofmonth(ts) - 1) * 24 + hour(ts)) / CAST(744.0 AS DOUBLE)) * CAST(0.6 AS DOUBLE)
+                   END AS "LON"
+            FROM cells
+        """,
+        "q0_rejected_values": """
+            SELECT count(*) FILTER (event_id % 11 = 0) AS "Date Rptd", CAST(0 AS BIGINT) AS "DATE OCC",
+                   CAST(0 AS BIGINT) AS "TIME OCC", CAST(0 AS BIGINT) AS "AREA",
+                   count(*) FILTER (event_id % 13 = 0) AS "Vict Age",
+                   CAST(0 AS BIGINT) AS "LAT", CAST(0 AS BIGINT) AS "LON"
+            FROM events
+        """,
+        "q1_top_months_view": f"""
+            WITH {_EXTRACTS}, {monthly}
+            SELECT y AS "Year", m AS "Month", c AS "TotalCrimes",
+                   CAST(rank() OVER (PARTITION BY y ORDER BY c DESC) AS INTEGER) AS "Rank"
+            FROM picked WHERE pick <= 3
+        """,
+        "q2_street_parts_csv": _STREET_PARTS,
+        "q2_street_parts_text_sets": f"""
+            SELECT {_PART_OF_DAY} AS "part of day", count(*) AS "count"
+            FROM (SELECT hour(ts) * 100 + minute(ts) AS h FROM events WHERE event_type = 'click') t
+            GROUP BY 1
+        """,
+        "q4_assigned_by_year": f"""
+            WITH {_Q4_INPUTS}, {_ASSIGNED_BY_EVENT}
+            SELECT CAST(2010 + event_id % 7 AS INTEGER) AS "year",
+                   round(avg(CAST(distance AS DOUBLE)), {DIGITS}) AS "avg(distance)"
+            FROM assigned GROUP BY 1
+        """,
+        "q4_nearest_by_year": f"""
+            WITH {_Q4_INPUTS}, {_NEAREST}
+            SELECT CAST(2010 + f.event_id % 7 AS INTEGER) AS "year",
+                   round(avg(CAST(b.distance AS DOUBLE)), {DIGITS}) AS "avg(distance)"
+            FROM fired f LEFT JOIN best b ON f.event_id = b.event_id GROUP BY 1
+        """,
+        "q4_nearest_many_sites": f"""
+            WITH {_MANY}
+            SELECT division AS "AREA NAME", round(avg(CAST(CAST(d AS REAL) AS DOUBLE)), {DIGITS}) AS "avg(distance)",
+                   count(*) AS "count"
+            FROM closest GROUP BY 1
+        """,
         "q4_nearest_by_site": _NEAREST_BY_SITE,
         "q4_nearest_by_site_grid": _NEAREST_BY_SITE,
         **_corpus()[1],

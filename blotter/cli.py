@@ -29,7 +29,7 @@ def _parser() -> argparse.ArgumentParser:
     def common(name: str, help_text: str) -> argparse.ArgumentParser:
         s = sub.add_parser(name, help=help_text)
         s.add_argument("--crimes", nargs="+", required=True, help="crime extract files (CSV unless --format)")
-        s.add_argument("--format", default="csv", help="format of the extract files (csv, parquet, ...)")
+        s.add_argument("--format", default="csv", help="format of the extract and lookup files (csv, parquet, ...)")
         s.add_argument("--show", type=int, default=20, help="rows to print")
         s.add_argument("--count", action="store_true", help="also print the number of result rows")
         s.add_argument("--explain", action="store_true", help="print the physical plan instead of running it")
@@ -72,11 +72,11 @@ def build(spark: SparkSession, args: argparse.Namespace):
     if args.report == "descent":
         crimes = read_crimes(spark, args.crimes, dedupe="rows", fmt=fmt)
         return R.descent_in_income_extremes(
-            crimes, read_lookup(spark, args.geocode), read_lookup(spark, args.income),
+            crimes, read_lookup(spark, args.geocode, fmt), read_lookup(spark, args.income, fmt),
             year=args.year, n=args.n, dedupe_keys=args.distinct_zips,
         )
     crimes = read_crimes(spark, args.crimes, dedupe=None, fmt=fmt)
-    stations = read_lookup(spark, args.stations)
+    stations = read_lookup(spark, args.stations, fmt)
     if args.nearest:
         if args.by == "area":
             return R.nearest_distance_by_site(crimes, stations, max_km=args.max_km)
@@ -99,7 +99,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.report == "base":
         R.schema_rows(result).show(truncate=False)
         # values present in the files that failed typing (they became null)
-        R.rejected_values(read_crimes(spark, args.crimes, dedupe="rows", fmt=args.format)).show(truncate=False)
+        R.rejected_values(read_crimes(spark, args.crimes, dedupe="rows", fmt=args.format, typed=False)).show(truncate=False)
     return 0
 
 

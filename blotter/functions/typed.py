@@ -52,7 +52,12 @@ def as_number(df: DataFrame, name: str, type_name: str) -> Column:
 
 
 def as_int(df: DataFrame, name: str) -> Column:
-    return as_number(df, name, "int")
+    """Whole numbers; text may write them with a decimal part (``101.0``)."""
+    whole = as_number(df, name, "int")
+    if isinstance(_type_of(df, name), StringType):
+        wide = as_number(df, name, "double")
+        whole = F.coalesce(whole, F.when(wide == F.floor(wide), wide.try_cast("int")))
+    return whole
 
 
 def as_float(df: DataFrame, name: str) -> Column:

@@ -1,26 +1,31 @@
 """Distance from incidents to sites: the assigned site, and the nearest site.
 
-``assigned_site`` is an inner equi-join on the site number. The site table is
-broadcast when a bounded count proves it small (``broadcast_if_bounded``);
-otherwise it is a sort-merge join whose skewed partitions AQE splits.
+``assigned_site`` is an inner equi-join on the site number; Spark picks the
+strategy by size, and AQE splits skewed partitions.
 
 ``nearest_site`` finds, for every point, the closest site strictly within
-``max_km``; ties go to the smallest site key. Sites are first reduced to one
-row per distinct location (the smallest key wins there); that aggregate is
-partial + final, so a location shared by a large share of the sites collapses
-map-side. The locations are written once as a table in the shared checkpoint
-folder, counted (a one-number action), and the count decides the plan:
-
-- up to ``fold_limit`` locations: the locations become one key-sorted array,
-  attached to every point as an uncorrelated scalar subquery, and each point
-  folds over it in a native higher-order expression. No pair rows, no
-  shuffle of the points, no row id needed; the array's size is the checked
-  bound.
-- beyond: an exact multi-level grid search (``_nearest_by_grid``): points and
-  sites are bucketed into cubes of the unit-sphere embedding, each point is
-  joined with the sites of its 27 neighbouring cubes, and points whose best
-  candidate is not provably nearest move on to a level with cubes twice as
-  large. The last level's cubes cover ``max_km``, so every point is settled.
+``max_km``; ties go to the smallest site key. One lazy plan serves any number
+of sites and points:
+
+- points are reduced to distinct coordinates, and sites to one row per distinct
+  location (the smallest key wins there); both aggregates collapse hot places
+  map-side;
+- locations are bucketed into cubes of the unit-sphere embedding, on a fixed
+  ladder of edges, each a sixteenth of the one above;
+- a coordinate starts from the cubes of the top level (a number bounded by
+  geometry) and descends: it keeps the cubes that may hold its nearest location,
+  those whose near side is no farther than the nearest representative of any,
+  and in the last level's cubes meets the locations themselves;
+- the answer joins back to the points on the coordinates, null-safe.
+
+A far point thus keeps only the cubes on the near rim of a cluster, and a dense
+cluster is cut down to the last level's cubes. Nothing is written or counted
+while the plan is built.
+
+Where Spark estimates the locations at no more than ``FOLD_BYTES`` (from file
+sizes; no job runs), each point instead folds over the array of all locations:
+the same answers from a plan without a shuffle. A streaming table allows no
+chain of aggregates and is always searched that way.
 """
 
 from __future__ import annotations
@@ -33,15 +38,14 @@ from pyspark.sql import functions as F
 
 from blotter.functions.geo import EARTH_RADIUS_KM, haversine_km, haversine_term, km_of_haversine
 from blotter.functions.typed import ref
-from blotter.operators.joins import DEFAULT_BROADCAST_ROWS, broadcast_if_bounded
-from blotter.session import materialize_observed
 
-# Above this many distinct site locations the per-point fold (cost: one
-# haversine term per location per point) gives way to the grid search.
-DEFAULT_FOLD_LIMIT = 512
-# Up to this many locations the grid's cell index (one row per location and
-# level, about 60 bytes) is broadcast to the probes; beyond, it is shuffled.
-GRID_BROADCAST_LOCATIONS = 1_000_000
+# Edges of the cubes, in radii: 1593 km down to 389 m. Powers of two keep the
+# bucketing exact, so a cube's parent holds it.
+_EDGES = tuple(2.0 ** -(2 + 4 * k) for k in range(4))
+# Estimated size of the locations up to which they are one array in the plan.
+FOLD_BYTES = 32_768
+# Slack of the pruning test (squared chords), far above rounding error.
+_SLACK, _LEAST = 1e-9, 1e-18
 
 
 def assigned_site(
@@ -55,14 +59,12 @@ def assigned_site(
     site_lon: str,
     distance_col: str = "distance",
     radius: float = EARTH_RADIUS_KM,
-    max_site_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Inner-join each point to the site whose key equals its key, with the
     distance between them (32-bit, like the stored coordinates).
 
     When ``point_key == site_key`` the key appears once in the output.
     """
-    sites = broadcast_if_bounded(sites, max_site_rows)
     if point_key == site_key:
         joined = points.join(sites, on=point_key, how="inner")
     else:
@@ -87,6 +89,11 @@ def site_locations(sites: DataFrame, site_key: str, site_lat: str, site_lon: str
     return located.groupBy("_lat", "_lon").agg(F.min("_site").alias("_site"))
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate of ``df``; runs nothing."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def nearest_site(
     points: DataFrame,
     sites: DataFrame,
@@ -99,40 +106,24 @@ def nearest_site(
     max_km: float | None = 1000.0,
     distance_col: str = "distance",
     site_key_as: str | None = None,
-    point_id: str | None = None,
-    fold_limit: int = DEFAULT_FOLD_LIMIT,
     radius: float = EARTH_RADIUS_KM,
-    cell_km: float | None = None,
 ) -> DataFrame:
     """Every point with its nearest site strictly within ``max_km``.
 
     Adds the site key (as ``site_key_as``, default ``site_key``), the
     ``site_cols`` and the distance (32-bit). A point with a null coordinate,
     or with no site in range, is kept with nulls there. ``max_km=None``
-    searches the whole sphere. ``point_id`` (a unique column) is needed only
-    when the distinct site locations exceed ``fold_limit``.
+    searches the whole sphere.
     """
-    # Written once to the shared checkpoint folder: the size check and the
-    # search read that table, so the site table is scanned once however many
-    # rows collapse into few locations, and no executor loss can force a rescan.
-    # The write job also counts the locations (an observed metric): that
-    # count is the size check, at no extra job.
-    locations, seen = materialize_observed(site_locations(sites, site_key, site_lat, site_lon, site_cols), "sites")
+    locations = site_locations(sites, site_key, site_lat, site_lon, site_cols)
     key_out = site_key_as or site_key
-    n_locations = seen["rows"]
-    if n_locations <= fold_limit:
+    if points.isStreaming or estimated_bytes(locations) <= FOLD_BYTES:
         found = _nearest_by_fold(points, locations, point_lat, point_lon, max_km, radius)
         return _expand(found, key_out, site_cols, distance_col)
-    if point_id is None:
-        raise ValueError(
-            f"{n_locations} site locations exceed fold_limit={fold_limit}; "
-            "the grid search needs a unique point_id column"
-        )
-    found = _nearest_by_grid(
-        points, locations, point_id, point_lat, point_lon, max_km, radius, cell_km,
-        broadcast_cells=n_locations <= GRID_BROADCAST_LOCATIONS,
-    )
-    joined = points.join(found, on=point_id, how="left")
+    lat, lon = ref(point_lat).cast("double"), ref(point_lon).cast("double")
+    places = points.select(lat.alias("_plat"), lon.alias("_plon")).filter("_plat is not null and _plon is not null").distinct()
+    best = _nearest_by_descent(places, locations, max_km, radius)
+    joined = points.join(best, lat.eqNullSafe(F.col("_plat")) & lon.eqNullSafe(F.col("_plon")), "left").drop("_plat", "_plon")
     return _expand(joined, key_out, site_cols, distance_col)
 
 
@@ -154,33 +145,31 @@ def _nearest_by_fold(points: DataFrame, locations: DataFrame, point_lat: str, po
             F.collect_list(F.struct(F.col("_site").alias("site"), phi.alias("phi"), lam.alias("lam"), F.cos(phi).alias("cphi")))
         ).alias("arr")
     )
-    # Uncorrelated scalar subquery: computed once, then a constant of the plan.
+    # Uncorrelated scalar subqueries: each computed once, then a constant of the
+    # plan. The fold carries the angles alone; the site is fetched by position.
+    angles = table.select(F.transform("arr", lambda s: F.struct(s["phi"], s["lam"], s["cphi"])).alias("angles")).scalar()
+    names = table.select(F.col("arr.site").alias("names")).scalar()
     # Per-point radians and cosine are computed once, outside the fold.
     p_phi = F.radians(ref(point_lat).cast("double"))
     keep = [ref(c) for c in points.columns]
     staged = points.select(
-        *keep,
-        table.scalar().alias("_sites"),
-        p_phi.alias("_pphi"),
-        F.radians(ref(point_lon).cast("double")).alias("_plam"),
-        F.cos(p_phi).alias("_pcos"),
+        *keep, angles.alias("_sites"), p_phi.alias("_pphi"), F.radians(ref(point_lon).cast("double")).alias("_plam"), F.cos(p_phi).alias("_pcos")
     )
-    arr = F.col("_sites")
     # (a, position) per location: ``a`` ranks like the distance, and position
     # follows key order, so the struct minimum is the nearest location with
     # the smallest key among equals.
     scored = F.transform(
-        arr,
+        F.col("_sites"),
         lambda s, i: F.struct(
             haversine_term(s["phi"] - F.col("_pphi"), s["lam"] - F.col("_plam"), F.col("_pcos"), s["cphi"]).alias("a"),
             i.alias("i"),
         ),
     )
     # The fold runs once, in its own projection; the next one only reads it.
-    folded = staged.select(*keep, arr, F.array_min(scored).alias("_w"))
+    folded = staged.select(*keep, F.array_min(scored).alias("_w"))
     d = km_of_haversine(F.col("_w.a"), radius)
     in_range = d < max_km if max_km is not None else d.isNotNull()
-    best = F.when(in_range, F.struct(d.alias("d"), F.get(arr, F.col("_w.i"))["site"].alias("site")))
+    best = F.when(in_range, F.struct(d.alias("d"), F.get(names, F.col("_w.i")).alias("site")))
     return folded.select(*keep, best.alias("_best"))
 
 
@@ -189,125 +178,80 @@ def _unit_xyz(lat: Column, lon: Column) -> list[Column]:
     return [F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)]
 
 
-def _chord(km: float, radius: float) -> float:
-    return 2.0 * math.sin(min(km / (2.0 * radius), math.pi / 2))
-
+def _index(c: Column, edge: float) -> Column:
+    return F.floor(c / F.lit(edge)).cast("int")
 
-# Relative safety margin of the exactness test, far above rounding error.
-_MARGIN = 1e-9
-_MIN_CHORD = 1e-5  # ~64 m: keeps cell arithmetic well above rounding error
-_OFFSETS = [(dx, dy, dz) for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)]
 
+def _cube(xyz: Sequence[Column], edge: float) -> Column:
+    """Number of the cube that holds a point, unique within its level."""
+    x, y, z = (_index(c, edge).cast("long") + 2**20 for c in xyz)
+    return (x * 2**21 + y) * 2**21 + z
 
-def _cells(xyz: Sequence[Column], size: float) -> list[Column]:
-    return [F.floor(c / F.lit(size)).alias(n) for c, n in zip(xyz, ("cx", "cy", "cz"))]
 
-
-def _first_chord(locations: DataFrame, top: float, target: int) -> float:
-    """Cell size for the first level: the coarsest of a halving ladder at
-    which 99% of non-empty cells hold at most ``target`` locations. Coarser
-    would put more candidates in each 27-cube block; finer would only add
-    levels (jobs) for points that find nothing nearby."""
-    ladder = [top / (2.0**j) for j in range(24) if top / (2.0**j) >= _MIN_CHORD] or [max(top, _MIN_CHORD)]
-    xyz = _unit_xyz(F.col("_lat"), F.col("_lon"))
-    exploded = locations.select(F.explode(F.array([F.lit(s) for s in ladder])).alias("s"), *[c.alias(n) for c, n in zip(xyz, "xyz")])
-    per_cell = exploded.groupBy(
-        "s", *[F.floor(F.col(n) / F.col("s")).alias(f"c{n}") for n in "xyz"]
-    ).count()
-    p99 = per_cell.groupBy("s").agg(F.percentile_approx("count", 0.99).alias("p99"))
-    fits = [row["s"] for row in p99.filter(F.col("p99") <= target).select("s").collect()]
-    return max(fits) if fits else ladder[-1]
+def _levels(locations: DataFrame) -> list[DataFrame]:
+    """For each edge the cubes that hold locations: ``parent`` (the cube above),
+    ``cube``, its corner and the place of one of its locations."""
+    out = []
+    xyz = [F.col(n) for n in "xyz"]
+    for above, edge in zip((None, *_EDGES), _EDGES):
+        parent = _cube(xyz, above) if above else F.lit(0).cast("long")
+        grouped = locations.groupBy(parent.alias("parent"), _cube(xyz, edge).alias("cube"))
+        held = grouped.agg(F.min(F.struct("x", "y", "z")).alias("r"), *[F.first(_index(F.col(n), edge) * edge).alias(f"c{n}") for n in "xyz"])
+        out.append(held.select("parent", "cube", "cx", "cy", "cz", "r"))
+    return out
 
 
-def _nearest_by_grid(
-    points: DataFrame,
-    locations: DataFrame,
-    point_id: str,
-    point_lat: str,
-    point_lon: str,
-    max_km,
-    radius: float,
-    cell_km: float | None,
-    target_per_cell: int = 16,
-    broadcast_cells: bool = False,
-) -> DataFrame:
-    """``point_id`` → ``_best`` for every point; exact, see module doc.
-
-    Level L uses cubes of edge ``s_L = s_0 * 2**L`` (chord units of the unit
-    sphere). A site outside the 27 cubes around a point's cube is more than
-    ``s_L`` away from it in one coordinate, hence more than ``s_L`` in chord.
-    So once the best candidate lies within ``s_L`` (with a margin) it is the
-    nearest; otherwise the point moves to the next level. Each level's result
-    is written as a table in the shared checkpoint folder, which bounds
-    lineage and lets a lost executor's work be redone from the last level.
-    """
-    spark = points.sparkSession
-    top = _chord(max_km, radius) if max_km is not None else 2.0
-    if cell_km is not None:
-        s0 = max(_chord(cell_km, radius), _MIN_CHORD)
-    else:
-        s0 = _first_chord(locations, top, target_per_cell)
-    levels = [s0]
-    while levels[-1] * (1.0 - _MARGIN) < top:
-        levels.append(levels[-1] * 2.0)
-
-    site_xyz = locations.select("_site", "_lat", "_lon", *[c.alias(n) for c, n in zip(_unit_xyz(F.col("_lat"), F.col("_lon")), "xyz")])
-    lat, lon = ref(point_lat).cast("double"), ref(point_lon).cast("double")
-    pending = points.select(
-        ref(point_id).alias("_pid"), lat.alias("_plat"), lon.alias("_plon"),
-        *[c.alias(f"p{n}") for c, n in zip(_unit_xyz(lat, lon), "xyz")],
+def _bounds(cube: Column | None, edge: float) -> tuple[Column, Column]:
+    """Squared chords from the place ``_p`` to a cube's near side and to its representative."""
+    field = (lambda n: cube[n]) if cube is not None else (lambda n: F.col(n))
+    low = high = F.lit(0.0)
+    for n in "xyz":
+        p, corner = F.col("_p")[n], field(f"c{n}")
+        low = low + F.pow(F.greatest(F.lit(0.0), corner - p, p - corner - F.lit(edge)), F.lit(2.0))
+        high = high + F.pow(field("r")[n] - p, F.lit(2.0))
+    return low, high
+
+
+def _nearest_by_descent(places: DataFrame, locations: DataFrame, max_km, radius: float) -> DataFrame:
+    """``_plat``, ``_plon`` → ``_best`` for the places with a location in range."""
+    far = 4.0 if max_km is None else (2.0 * math.sin(min(max_km / (2.0 * radius), math.pi / 2))) ** 2
+    far = far * (1 + _SLACK) + _LEAST
+    located = locations.select("_site", "_lat", "_lon", *[c.alias(n) for c, n in zip(_unit_xyz(F.col("_lat"), F.col("_lon")), "xyz")])
+    levels = _levels(located)
+    # one column for a place, which every level groups by
+    xyz = [c.alias(n) for c, n in zip(_unit_xyz(F.col("_plat"), F.col("_plon")), "xyz")]
+    at = places.select(F.struct(F.col("_plat").alias("lat"), F.col("_plon").alias("lon"), *xyz).alias("_p"))
+
+    def near(cubes: Column) -> Column:
+        """Numbers of the ``cubes`` (low, cube) that the smallest upper bound allows."""
+        limit = F.least(F.col("_high") * (1 + _SLACK) + _LEAST, F.lit(far))
+        return F.transform(F.filter(cubes, lambda c: c["low"] <= limit), lambda c: c["cube"])
+
+    # The top level is bounded by geometry, whatever the table: under 400 cubes
+    # of this edge meet the sphere. It is one constant of the plan.
+    top = levels[0].agg(F.collect_list(F.struct("cube", "cx", "cy", "cz", "r")).alias("t")).scalar()
+    scored = F.transform(
+        F.col("_top"), lambda c: F.struct(_bounds(c, _EDGES[0])[0].alias("low"), _bounds(c, _EDGES[0])[1].alias("high"), c["cube"].alias("cube"))
     )
-    offsets = F.array([F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(c).alias("c")) for a, b, c in _OFFSETS])
-    point_cols = ["_pid", "_plat", "_plon", "px", "py", "pz"]
-    settled: list[DataFrame] = []
-    for level, size in enumerate(levels):
-        last = level == len(levels) - 1
-        cells = site_xyz.select("_site", "_lat", "_lon", *_cells([F.col(n) for n in "xyz"], size))
-        if broadcast_cells:
-            cells = F.broadcast(cells)
-        # All 27 probes of a point stay in its partition, so the partial
-        # aggregate below reduces them to one row per point before the shuffle.
-        probes = pending.select(
-            *point_cols, F.explode(offsets).alias("o"),
-            *[F.floor(F.col(f"p{n}") / F.lit(size)).alias(f"h{n}") for n in "xyz"],
-        ).select(
-            *point_cols,
-            (F.col("hx") + F.col("o.a")).alias("cx"),
-            (F.col("hy") + F.col("o.b")).alias("cy"),
-            (F.col("hz") + F.col("o.c")).alias("cz"),
-        )
-        pairs = probes.join(cells, ["cx", "cy", "cz"], "left").withColumn(
-            "d", haversine_km(F.col("_plat"), F.col("_plon"), F.col("_lat"), F.col("_lon"), radius)
-        )
-        in_range = F.col("d").isNotNull() if max_km is None else F.col("d") < max_km
-        # (d, site) structs order by distance, then by site key; a point with
-        # no candidate keeps a null best.
-        judged = pairs.groupBy(*point_cols).agg(F.min(F.when(in_range, F.struct("d", "_site"))).alias("b"))
-        judged = judged.withColumn(
-            "_done",
-            F.col("px").isNull()
-            | F.lit(last)
-            | F.coalesce(
-                F.lit(2.0) * F.sin(F.col("b.d") / F.lit(2.0 * radius)) < F.lit(size * (1.0 - _MARGIN)),
-                F.lit(False),
-            ),
-        )
-        # One job writes the level to the shared checkpoint folder (later
-        # levels and the result read it back, so lineage stops here) and
-        # counts the points still pending on the way.
-        judged, seen = materialize_observed(
-            judged, f"nearest-level{level}", pending=F.sum(F.when(~F.col("_done"), 1).otherwise(0))
-        )
-        settled.append(
-            judged.filter("_done").select(
-                F.col("_pid").alias(point_id),
-                F.when(F.col("b").isNotNull(), F.struct(F.col("b.d").alias("d"), F.col("b._site").alias("site"))).alias("_best"),
-            )
+    front = (
+        at.select("_p", top.alias("_top")).select("_p", scored.alias("_cubes"))
+        .select("_p", "_cubes", F.array_min(F.transform("_cubes", lambda c: c["high"])).alias("_high"))
+        .select("_p", near(F.col("_cubes")).alias("_front"))
+    )
+    for edge, level in zip(_EDGES[1:], levels[1:]):
+        met = front.select("_p", F.explode("_front").alias("parent")).join(level, "parent")
+        low, high = _bounds(None, edge)
+        front = (
+            met.select("_p", F.struct(low.alias("low"), F.col("cube").alias("cube")).alias("c"), high.alias("high"))
+            .groupBy("_p").agg(F.collect_list("c").alias("_cubes"), F.min("high").alias("_high"))
+            .select("_p", near(F.col("_cubes")).alias("_front"))
         )
-        pending = judged.filter(~F.col("_done")).select(*point_cols)
-        if last or not seen["pending"]:
-            break
-    out = settled[0]
-    for part in settled[1:]:
-        out = out.unionByName(part)
-    return out
+    last = located.select(_cube([F.col(n) for n in "xyz"], _EDGES[-1]).alias("cube"), "_site", "_lat", "_lon")
+    met = front.select("_p", F.explode("_front").alias("cube")).join(last, "cube")
+    phi, lam = (F.radians(F.col(c)) for c in ("_lat", "_lon"))
+    pphi, plam = (F.radians(F.col("_p")[c]) for c in ("lat", "lon"))
+    a = haversine_term(phi - pphi, lam - plam, F.cos(pphi), F.cos(phi))
+    best = met.select("_p", F.struct(a.alias("a"), F.col("_site").alias("site")).alias("w")).groupBy("_p").agg(F.min("w").alias("w"))
+    d = km_of_haversine(F.col("w.a"), radius)
+    found = best.select(F.col("_p.lat").alias("_plat"), F.col("_p.lon").alias("_plon"), F.struct(d.alias("d"), F.col("w.site").alias("site")).alias("_best"))
+    return found if max_km is None else found.filter(F.col("_best.d") < max_km)

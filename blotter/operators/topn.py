@@ -1,11 +1,9 @@
 """Top-N per group and global top/bottom-k.
 
-Both are written so the optimizer can apply its limit pushdowns:
-``rank <= n`` over a window becomes a partial ``WindowGroupLimit`` before the
-shuffle (each map task forwards at most n rows per group, so a hot group does
-not flood one reducer), and ``orderBy().limit(k)`` becomes
-``TakeOrderedAndProject`` (per-partition top-k, then one merge of k rows per
-partition). Neither gathers a group or a table in one place.
+Both number rows in a window and keep ``rank <= n``, which the optimizer turns
+into a partial ``WindowGroupLimit`` before the shuffle: each map task forwards
+at most n rows per group (or per side of top/bottom-k), so neither a hot group
+nor a table is gathered in one place.
 """
 
 from __future__ import annotations

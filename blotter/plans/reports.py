@@ -166,14 +166,23 @@ def street_parts_of_day_text(lines: DataFrame, time_field: int = 3) -> DataFrame
     field ``time_field`` (0-based). A header line has no such field and drops
     out. Quoted separators shift fields, so prefer the column form on CSV.
     """
-    street = lines
+    kept = lines
     if "value" in lines.columns:
         # A field equal to STREET implies the raw line contains it: a cheap,
         # exact pre-filter that spares most lines the split.
-        street = street.filter(F.col("value").contains(STREET))
-    street = street.filter(F.array_contains("fields", STREET))
-    hhmm = F.trim(F.get(F.col("fields"), time_field)).try_cast("int")
-    return _count_parts(street.select(part_of_day(hhmm).alias("part of day")))
+        kept = kept.filter(F.col("value").contains(STREET))
+    # One lambda reads the fields, so they are split once for a kept line. Other
+    # lines are a null group, dropped by a condition on an aggregate: a filter
+    # would be pushed below the projection and split the line again.
+    hhmm = lambda f: F.trim(F.get(f, time_field)).try_cast("int")
+    street = F.transform(
+        F.array("fields"), lambda f: F.when(F.array_contains(f, STREET), F.struct(part_of_day(hhmm(f)).alias("part of day")))
+    )
+    counted = kept.select(street.alias("s")).select(F.get("s", 0).alias("s")).groupBy("s").agg(
+        F.count(F.lit(1)).alias("count"), F.count("s").alias("_street")
+    )
+    out = counted.filter("_street > 0").select(F.col("s")["part of day"].alias("part of day"), "count")
+    return out.orderBy(F.desc("count"), F.asc("part of day"))
 
 
 # --------------------------------------------------------------------- Q3
@@ -220,8 +229,7 @@ def descent_in_income_extremes(
         as_double(geocode, "LON").alias("LON"),
         F.trim(as_text(geocode, "ZIPcode")).alias("ZIP Code"),
     )
-    # The ZIP list has at most 2n rows by construction: always broadcast.
-    places = geo.join(F.broadcast(zips), "ZIP Code", "inner").select("LAT", "LON")
+    places = geo.join(zips, "ZIP Code", "inner").select("LAT", "LON")
 
     in_year = crimes.filter(in_date_range(crimes, date_col, f"{year:04d}-01-01", f"{year + 1:04d}-01-01"))
     per_place = (
@@ -317,35 +325,60 @@ def assigned_distance_by_area(crimes: DataFrame, stations: DataFrame, digits: in
     return _mean_by(joined, F.col("`AREA NAME`"), "AREA NAME", digits, with_count=True)
 
 
-def nearest_stations(crimes: DataFrame, stations: DataFrame, max_km: float | None = 1000.0, **search) -> DataFrame:
+def nearest_stations(crimes: DataFrame, stations: DataFrame, max_km: float | None = 1000.0) -> DataFrame:
     """Firearm incidents with their nearest station (``AREA NAME`` = its
     division) and the distance; null when no station is within ``max_km``."""
-    point_id = search.get("point_id")
-    fired = firearm_incidents(crimes, extra=(point_id,) if point_id else ())
-    sites = station_sites(stations)
+    return _with_nearest(firearm_incidents(crimes), stations, max_km)
+
+
+def _with_nearest(points: DataFrame, stations: DataFrame, max_km: float | None) -> DataFrame:
     found = nearest_site(
-        fired, sites, "LAT", "LON", "AREA", "Y", "X", site_cols=("DIVISION",), max_km=max_km,
-        site_key_as="site", **search,
+        points, station_sites(stations), "LAT", "LON", "AREA", "Y", "X", site_cols=("DIVISION",), max_km=max_km, site_key_as="site"
     )
     return found.withColumnRenamed("DIVISION", "AREA NAME")
 
 
+def _mean_nearest(
+    crimes: DataFrame, stations: DataFrame, key: str, of_point: Column | None, max_km: float | None, digits: int | None
+) -> DataFrame:
+    """Mean nearest distance and count by ``key``: of the incident
+    (``of_point``) or of the station found. Incidents are counted by place (and
+    key) first, so a hot place is one row in the search; a stream, which allows
+    one aggregate, is searched row by row."""
+    fired = firearm_incidents(crimes)
+    own = [] if of_point is None else [of_point.alias(key)]
+    rows = fired.select("LAT", "LON", *own)
+    if rows.isStreaming:
+        counted = rows.withColumn("n", F.lit(1).cast("long"))
+    else:
+        counted = rows.groupBy("LAT", "LON", *([] if of_point is None else [key])).agg(F.count(F.lit(1)).alias("n"))
+    found = _with_nearest(counted, stations, max_km)
+    if of_point is not None:
+        found = found.drop("AREA NAME")
+    seen = F.sum(F.when(F.col("distance").isNotNull(), F.col("n")))
+    mean = F.sum(F.col("distance").cast("double") * F.col("n")) / seen
+    name = ref(key)
+    out = found.groupBy(name).agg(_rounded(mean, digits).alias("avg(distance)"), F.sum("n").alias("count"), F.count(name).alias("_keyed"))
+    return out
+
+
 def nearest_distance_by_period(
-    crimes: DataFrame, stations: DataFrame, period: str = "year", max_km: float | None = 1000.0,
-    digits: int | None = None, **search,
+    crimes: DataFrame, stations: DataFrame, period: str = "year", max_km: float | None = 1000.0, digits: int | None = None
 ) -> DataFrame:
     """Mean distance to the nearest station per period; a period whose
     incidents have no station in range is kept with a null mean.
-    Columns: ``<period>``, ``avg(distance)``."""
-    found = nearest_stations(crimes, stations, max_km, **search)
-    return _mean_by(found, _period(period), period, digits, with_count=False)
+    Columns: ``<period>``, ``avg(distance)``; smallest mean first."""
+    out = _mean_nearest(crimes, stations, period, _period(period), max_km, digits)
+    return out.select(period, "avg(distance)").orderBy(F.asc("avg(distance)"), F.asc(f"`{period}`"))
 
 
 def nearest_distance_by_site(
-    crimes: DataFrame, stations: DataFrame, max_km: float | None = 1000.0, digits: int | None = None, **search
+    crimes: DataFrame, stations: DataFrame, max_km: float | None = 1000.0, digits: int | None = None
 ) -> DataFrame:
     """Per nearest station: mean distance and incident count, most first.
     Incidents with no station in range are left out.
     Columns: ``AREA NAME``, ``avg(distance)``, ``count``."""
-    found = nearest_stations(crimes, stations, max_km, **search)
-    return _mean_by(found, F.col("`AREA NAME`"), "AREA NAME", digits, with_count=True)
+    out = _mean_nearest(crimes, stations, "AREA NAME", None, max_km, digits)
+    # on the aggregate, so that it is not pushed below the search (see _mean_by)
+    out = out.filter(F.col("_keyed") > 0).drop("_keyed")
+    return out.orderBy(F.desc("count"), F.asc("`AREA NAME`"))

@@ -7,15 +7,20 @@ arithmetic on existing columns, repeated in the DuckDB oracle SQL of
 ``__spark_entry__``. Numeric literals are Python floats, i.e. doubles (the
 SQL side casts them to DOUBLE as well).
 
-- extracts: ``orders`` as two overlapping yearly extracts in raw text form
-  (dates as ``MM/dd/yyyy hh:mm:ss a``), so Q0, Q1 and Q3 go through union,
-  whole-row de-duplication and text parsing;
+- extracts: ``orders`` as two overlapping yearly extracts in raw text form,
+  which write equal values differently (padded and unpadded dates and numbers),
+  so Q0, Q1 and Q3 go through union, typing and whole-row de-duplication;
 - geocode: one point per customer, ZIP code = the customer's nation;
 - income: per nation, the floor of the customers' mean balance, as money text;
 - incidents: ``events`` typed as an extract (Q2, Q4); placeholder (0, 0)
   coordinates on error events, firearm codes from the event value;
 - stations: ``supplier``, located on a 21-point lattice (so several suppliers
-  share one location and ties between them are real), named by ``s_name``.
+  share one location and ties between them are real), named by ``s_name``;
+- many stations: ``orders``, nine of ten in a dense cluster, the rest all over
+  the globe, for ``events`` of which one in five is anywhere, and whose record
+  numbers repeat or are null;
+- CSV lines: ``events`` as quoted lines with unpadded dates, decimal whole
+  numbers and values that do not parse, under a header in another spelling.
 """
 
 from __future__ import annotations
@@ -31,6 +36,9 @@ from blotter.sources.extracts import read_table
 FIRST_UNTIL = "1999-01-01"
 SECOND_FROM = "1998-01-01"
 DATE_TEXT = "MM/dd/yyyy hh:mm:ss a"
+SHORT_DATE_TEXT = "M/d/yyyy h:mm:ss a"
+# Header cells of the CSV lines, spelled as some yearly files do.
+LINE_HEADER = ("dr_no", "DATE RPTD", "Date  Occ", "TIME OCC ", "area ", "PREMIS DESC", "Vict age", "lat", "LON")
 
 
 def customer_lat(custkey: Column) -> Column:
@@ -54,18 +62,27 @@ def order_extracts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Two raw-text incident extracts built from ``orders``."""
     orders = read_table(spark, sf_dir, "orders")
     occurred = F.date_sub(F.to_date("o_orderdate"), F.dayofmonth("o_orderdate"))
-    text = orders.select(
-        F.col("o_orderkey").cast("string").alias("DR_NO"),
-        F.date_format("o_orderdate", DATE_TEXT).alias("Date Rptd"),
-        F.date_format(occurred, DATE_TEXT).alias("DATE OCC"),
-        F.floor(F.col("o_totalprice") / 5000).cast("string").alias("Vict Age"),
-        _descent_code(F.col("o_orderpriority"), F.col("o_orderstatus")).alias("Vict Descent"),
-        customer_lat(F.col("o_custkey")).cast("string").alias("LAT"),
-        customer_lon(F.col("o_custkey")).cast("string").alias("LON"),
-        F.col("o_orderdate").alias("_when"),
-    )
-    first = text.filter(F.col("_when") < F.lit(FIRST_UNTIL).cast("timestamp_ntz")).drop("_when")
-    second = text.filter(F.col("_when") >= F.lit(SECOND_FROM).cast("timestamp_ntz")).drop("_when")
+    lat, lon = customer_lat(F.col("o_custkey")).cast("string"), customer_lon(F.col("o_custkey")).cast("string")
+    age = F.floor(F.col("o_totalprice") / 5000).cast("string")
+
+    def text(dates: str, numbers) -> DataFrame:
+        return orders.select(
+            F.col("o_orderkey").cast("string").alias("DR_NO"),
+            F.date_format("o_orderdate", dates).alias("Date Rptd"),
+            F.date_format(occurred, dates).alias("DATE OCC"),
+            numbers(age).alias("Vict Age"),
+            _descent_code(F.col("o_orderpriority"), F.col("o_orderstatus")).alias("Vict Descent"),
+            numbers(lat).alias("LAT"),
+            numbers(lon).alias("LON"),
+            F.col("o_orderdate").alias("_when"),
+        )
+
+    # An order without a date is in the first extract.
+    until = F.coalesce(F.col("_when") < F.lit(FIRST_UNTIL).cast("timestamp_ntz"), F.lit(True))
+    first = text(DATE_TEXT, lambda c: c).filter(until).drop("_when")
+    with_zeros = lambda c: F.concat(c, F.when(c.contains("."), "00").otherwise(".0"))
+    since = F.col("_when") >= F.lit(SECOND_FROM).cast("timestamp_ntz")
+    second = text(SHORT_DATE_TEXT, with_zeros).filter(since).drop("_when")
     return [first, second]
 
 
@@ -114,6 +131,59 @@ def event_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dated_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_incidents`` with occurrence dates over several years, as text."""
+    when = F.make_date(2010 + F.col("DR_NO").cast("int") % 7, F.month("DATE OCC"), F.lit(1))
+    return event_incidents(spark, sf_dir).withColumn("DATE OCC", F.date_format(when, "M/d/yyyy"))
+
+
+def scattered_incidents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``event_incidents`` with one in five anywhere on the globe; record
+    numbers repeat or are null."""
+    key = F.col("DR_NO")
+    far = key % 5 == 0
+    return event_incidents(spark, sf_dir).select(
+        F.when(key % 7 != 0, F.floor(key / 3)).alias("DR_NO"), "DATE OCC", "AREA", "Weapon Used Cd",
+        F.when(far, F.lit(-70.0) + (key % 1399) * F.lit(0.1)).otherwise(F.col("LAT")).alias("LAT"),
+        F.when(far, F.lit(-179.0) + ((key * 13) % 3571) * F.lit(0.1)).otherwise(F.col("LON")).alias("LON"),
+    )
+
+
+def order_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A station for each order: nine of ten in a dense cluster, the rest far apart."""
+    key = F.col("o_orderkey")
+    far = key % 10 == 0
+    return read_table(spark, sf_dir, "orders").select(
+        F.when(far, F.lit(-179.5) + ((key * 7) % 3583) * F.lit(0.1))
+        .otherwise(F.lit(-118.4) + ((key * 6271) % 9941) * F.lit(0.00002)).cast("float").alias("X"),
+        F.when(far, F.lit(-69.7) + (key % 1381) * F.lit(0.1))
+        .otherwise(F.lit(33.9) + ((key * 7919) % 9973) * F.lit(0.00002)).cast("float").alias("Y"),
+        key.cast("int").alias("PREC"),
+        F.format_string("Order#%09d", key).alias("DIVISION"),
+    )
+
+
+def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as CSV lines (``value``) in the order of ``LINE_HEADER``."""
+    inc = event_incidents(spark, sf_dir)
+    key = F.col("DR_NO")
+    when = F.make_date(2015 + key.cast("int") % 3, F.month("DATE OCC"), F.dayofmonth("DATE OCC") % 28 + 1)
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    line = F.concat_ws(
+        ",",
+        key.cast("string"),
+        F.when(key % 11 == 0, F.lit("no date")).otherwise(F.date_format(when, "M/d/yyyy h:mm:ss a")),
+        F.date_format(when, "MM/dd/yyyy"),
+        F.lpad(F.col("TIME OCC").cast("string"), 4, "0"),
+        F.concat(F.col("AREA").cast("string"), F.lit(".0")),
+        quoted(F.concat(F.col("Premis Desc"), F.lit(', ""'), F.col("AREA").cast("string"), F.lit('""'))),
+        F.when(key % 13 == 0, F.lit("n/a")).when(key % 17 == 0, F.lit("")).otherwise((key % 90).cast("string")),
+        F.col("LAT").cast("string"),
+        F.col("LON").cast("string"),
+    )
+    return inc.select(line.alias("value"))
+
+
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_incidents`` as comma-joined text lines split back into ``fields``
     (time of day at field 3), for the text form of Q2."""

@@ -2,11 +2,14 @@
 
 from blotter.sources.extracts import (
     deduplicate,
+    headers,
+    parse_lines,
     read_crimes,
     read_csv_text,
     read_lookup,
     read_table,
     read_text_fields,
+    typed_crimes,
     union_extracts,
 )
 from blotter.sources.schemas import CRIME_COLUMNS, canonical, crime_text_schema, normalise
@@ -16,11 +19,14 @@ __all__ = [
     "canonical",
     "crime_text_schema",
     "deduplicate",
+    "headers",
     "normalise",
+    "parse_lines",
     "read_crimes",
     "read_csv_text",
     "read_lookup",
     "read_table",
     "read_text_fields",
+    "typed_crimes",
     "union_extracts",
 ]

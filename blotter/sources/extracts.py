@@ -1,42 +1,93 @@
 """Readers for the incident extracts and their lookup tables.
 
-All readers return text columns under the declared (canonical) names; typing
-happens in the reports with null-on-failure expressions. No reader infers a
-schema: inference costs a full extra pass over every file.
+Crime extracts are brought to the declared names and types, with null for a
+value that does not parse; lookups keep their text, which the reports type. No
+reader infers a schema: inference costs a full extra pass over every file.
 """
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from blotter.sources.schemas import TABLE_SCHEMAS, canonical, crime_text_schema
+from blotter.functions.typed import as_date, as_double, as_int, ref
+from blotter.sources.schemas import CRIME_TYPES, TABLE_SCHEMAS, canonical, crime_text_schema
+
+# Bytes of a file that its header line must fit in.
+_HEADER_BYTES = 65536
 
 
 def _as_list(paths: str | Iterable[str]) -> list[str]:
     return [paths] if isinstance(paths, str) else list(paths)
 
 
-def read_csv_text(spark: SparkSession, path: str, fmt: str = "csv", **options) -> DataFrame:
-    """One extract, every column as text, headers renamed to canonical names.
+def read_csv_text(spark: SparkSession, path: str | Iterable[str], fmt: str = "csv", **options) -> DataFrame:
+    """Extracts with headers renamed to canonical names: CSV columns as text,
+    those of a typed format (``fmt="parquet"``) with their types, so that its
+    filters and columns still reach the scan.
 
-    ``fmt="parquet"`` reads an extract already converted to parquet; its
-    columns are renamed the same way and cast to text so that both formats
-    union cleanly.
+    CSV files, folders and globs may have headers of their own: files with the
+    same header are one scan, and each scan checks its files against it.
     """
-    if fmt == "csv":
-        reader = spark.read.option("header", True).option("inferSchema", False)
+    if fmt != "csv":
+        df = spark.read.format(fmt).options(**options).load(_as_list(path))
+        return df.select([ref(c).alias(canonical(c)) for c in df.columns])
+    by_header: dict[tuple[str, ...], list[str]] = {}
+    for file, header in headers(spark, _as_list(path), options.get("sep", ",")):
+        by_header.setdefault(header, []).append(file)
+    frames = []
+    for header, files in by_header.items():
+        schema = StructType([StructField(c, StringType()) for c in header])
+        # enforceSchema off: a file whose header is not the one declared fails.
         # Standard CSV escapes a quote inside a quoted field by doubling it.
-        reader = reader.option("mode", "PERMISSIVE").option("multiLine", False).option("escape", '"')
-        for key, value in options.items():
-            reader = reader.option(key, value)
-        df = reader.csv(path)
-    else:
-        df = spark.read.format(fmt).options(**options).load(path)
-    return df.select([F.col(f"`{c}`").cast("string").alias(canonical(c)) for c in df.columns])
+        reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+        reader = reader.option("mode", "PERMISSIVE").option("escape", '"').options(**options)
+        frames.append(reader.csv(files).select([ref(c).alias(canonical(c)) for c in header]))
+    return union_extracts(frames)
+
+
+def headers(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> list[tuple[str, tuple[str, ...]]]:
+    """(file, header cells) of the non-empty files under ``paths``. The driver
+    reads the first line of each, many at a time; no Spark job runs."""
+    files = spark.read.text(list(paths)).inputFiles()
+    jvm = spark._jvm
+    conf = spark._jsparkSession.sessionState().newHadoopConf()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first_line(file: str) -> str:
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
+        stream = path.getFileSystem(conf).open(path)
+        try:
+            codec = codecs.getCodec(path)
+            source = stream if codec is None else codec.createInputStream(stream)
+            return bytes(source.readNBytes(_HEADER_BYTES)).decode("utf-8-sig", "replace").splitlines()[:1]
+        finally:
+            stream.close()
+
+    with ThreadPoolExecutor(16) as pool:
+        lines = list(pool.map(first_line, files))
+    return [(f, tuple(next(csv.reader(line, delimiter=sep)))) for f, line in zip(files, lines) if line]
+
+
+_TYPING = {"date": as_date, "int": as_int, "double": as_double}
+
+
+def typed_crimes(df: DataFrame) -> DataFrame:
+    """The declared columns of an extract in their types. Text that does not
+    parse becomes null; columns that have a type already keep it."""
+
+    def typed(name: str) -> Column:
+        if name not in CRIME_TYPES or not isinstance(df.schema[name].dataType, StringType):
+            return ref(name)
+        return _TYPING[CRIME_TYPES[name]](df, name).alias(name)
+
+    return df.select([typed(c) for c in df.columns])
 
 
 def union_extracts(frames: Sequence[DataFrame]) -> DataFrame:
@@ -57,14 +108,19 @@ def deduplicate(df: DataFrame, dedupe: str | Sequence[str] | None) -> DataFrame:
       that only agree on the projected columns are both kept. Planned as a
       partial + final hash aggregate: exact duplicates collapse map-side, so a
       heavily repeated row does not load one reducer.
-    - a list of key columns: keep one row per key (``dropDuplicates``).
+    - a list of key columns: keep one row per key, the smallest one (by the
+      other columns in their order), so that runs agree.
     - ``None``: keep every row (UNION ALL).
     """
     if dedupe is None:
         return df
     if dedupe == "rows":
         return df.distinct()
-    return df.dropDuplicates(list(dedupe))
+    rest = [c for c in df.columns if c not in dedupe]
+    if not rest:
+        return df.distinct()
+    kept = df.groupBy(*[ref(c) for c in dedupe]).agg(F.min(F.struct(*[ref(c) for c in rest])).alias("_kept"))
+    return kept.select([ref(c) if c in dedupe else F.col("_kept")[c].alias(c) for c in df.columns])
 
 
 def read_crimes(
@@ -73,33 +129,44 @@ def read_crimes(
     dedupe: str | Sequence[str] | None = "rows",
     fmt: str = "csv",
     positional: bool = False,
+    typed: bool = True,
 ) -> DataFrame:
-    """Read one or more crime extracts as one text table.
+    """Read crime extracts (files, folders, globs) as one table.
 
-    Each file is read with its own header, so spelling drift between yearly
-    files cannot misalign columns. ``positional=True`` instead applies the
+    Columns are matched by header, so spelling drift or another order between
+    files cannot misalign them. ``positional=True`` instead applies the
     declared 28-column layout to every file, for files whose header is
-    unreliable; it is one scan over all paths.
+    unreliable. Values get their declared types before rows are compared, so
+    ``0600`` and ``600`` do not make two rows of one; ``typed=False`` keeps the
+    text, to find values that do not parse.
     """
-    paths = _as_list(paths)
     if positional:
         df = (
             spark.read.schema(crime_text_schema())
             .option("header", True)
             .option("enforceSchema", True)
             .option("escape", '"')
-            .csv(paths)
+            .csv(_as_list(paths))
         )
     else:
-        df = union_extracts([read_csv_text(spark, p, fmt) for p in paths])
-    return deduplicate(df, dedupe)
+        df = read_csv_text(spark, paths, fmt)
+    return deduplicate(typed_crimes(df) if typed else df, dedupe)
 
 
 def read_lookup(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """A lookup extract (stations, geocode, income) as canonical text columns."""
+    """A lookup extract (stations, geocode, income) under canonical names."""
     return read_csv_text(spark, path, fmt)
 
 
+def parse_lines(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """CSV lines (column ``value``, without header) as text columns in the given
+    order, by header cells of any spelling; quotes and doubled quotes as in files."""
+    fields = ", ".join(f"`c{i}` string" for i in range(len(columns)))
+    row = F.from_csv("value", fields, {"mode": "PERMISSIVE", "escape": '"'})
+    parsed = lines.select(row.alias("r"))
+    return parsed.select([F.col(f"r.c{i}").alias(canonical(c)) for i, c in enumerate(columns)])
+
+
 def read_text_fields(spark: SparkSession, paths: str | Iterable[str], sep: str = ",") -> DataFrame:
     """Lines of text files: the raw line (``value``) and its naive split on
     ``sep`` (``fields``, an array).

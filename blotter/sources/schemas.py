@@ -44,6 +44,18 @@ CRIME_COLUMNS = (
     "LON",
 )
 
+# Declared types of crime columns; the others are text. Extracts are brought to
+# them before rows are compared, as files write equal values differently.
+CRIME_TYPES = {
+    **dict.fromkeys(("Date Rptd", "DATE OCC"), "date"),
+    **dict.fromkeys(
+        ("TIME OCC", "AREA", "Rpt Dist No", "Part 1-2", "Crm Cd", "Vict Age", "Premis Cd", "Weapon Used Cd",
+         "Crm Cd 1", "Crm Cd 2", "Crm Cd 3", "Crm Cd 4"),
+        "int",
+    ),
+    **dict.fromkeys(("LAT", "LON"), "double"),
+}
+
 # Columns of the lookup extracts that the reports use.
 STATION_COLUMNS = ("X", "Y", "FID", "DIVISION", "LOCATION", "PREC")
 GEOCODE_COLUMNS = ("LAT", "LON", "ZIPcode")

@@ -141,3 +141,10 @@ def test_haversine_null_coordinates_stay_null(spark):
     df = spark.createDataFrame([(None, 1.0, 2.0, 3.0), (1.0, None, 2.0, 3.0), (1.0, 1.0, None, None)], "a double, b double, c double, d double")
     got = [r[0] for r in df.select(haversine_km(F.col("a"), F.col("b"), F.col("c"), F.col("d"))).collect()]
     assert got == [None, None, None]
+
+
+def test_whole_numbers_with_a_decimal_part(spark):
+    from blotter.functions.typed import as_int
+
+    df = spark.createDataFrame([("101",), ("101.0",), (" 101.00 ",), ("101.5",), ("abc",), ("",), ("1e2",), ("9e12",)], "x string")
+    assert [r[0] for r in df.select(as_int(df, "x")).collect()] == [101, 101, 101, None, None, None, 100, None]

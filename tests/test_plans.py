@@ -51,10 +51,36 @@ def test_descent_report_aggregates_before_the_geocode_join(spark):
 
 
 def test_nearest_fold_runs_once_per_point(spark):
-    plan = executed_plan(E.q4_nearest_by_site(spark, SMOKE_DIR))
+    plan = E.q4_nearest_by_site(spark, SMOKE_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("array_min(transform(") == 1, plan
 
 
+def test_text_form_splits_a_kept_line_once(spark, tmp_path):
+    from blotter.sources import read_text_fields
+
+    path = tmp_path / "lines.txt"
+    path.write_text("1,a,b,0930,7,STREET\n2,a,b,1830,7,STREET\n3,a,b,x,STREET\n4,a,b,0930,STREETS\n")
+    df = R.street_parts_of_day_text(read_text_fields(spark, str(path)))
+    assert sorted((r[0] or "", r[1]) for r in df.collect()) == [("", 1), ("evening", 1), ("morning", 1)]
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("split(") == 1
+
+
+def test_filters_reach_the_parquet_scan_of_the_reader(spark, tmp_path):
+    path = str(tmp_path / "crimes.parquet")
+    spark.sql(
+        "select 1L as DR_NO, timestamp'2015-03-01 00:00:00' as `DATE OCC`, date'2015-03-02' as `Date Rptd`, 3 as AREA, "
+        "101 as `Weapon Used Cd`, 34.0d as LAT, -118.0d as LON, 'W' as `Vict Descent`, 'x' as Extra"
+    ).write.parquet(path)
+    plan = executed_plan(R.firearm_incidents(read_crimes(spark, path, dedupe=None, fmt="parquet")))
+    pushed = re.search(r"PushedFilters: \[([^\]]*)", plan).group(1)
+    assert "Weapon Used Cd" in pushed and "LAT" in pushed and "Extra" not in plan
+    from blotter.functions.typed import in_date_range
+
+    crimes = read_crimes(spark, path, dedupe=None, fmt="parquet")
+    year = executed_plan(crimes.filter(in_date_range(crimes, "DATE OCC", "2015-01-01", "2016-01-01")).select("AREA"))
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(`?DATE OCC`?,2015-01-01", year), year
+
+
 def test_base_dataset_reads_only_needed_columns_of_orders(spark):
     plan = executed_plan(E.q2_street_parts(spark, SMOKE_DIR))
     assert "ReadSchema: struct<ts:timestamp_ntz,event_type:string>" in plan

@@ -11,7 +11,9 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from blotter.operators import assigned_site, nearest_site, site_locations
+from blotter.operators import sites as site_ops
 from tests.fixtures import f32
+from tests.planutil import executed_final_plan
 
 
 def _haversine(lat1, lon1, lat2, lon2, r=6373.0):
@@ -36,10 +38,12 @@ def brute(points, sites, max_km):
     return out
 
 
-def run(spark, points, sites, max_km, **kw):
+def run(spark, points, sites, max_km, fold=False):
     pdf = spark.createDataFrame(points, "pid long, lat double, lon double")
     sdf = spark.createDataFrame(sites, "k long, y double, x double")
-    got = nearest_site(pdf, sdf, "lat", "lon", "k", "y", "x", max_km=max_km, point_id="pid", **kw)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(site_ops, "FOLD_BYTES", 10**12 if fold else -1)
+        got = nearest_site(pdf, sdf, "lat", "lon", "k", "y", "x", max_km=max_km)
     return {r.pid: None if r.k is None else (r.k, r.distance) for r in got.collect()}
 
 
@@ -59,7 +63,7 @@ def _cluster(rng, n, lat0, lon0, spread):
 
 
 @pytest.mark.parametrize("seed", [1])
-def test_fold_and_grid_agree_with_brute_force(spark, seed):
+def test_fold_and_descent_agree_with_brute_force(spark, seed):
     rng = random.Random(seed)
     site_xy = _cluster(rng, 120, 34.0, -118.3, 0.4) + _cluster(rng, 30, 40.7, -74.0, 0.2)
     # a hot location: many sites at one point (only the smallest key can win there)
@@ -67,27 +71,71 @@ def test_fold_and_grid_agree_with_brute_force(spark, seed):
     sites = [(i + 1, a, b) for i, (a, b) in enumerate(site_xy)] + [(999, None, None)]
     pts = _cluster(rng, 300, 34.0, -118.3, 0.6) + _cluster(rng, 20, 51.5, 0.0, 1.0)
     points = [(i, a, b) for i, (a, b) in enumerate(pts)] + [(10_000, None, 1.0)]
-    grid_cells = {1000.0: None, 5.0: 0.5, None: 50.0}  # chosen / fine / coarse first cubes
-    for max_km, cell_km in grid_cells.items():
+    for max_km in (1000.0, 5.0, None):
         want = brute(points, sites, max_km)
-        _assert_same(run(spark, points, sites, max_km), want)  # fold
-        _assert_same(run(spark, points, sites, max_km, fold_limit=0, cell_km=cell_km), want)  # grid
+        _assert_same(run(spark, points, sites, max_km, fold=True), want)
+        _assert_same(run(spark, points, sites, max_km), want)
 
 
-def test_grid_handles_antimeridian_and_poles(spark):
+def test_descent_handles_antimeridian_and_poles(spark):
     sites = [(1, 0.0, 179.9), (2, 0.0, -170.0), (3, 89.9, 10.0), (4, -89.95, -100.0), (5, 45.0, 0.0)]
     points = [(1, 0.0, -179.95), (2, 89.99, -170.0), (3, -89.99, 80.0), (4, 44.0, 1.0), (5, 0.0, 90.0)]
     for max_km in (1000.0, None):
         want = brute(points, sites, max_km)
-        _assert_same(run(spark, points, sites, max_km, fold_limit=0, cell_km=20.0), want)
         _assert_same(run(spark, points, sites, max_km), want)
+        _assert_same(run(spark, points, sites, max_km, fold=True), want)
 
 
-def test_grid_needs_a_point_id(spark):
-    pdf = spark.createDataFrame([(1.0, 2.0)], "lat double, lon double")
-    sdf = spark.createDataFrame([(1, 1.0, 2.0)], "k long, y double, x double")
-    with pytest.raises(ValueError, match="point_id"):
-        nearest_site(pdf, sdf, "lat", "lon", "k", "y", "x", fold_limit=0)
+@pytest.mark.parametrize("fold", [True, False])
+def test_repeated_and_null_record_numbers(spark, monkeypatch, fold):
+    """Points are told apart by place alone: five incidents, two sites."""
+    monkeypatch.setattr(site_ops, "FOLD_BYTES", 10**12 if fold else -1)
+    points = [(1, 34.0, -118.0), (1, 35.0, -118.0), (None, 34.0, -118.0), (2, 34.0, -118.0), (2, 34.0, -118.0)]
+    pdf = spark.createDataFrame(points, "pid long, lat double, lon double")
+    sdf = spark.createDataFrame([(1, 34.01, -118.0), (2, 35.01, -118.0)], "k long, y double, x double")
+    got = nearest_site(pdf, sdf, "lat", "lon", "k", "y", "x")
+    assert {r.k: r["count"] for r in got.groupBy("k").count().collect()} == {1: 4, 2: 1}
+
+
+def test_six_hundred_stations_through_the_reports(spark, monkeypatch):
+    from blotter.plans import reports as R
+
+    monkeypatch.setattr(site_ops, "FOLD_BYTES", -1)
+    stations = spark.createDataFrame([(k, f"S{k}", 34.0 + k * 0.001, -118.0) for k in range(600)], "PREC int, DIVISION string, Y double, X double")
+    crimes = spark.createDataFrame(
+        [(f"{1 + k % 12}/1/2020", "1", str(34.0 + k % 600 * 0.001), "-118.0", "101") for k in range(1200)],
+        "`DATE OCC` string, AREA string, LAT string, LON string, `Weapon Used Cd` string",
+    )
+    rows = R.nearest_distance_by_site(crimes, stations).collect()
+    assert len(rows) == 600 and all(r["count"] == 2 and r[1] == 0 for r in rows)
+
+
+def test_far_point_keeps_the_rim_of_a_dense_cluster(spark):
+    """A metropolis of 3,000 locations: few of them reach the last comparison."""
+    sites = spark.createDataFrame(
+        [(k, 34.0 + (k * 7919 % 9973) * 2e-5, -118.0 + (k * 6271 % 9941) * 2e-5) for k in range(3000)], "k long, y double, x double"
+    )
+    locations = site_locations(sites, "k", "y", "x")
+    places = spark.createDataFrame([(36.0, -115.0), (40.0, -118.0)], "_plat double, _plon double")
+    found = site_ops._nearest_by_descent(places, locations, 1000.0, 6373.0)
+    assert found.count() == 2
+    plan = executed_final_plan(found)
+    assert "Python" not in plan
+
+
+def test_no_job_runs_while_the_plan_is_built(spark, monkeypatch):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "")
+    try:
+        points = spark.range(10).selectExpr("id as pid", "34.0d as lat", "-118.0d as lon")
+        sites = spark.range(10).selectExpr("id as k", "34.0d + id as y", "-118.0d as x")
+        for limit in (-1, 10**12):
+            monkeypatch.setattr(site_ops, "FOLD_BYTES", limit)
+            nearest_site(points, sites, "lat", "lon", "k", "y", "x")
+            assigned_site(points, sites, "pid", "k", "lat", "lon", "y", "x")
+        assert list(tracker.getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_site_locations_collapse_hot_location(spark):
@@ -103,23 +151,11 @@ def test_assigned_site_joins_on_key(spark):
     assert got == [(1, 0.0), (2, None)]
 
 
-def test_broadcast_only_within_the_bound(spark):
-    from blotter.operators import broadcast_if_bounded
-
-    small = spark.range(10)
-    big = spark.range(1000)
-    hinted = broadcast_if_bounded(small, 100)
-    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
-    assert broadcast_if_bounded(big, 100) is big  # beyond the bound: unchanged, Spark/AQE decide
-    at_bound = broadcast_if_bounded(spark.range(100), 100)  # exactly at the bound: broadcast
-    assert "broadcast" in at_bound._jdf.queryExecution().analyzed().toString().lower()
-
-
-def test_grid_with_a_tiny_radius(spark):
+def test_a_tiny_radius(spark):
     sites = [(k, 34.0 + k * 1e-5, -118.0) for k in range(1, 30)]
     points = [(1, 34.0001, -118.0), (2, 35.0, -118.0)]
     want = brute(points, sites, 0.05)
-    _assert_same(run(spark, points, sites, 0.05, fold_limit=0), want)
+    _assert_same(run(spark, points, sites, 0.05), want)
 
 
 @settings(max_examples=3, deadline=None)
@@ -127,9 +163,8 @@ def test_grid_with_a_tiny_radius(spark):
     st.lists(st.tuples(st.floats(-60, 60), st.floats(-180, 180)), min_size=1, max_size=40),
     st.lists(st.tuples(st.floats(-60, 60), st.floats(-180, 180)), min_size=1, max_size=40),
     st.sampled_from([300.0, 3000.0, None]),
-    st.sampled_from([None, 50.0, 500.0]),
 )
-def test_grid_matches_brute_force_on_generated_layouts(spark, site_xy, point_xy, max_km, cell_km):
+def test_descent_matches_brute_force_on_generated_layouts(spark, site_xy, point_xy, max_km):
     sites = [(i + 1, a, b) for i, (a, b) in enumerate(site_xy)]
     points = [(i, a, b) for i, (a, b) in enumerate(point_xy)]
-    _assert_same(run(spark, points, sites, max_km, fold_limit=0, cell_km=cell_km), brute(points, sites, max_km))
+    _assert_same(run(spark, points, sites, max_km), brute(points, sites, max_km))
