@@ -317,12 +317,17 @@ def fit(texts: list[str]) -> Field:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows: int = SAMPLE_ROWS) -> Field:
-    """Fitted on the sample; the driver gets the surroundings of its digits and at signs alone."""
+    """Fitted on the sample; the driver gets the surroundings of its digits and
+    at signs alone. The hashes are ranked first, so that no task gathers texts
+    of rows that are not in the sample."""
     text = F.col(text_col)
-    sample = docs.filter(text.rlike("[0-9@]")).select(F.col(id_col).cast("string").alias("id"), text.alias("text"))
-    sample = sample.orderBy(F.xxhash64("id", F.lit(SEED)), "id", F.xxhash64("text")).limit(rows)
+    hashed = docs.filter(text.rlike("[0-9@]")).select(
+        F.xxhash64(F.col(id_col).cast("string"), text, F.lit(SEED)).alias("h"), text.alias("text")
+    )
+    last = hashed.select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    sample = hashed.filter(F.col("h") <= F.lit(last if last is not None else 0)).orderBy("h").limit(rows)
     short = with_text_columns(sample, "near array<string>", lambda texts: [[_surroundings(t) for t in texts]])
-    found = [r.near for r in short.select("id", "near").collect()]
+    found = [r.near for r in short.select("h", "near").orderBy("h").collect()]
     return fit([t for near in found for t in near])
 
 
