@@ -1,22 +1,23 @@
 """Near-duplicates by a chosen-path set similarity join.
 
 A text is the set of its word shingles. Texts with the same set are one member
-from the start. In each of ``trees`` independent trees the members branch by a
+from the start. In each of ``TREES`` independent trees the members branch by a
 minwise token of their set; nodes that are large branch again by tokens that
-the node selects, small nodes are compared exhaustively. A signature of minwise
-tokens first drops pairs far below the threshold, every other pair is verified
-on the full sets, natively.
+the node selects, small nodes are compared exhaustively. A sketch (the smallest
+shingle in each of ``BINS`` ranges of hashes) first drops pairs far below the
+threshold, every other pair is verified on the full sets, natively.
 
-Only components are wanted, so a node first links its members to its smallest
-one. A node whose members are then in one component is settled; in the others
-the pairs across components are compared. That keeps a node of near copies
-linear. Nodes that stay large on every level are compared in blocks: members
-outside the largest component against all.
+Only components are wanted, so each member is first held against the pivots of
+its nodes (another in each tree), of which the nearest few are verified. A node
+whose members are then in one component is settled; in the others the pairs
+across components are compared. A large node of which few members are outside its largest component meets just
+these with all, in blocks; so do nodes that stay large on every level. That
+keeps a node of near copies linear.
 
 Recall: a pair at the threshold 0.8 shares the first token in a tree with
 probability 0.8 and survives a further level with 0.96; in 12 trees fewer than
 one such pair in 10^6 is missed without further levels, in 10^5 with five. The
-signature drops one such pair in 10^7. Pairs above the threshold do better.
+sketch drops one such pair in 10^7. Pairs above the threshold do better.
 """
 
 from __future__ import annotations
@@ -28,21 +29,26 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm.common import Words, documents, joined_hash, with_text_columns, written
+from blotter.llm.bloom import Filter
+from blotter.llm.common import Words, documents, joined_hash, shuffle_width, with_text_columns, written
 from blotter.llm.components import components
 
 #: Percent of the union that the intersection must reach.
 THRESHOLD = 80
-SIGNATURE = 64
-#: Equal tokens of the signatures of a pair that is verified, out of 64 (5.6 standard deviations below 0.8).
-LEAST_EQUAL = 33
 TREES = 12
+#: Minwise tokens of a member: one for each tree, the rest for further levels.
+TOKENS = 28
 BRANCHES = 2
 LEVELS = 8
+#: Ranges of hashes in a sketch; standard deviations below the threshold at which a pair is still verified.
+BINS = 512
+DEVIATIONS = 5.6
 #: Members of a node that is compared at once.
-SMALL = 500
+SMALL = 2000
+#: Pivots of its nodes that a member is verified with first, the nearest by sketch.
+NEAREST = 2
 
-_SEEDS = np.random.default_rng(80).integers(1, 2**63, (2, SIGNATURE)).astype(np.uint64)
+_SEEDS = np.random.default_rng(80).integers(1, 2**63, (2, TOKENS)).astype(np.uint64)
 
 
 # ------------------------------------------------------------------ sets
@@ -71,21 +77,46 @@ def shingle_sets(texts: list[str], size: int) -> tuple[np.ndarray, np.ndarray]:
     return values, np.searchsorted(owner, np.arange(len(texts) + 1))
 
 
-def _signatures(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """(texts, SIGNATURE) smallest hashes; texts without shingles get zeros."""
-    out = np.zeros((len(first) - 1, SIGNATURE), np.int32)
+def _tokens(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """(texts, TOKENS) smallest hashes; texts without shingles get zeros."""
+    out = np.zeros((len(first) - 1, TOKENS), np.int32)
     full = np.flatnonzero(np.diff(first))
     if len(full):
-        for k in range(SIGNATURE):
+        for k in range(TOKENS):
             ranked = ((values ^ _SEEDS[0, k]) * (_SEEDS[1, k] | np.uint64(1))) >> np.uint64(32)
             out[full, k] = np.minimum.reduceat(ranked, first[:-1][full]).astype(np.uint32).view(np.int32)
     return out
 
 
+def _sketches(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """(texts, BINS): of the smallest hash in each range 1 to 255, 0 without
+    one. Sorted hashes have the smallest of a range first."""
+    out = np.zeros((len(first) - 1, BINS), np.uint8)
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    at = (values >> np.uint64(64 - BINS.bit_length() + 1)).astype(np.int64)
+    new = np.ones(len(values), bool)
+    new[1:] = (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])
+    out[owner[new], at[new]] = (values[new] % np.uint64(255)).astype(np.uint8) + 1
+    return out
+
+
+def near_sketches(one: np.ndarray, many: np.ndarray, threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``many`` may reach the threshold with ``one``, and the estimate:
+    of the ranges that either has, the share with equal entries. The ranges are
+    a sample without replacement of the union, whose size their number tells;
+    small sets are sampled nearly whole, and so estimated more closely."""
+    used = ((many | one) != 0).sum(axis=1)
+    equal = ((many == one) & (one != 0)).sum(axis=1)
+    t, free = threshold / 100, np.maximum(1 - used / BINS, 1 / (4 * BINS))
+    sampled = np.where(used > 0, used / np.maximum(-BINS * np.log(free), 1), 1.0)
+    spread = np.sqrt(t * (1 - t) * used * np.maximum(1 - sampled, 0))
+    return equal >= t * used - DEVIATIONS * spread - 1, equal / np.maximum(used, 1)
+
+
 def _describe(texts: list[str], size: int) -> list:
     values, first = shingle_sets(texts, size)
     keys = [hashlib.blake2b(values[a:b].tobytes(), digest_size=16).digest() for a, b in zip(first, first[1:])]
-    return [np.diff(first), keys, list(_signatures(values, first))]
+    return [np.diff(first), keys, list(_tokens(values, first)), [x.tobytes() for x in _sketches(values, first)]]
 
 
 def _set_lists(texts: list[str], size: int) -> list:
@@ -97,26 +128,48 @@ def _set_lists(texts: list[str], size: int) -> list:
 
 
 def _branch(members: DataFrame, level: int) -> DataFrame:
-    """Children (path, gid) of the nodes in ``members`` (path, gid, signature):
+    """Children (path, gid) of the nodes in ``members`` (path, gid, tokens):
     each node selects ``BRANCHES`` tokens by its path."""
-    picks = [F.pmod(F.xxhash64("path", F.lit(level), F.lit(j)), F.lit(SIGNATURE)).cast("int") for j in range(BRANCHES)]
-    child = lambda at: F.xxhash64("path", at, F.get("signature", at))
+    picks = [TREES + F.pmod(F.xxhash64("path", F.lit(level), F.lit(j)), F.lit(TOKENS - TREES)).cast("int") for j in range(BRANCHES)]
+    child = lambda at: F.xxhash64("path", at, F.get("tokens", at))
     return members.select("gid", F.explode(F.array_distinct(F.array(*map(child, picks)))).alias("path"))
 
 
-def _sizes(members: DataFrame) -> DataFrame:
-    """Nodes with two members or more."""
-    return members.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("gid").alias("pivot")).filter("size > 1")
+def _shared(nodes: DataFrame) -> DataFrame:
+    """The rows (path, gid) of nodes with two members or more."""
+    sizes = written(nodes.groupBy("path").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select("path"), "sizes")
+    return written(nodes.join(sizes, "path"), "nodes")
+
 
+def _sketch_matrix(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, BINS)
 
-def _near(x: str, y: str) -> Column:
-    same = F.zip_with(F.col(x), F.col(y), lambda a, b: (a == b).cast("int"))
-    return F.aggregate(same, F.lit(0), lambda total, e: total + e) >= LEAST_EQUAL
 
+def _pivot_pairs(rows: DataFrame, members: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): each member with those pivots of its nodes that are nearest by sketch."""
 
-def _pairs_in_nodes(members: DataFrame) -> DataFrame:
-    """(a, b) across components whose signatures are near, in nodes of up to
-    ``SMALL`` members (path, gid, root, signature)."""
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (_sketch_matrix(batch.column(c)) for c in ("x", "y"))
+                near, share = (np.concatenate(v) for v in zip(*(near_sketches(one, other[None], threshold) for one, other in zip(x, y))))
+                columns = [batch.column("gid"), batch.column("pivot"), pa.array(share)]
+                yield pa.RecordBatch.from_arrays(columns, names=["gid", "pivot", "share"]).filter(pa.array(near))
+
+    order = F.struct(F.xxhash64("gid", "path").alias("h"), "gid")
+    pivots = written(rows.groupBy("path").agg(F.min(order).alias("p")).select("path", F.col("p.gid").alias("pivot")), "pivots")
+    met = rows.join(pivots, "path").filter("gid <> pivot").select("gid", "pivot").distinct()
+    one = members.select("gid", F.col("sketch").alias("x"))
+    two = members.select(F.col("gid").alias("pivot"), F.col("sketch").alias("y"))
+    near = met.join(one, "gid").join(two, "pivot").select("gid", "pivot", "x", "y").mapInArrow(run, "gid long, pivot long, share double")
+    best = near.groupBy("gid").agg(F.slice(F.sort_array(F.collect_list(F.struct("share", "pivot")), False), 1, NEAREST).alias("best"))
+    pair = best.select("gid", F.explode("best.pivot").alias("pivot"))
+    return pair.select(F.least("gid", "pivot").alias("a"), F.greatest("gid", "pivot").alias("b")).distinct()
+
+
+def _pairs_in_nodes(members: DataFrame, threshold: int) -> DataFrame:
+    """(a, b) across components whose sketches are near, in nodes of up to
+    ``SMALL`` members (path, gid, root, sketch)."""
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -128,112 +181,113 @@ def _pairs_in_nodes(members: DataFrame) -> DataFrame:
                 continue
             last = int(np.searchsorted(path, path[-1]))  # the last node may go on
             if last:
-                yield from _compare(table.slice(0, last))
+                yield from _compare(table.slice(0, last), threshold)
             held = table.slice(last).combine_chunks().to_batches()
         if held:
-            yield from _compare(pa.Table.from_batches(held))
+            yield from _compare(pa.Table.from_batches(held), threshold)
 
-    width = max(12, members.sparkSession.sparkContext.defaultParallelism)
-    dealt = members.repartition(max(width, int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "path")
-    return dealt.sortWithinPartitions("path").mapInArrow(run, "a long, b long").distinct()
+    dealt = members.repartition(shuffle_width(members.sparkSession), "path")
+    return dealt.sortWithinPartitions("path").mapInArrow(run, "a long, b long")
 
 
-def _compare(table: pa.Table):
+def _compare(table: pa.Table, threshold: int):
     path, gid, root = (table.column(c).to_numpy() for c in ("path", "gid", "root"))
-    table = table.combine_chunks()
-    signature = table.column("signature").chunk(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, SIGNATURE)
+    sketch = _sketch_matrix(table.column("sketch"))
     edges = np.concatenate([[0], np.flatnonzero(path[1:] != path[:-1]) + 1, [len(path)]])
-    left, right = [], []
+    found = set()
     for s, e in zip(edges, edges[1:]):
         for i in range(s, e - 1):
             other = np.flatnonzero(root[i + 1 : e] != root[i]) + i + 1
             if len(other):
-                near = other[(signature[other] == signature[i]).sum(axis=1) >= LEAST_EQUAL]
-                left.append(np.full(len(near), gid[i]))
-                right.append(gid[near])
-    if left:
-        a, b = np.concatenate(left), np.concatenate(right)
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
-
-
-def _pairs_in_blocks(members: DataFrame, sizes: DataFrame) -> DataFrame:
-    """The same for nodes that stay large: their members are dealt into blocks
-    of about ``SMALL``, each of which meets the members that are not in the
-    node's largest component."""
-    by_root = members.groupBy("path", "root").agg(F.count(F.lit(1)).alias("n"))
-    main = by_root.groupBy("path").agg(F.max_by("root", "n").alias("main"))
-    blocks = sizes.select("path", F.ceil(F.col("size") / SMALL).cast("int").alias("blocks"))
-    all_rows = members.join(blocks, "path")
-    block = all_rows.withColumn("block", F.pmod(F.xxhash64("gid"), F.col("blocks")).cast("int"))
-    probes = all_rows.join(main, "path").filter("root <> main").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                near = other[near_sketches(sketch[i], sketch[other], threshold)[0]]
+                found.update((min(gid[i], g), max(gid[i], g)) for g in gid[near].tolist())
+    if found:
+        a, b = zip(*found)
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _pairs_in_blocks(members: DataFrame, threshold: int) -> DataFrame:
+    """The same for larger nodes (path, size, main, gid, root, sketch): their
+    members are dealt into blocks of about ``SMALL``, each of which meets the
+    members that are not in ``main``, the node's largest component."""
+    blocks = F.ceil(F.col("size") / SMALL).cast("int")
+    columns = ["path", "block", "gid", "root", "sketch"]
+    own = members.withColumn("block", F.pmod(F.xxhash64("gid"), blocks).cast("int")).select(*columns)
+    probes = members.filter("root <> main").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select(*columns)
 
     def meet(own, probe):
         import pandas as pd
 
         out = [pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})]
         if len(own) and len(probe):
-            mine = np.stack(own["signature"].to_numpy())
+            mine = np.frombuffer(b"".join(own["sketch"]), np.uint8).reshape(-1, BINS)
             gid, root = own["gid"].to_numpy(), own["root"].to_numpy()
-            for g, r, s in zip(probe["gid"], probe["root"], probe["signature"]):
-                near = gid[((mine == s).sum(axis=1) >= LEAST_EQUAL) & (root != r)]
+            for g, r, s in zip(probe["gid"], probe["root"], probe["sketch"]):
+                other = np.flatnonzero(root != r)
+                near = gid[other[near_sketches(np.frombuffer(s, np.uint8), mine[other], threshold)[0]]]
                 out.append(pd.DataFrame({"a": np.minimum(near, g), "b": np.maximum(near, g)}))
         return pd.concat(out)
 
-    columns = ["path", "block", "gid", "root", "signature"]
-    return (
-        block.select(*columns).groupBy("path", "block").cogroup(probes.select(*columns).groupBy("path", "block"))
-        .applyInPandas(meet, "a long, b long").distinct()
-    )
+    # written, so that no column is shared by the two sides
+    left, right = own.groupBy("path", "block"), written(probes, "probes").groupBy("path", "block")
+    return left.cogroup(right).applyInPandas(meet, "a long, b long")
 
 
 # ------------------------------------------------------------------ join
 
 
-def _first_pairs(nodes: DataFrame, sizes: DataFrame, members: DataFrame) -> DataFrame:
-    """Each member of a node with the node's smallest, if their signatures are near."""
-    pairs = nodes.join(sizes, "path").filter("gid <> pivot").select(F.col("pivot").alias("a"), F.col("gid").alias("b")).distinct()
-    one = members.select(F.col("gid").alias("a"), F.col("signature").alias("x"))
-    two = members.select(F.col("gid").alias("b"), F.col("signature").alias("y"))
-    return pairs.join(one, "a").join(two, "b").filter(_near("x", "y")).select("a", "b")
+def _labelled(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """gid and root (itself without links) of the members."""
+    joined = members.select("gid").join(roots.withColumnRenamed("node", "gid"), "gid", "left")
+    return written(joined.select("gid", F.coalesce("root", "gid").alias("root")), "labelled")
 
 
-def _other_pairs(nodes: DataFrame, sizes: DataFrame, members: DataFrame, roots: DataFrame) -> list[DataFrame]:
-    """Near pairs across components, from nodes that the first pairs have not settled."""
-    labelled = written(
-        members.join(roots.withColumnRenamed("node", "gid"), "gid", "left")
-        .select("gid", "signature", F.coalesce("root", "gid").alias("root")), "labelled"
+def _open(nodes: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of nodes with members in several components: the rows with their roots,
+    and (path, size, main, outside), the members not in the largest component."""
+    here = written(nodes.join(labels, "gid").select("path", "gid", "root"), "rooted")
+    by_root = here.groupBy("path", "root").agg(F.count(F.lit(1)).alias("n"))
+    node = by_root.groupBy("path").agg(
+        F.sum("n").alias("size"), F.max(F.struct("n", "root")).alias("most"), F.count(F.lit(1)).alias("roots")
     )
-    found = []
+    still = node.filter("roots > 1").select("path", "size", F.col("most.root").alias("main"), (F.col("size") - F.col("most.n")).alias("outside"))
+    still = written(still, "open")
+    return here, still
+
+
+def _other_pairs(rows: DataFrame, still: DataFrame, members: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
+    """Near pairs across components in the nodes that the pivots have not settled."""
+    found = None
     for level in range(1, LEVELS + 1):
-        here = nodes.join(sizes.select("path", "size"), "path").join(labelled.select("gid", "root"), "gid")
-        open_nodes = written(
-            here.groupBy("path").agg(F.count(F.lit(1)).alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
-            .filter("low < high").select("path", "size"), "open"
-        )
-        full = written(nodes.join(open_nodes, "path").join(labelled, "gid"), "level")
-        found.append(_pairs_in_nodes(full.filter(F.col("size") <= SMALL).select("path", "gid", "root", "signature")))
-        large = full.filter(F.col("size") > SMALL)
-        if not large.limit(1).count():
-            break
-        if level == LEVELS:
-            found.append(_pairs_in_blocks(large.drop("size"), open_nodes.filter(F.col("size") > SMALL)))
-        else:
-            nodes = written(_branch(large, level), "nodes")
-            sizes = written(_sizes(nodes), "sizes")
+        full = written(rows.join(still, "path").join(members.select("gid", "tokens", "sketch"), "gid"), "level")
+        pairs = _pairs_in_nodes(full.filter(F.col("size") <= SMALL).select("path", "gid", "root", "sketch"), threshold)
+        any_large = still.filter(F.col("size") > SMALL).limit(1).count()
+        if any_large:
+            in_blocks = (F.col("size") > SMALL) & (F.lit(level == LEVELS) | (F.col("outside") <= SMALL))
+            meeting = full.filter(in_blocks).select("path", "size", "main", "gid", "root", "sketch")
+            pairs = pairs.unionByName(_pairs_in_blocks(meeting, threshold))
+        found = pairs if found is None else found.unionByName(pairs)
+        rest = full.filter((F.col("size") > SMALL) & ~in_blocks) if any_large else None
+        if rest is None or not rest.limit(1).count():
+            return found
+        rows, still = _open(_shared(_branch(rest, level)), labels)
     return found
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, sets: DataFrame | None, size: int, threshold: int):
     """The pairs that reach the threshold on their full sets, and the sets
     known so far. Sets are made for the members in pairs alone, each from one
-    of its texts; copies of a text are dropped before the shuffle."""
+    of its texts: texts that a filter of these does not hold are not shuffled."""
     wanted = pairs.select(F.col("a").alias("gid")).unionByName(pairs.select(F.col("b").alias("gid"))).distinct()
     if sets is not None:
         wanted = wanted.join(sets.select("gid"), "gid", "left_anti")
-    wanted = written(wanted.join(members.select("gid", "text_key"), "gid"), "wanted")
-    if sets is None or wanted.limit(1).count():
-        texts = docs.select("text", _text_key().alias("text_key")).join(wanted, "text_key").dropDuplicates(["gid"]).select("gid", "text")
-        new = written(with_text_columns(texts, "shingles array<long>", lambda t: _set_lists(t, size)).drop("text"), "sets")
+    wanted = written(wanted.join(members.select("gid", "text_key"), "gid").select("gid", "text_key.*"), "wanted")
+    entries = wanted.count()
+    if sets is None or entries:
+        held = Filter(wanted.select(F.col("t1").alias("h")), entries)
+        texts = docs.select("text", _text_key().alias("k")).select("text", "k.*")
+        some = texts.mapInArrow(_holding(held), texts.schema).join(wanted, ["t1", "t2"]).dropDuplicates(["gid"]).select("gid", "text")
+        new = written(with_text_columns(some, "shingles array<long>", lambda t: _set_lists(t, size)).drop("text"), "sets")
         sets = new if sets is None else sets.unionByName(new)
     one = sets.select(F.col("gid").alias("a"), F.col("shingles").alias("x"))
     two = sets.select(F.col("gid").alias("b"), F.col("shingles").alias("y"))
@@ -242,8 +296,21 @@ def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, sets: DataF
     return written(both.filter(reach).select("a", "b"), "links"), sets
 
 
+def _holding(held: Filter):
+    """Rows whose key the filter holds; of those with one key in a batch, one."""
+
+    def run(batches):
+        for batch in batches:
+            one, two = (batch.column(c).to_numpy().view(np.uint64) for c in ("t1", "t2"))
+            at = np.flatnonzero(held.holds(one.view(np.int64)))
+            _, first = np.unique(joined_hash([one[at], two[at]]), return_index=True)
+            yield batch.take(pa.array(np.sort(at[first])))
+
+    return run
+
+
 def _text_key() -> Column:
-    return F.struct(F.xxhash64("text"), F.xxhash64(F.lit(1), "text"))
+    return F.struct(F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(1), "text").alias("t2"))
 
 
 def near_components(
@@ -265,7 +332,7 @@ def near_components(
 def _answers(docs: DataFrame, id_col: str, text_col: str, shingle: int, threshold: int) -> DataFrame:
     """(id, text_key, n_shingles, component_id) for each row."""
     picked = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    fields = f"n_shingles long, key binary, signature array<int>"
+    fields = "n_shingles long, key binary, tokens array<int>, sketch binary"
     described = with_text_columns(
         picked.withColumn("text_key", _text_key()), fields, lambda texts: _describe(texts, shingle)
     ).drop("text")
@@ -273,39 +340,25 @@ def _answers(docs: DataFrame, id_col: str, text_col: str, shingle: int, threshol
     members = written(
         rows.filter("n_shingles > 0").groupBy("key").agg(
             F.min("row").alias("gid"), F.min("id").alias("low_id"),
-            F.min_by("signature", "row").alias("signature"), F.min_by("text_key", "row").alias("text_key"),
-        ), "members"
+            F.min_by(F.struct("tokens", "sketch", "text_key"), "row").alias("m"),
+        ).select("key", "gid", "low_id", "m.*"), "members"
     )
-    first = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda tree: F.xxhash64(tree, F.get("signature", tree)))
-    nodes = members.select("gid", F.explode(first).alias("path"))
-    sizes = written(_sizes(nodes), "sizes")
-    nodes = written(nodes.join(sizes.select("path"), "path"), "nodes")
+    first = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda tree: F.xxhash64(tree, F.get("tokens", tree)))
+    rows_of_nodes = _shared(members.select("gid", F.explode(first).alias("path")))
 
-    pairs = written(_first_pairs(nodes, sizes, members), "pairs")
+    pairs = written(_pivot_pairs(rows_of_nodes, members, threshold), "pairs")
     links, sets = _verified(pairs, picked, members, None, shingle, threshold)
-    roots = components(links)
-    more = _other_pairs(nodes, sizes, members, roots)
-    others = more[0]
-    for m in more[1:]:
-        others = others.unionByName(m)
-    others = written(others.distinct(), "pairs")
-    if others.limit(1).count():
-        extra, _ = _verified(others, picked, members, sets, shingle, threshold)
-        # links between components; the members' roots stand for them
-        a, b = (roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
-        between = extra.join(a, "a", "left").join(b, "b", "left").select(
-            F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")
-        )
-        joined = components(between.filter("a <> b"))
-        known = roots.join(joined.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select(
-            "node", F.coalesce("top", "root").alias("root")
-        )
-        fresh = joined.join(roots.select("node"), "node", "left_anti")
-        roots = written(known.unionByName(fresh), "roots")
+    labels = _labelled(members, components(links))
+    pairs = written(_other_pairs(*_open(rows_of_nodes, labels), members, labels, threshold).distinct(), "pairs")
+    more, _ = _verified(pairs, picked, members, sets, shingle, threshold)
+    # components of components: the roots stand for their members
+    a, b = (labels.select(F.col("gid").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
+    between = more.join(a, "a").join(b, "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    top = components(between).select(F.col("node").alias("root"), F.col("root").alias("top"))
 
     rooted = written(
-        members.select("key", "gid", "low_id").join(roots.withColumnRenamed("node", "gid"), "gid", "left")
-        .select("key", "low_id", F.coalesce("root", "gid").alias("root")), "rooted"
+        members.select("key", "gid", "low_id").join(labels, "gid").join(top, "root", "left")
+        .select("key", "low_id", F.coalesce("top", "root").alias("root")), "rooted"
     )
     lowest = written(rooted.groupBy("root").agg(F.min("low_id").alias("component_id")), "lowest")
     answer = written(rooted.join(lowest, "root").select("key", "component_id"), "answer")
