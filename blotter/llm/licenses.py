@@ -122,17 +122,22 @@ def find_licenses(
         F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("key"), F.xxhash64(F.lit(5), F.col(id_col), text).alias("key2"),
         canonical_lines(F.col(text_col)).alias("lines"),
     )
-    rows = lines.select("id", "key", "key2", F.sha2(one_line(F.col("lines")), 256).alias("text_digest"))
-    parts = F.concat(F.array("lines"), F.split("lines", _PARAGRAPH), F.split("lines", "\n"))
-    digests = lines.select("key", "key2", F.explode(F.array_distinct(F.transform(parts, one_line))).alias("part")).filter("part <> ''")
-    hits = (
-        digests.select("key", "key2", F.sha2("part", 256).alias("digest")).join(known, "digest")
-        .groupBy("key", "key2").agg(F.array_sort(F.collect_set("license")).alias("licenses"))
-    )
-    whole = rows.join(known, rows.text_digest == known.digest, "left").withColumnRenamed("license", "text_license")
-    return whole.join(hits, ["key", "key2"], "left").select(
-        F.col("id").alias(id_col), "text_digest", "text_license", F.coalesce("licenses", F.array().cast("array<string>")).alias("licenses")
+    whole = lines.withColumn("whole", one_line(F.col("lines")))
+    # a paragraph of one line is among the lines; a canonical line has single spaces
+    paragraphs = F.transform(F.filter(F.split("lines", _PARAGRAPH), lambda p: p.contains("\n")), one_line)
+    others = F.filter(F.array_distinct(F.concat(paragraphs, F.transform(F.split("lines", "\n"), lambda p: F.trim(p)))), lambda p: p != "")
+    parts = F.concat(F.array("whole"), F.filter(others, lambda p: p != F.col("whole")))
+    digests = whole.select("id", "key", "key2", F.transform(parts, lambda p: F.sha2(p, 256)).alias("digests"))
+    each = digests.select("id", "key", "key2", F.col("digests")[0].alias("text_digest"), F.posexplode("digests").alias("at", "digest"))
+    # the first part is the whole text: it counts rows that repeat id and text
+    found = (
+        each.join(known, "digest", "left").groupBy("id", "key", "key2", "text_digest").agg(
+            F.count(F.when(F.col("at") == 0, 1)).cast("int").alias("rows"), F.max(F.when(F.col("at") == 0, F.col("license"))).alias("text_license"),
+            F.array_sort(F.collect_set("license")).alias("licenses"),
+        )
     )
+    again = found.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows"))))
+    return again.select(F.col("id").alias(id_col), "text_digest", "text_license", "licenses")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
