@@ -167,9 +167,20 @@ def _pivot_pairs(rows: DataFrame, members: DataFrame, threshold: int) -> DataFra
     return pair.select(F.least("gid", "pivot").alias("a"), F.greatest("gid", "pivot").alias("b")).distinct()
 
 
+def _with_trees(members: DataFrame) -> DataFrame:
+    """Nodes of the first level with ``tree``, their tree, and ``trees``, as
+    bits, the trees in which each member has a node here."""
+    paths = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda tree: F.xxhash64(tree, F.get("tokens", tree)))
+    rows = members.withColumn("tree", (F.array_position(paths, F.col("path")) - 1).cast("int"))
+    own = rows.groupBy("gid").agg(F.bit_or(F.call_function("shiftleft", F.lit(1), F.col("tree"))).alias("trees"))
+    return rows.join(own, "gid")
+
+
 def _pairs_in_nodes(members: DataFrame, threshold: int) -> DataFrame:
     """(a, b) across components whose sketches are near, in nodes of up to
-    ``SMALL`` members (path, gid, root, sketch)."""
+    ``SMALL`` members (path, gid, root, tokens, sketch, tree, trees). A pair
+    that shares several nodes comes from the one of the first tree; tree -1
+    (further levels) compares all."""
 
     def run(batches):
         held: list[pa.RecordBatch] = []
@@ -193,11 +204,16 @@ def _pairs_in_nodes(members: DataFrame, threshold: int) -> DataFrame:
 def _compare(table: pa.Table, threshold: int):
     path, gid, root = (table.column(c).to_numpy() for c in ("path", "gid", "root"))
     sketch = _sketch_matrix(table.column("sketch"))
+    tree, trees = (table.column(c).to_numpy() for c in ("tree", "trees"))
+    tokens = table.column("tokens").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, TOKENS)[:, :TREES]
     edges = np.concatenate([[0], np.flatnonzero(path[1:] != path[:-1]) + 1, [len(path)]])
     found = set()
     for s, e in zip(edges, edges[1:]):
         for i in range(s, e - 1):
             other = np.flatnonzero(root[i + 1 : e] != root[i]) + i + 1
+            if tree[i] >= 0 and len(other):
+                shared = (tokens[other] == tokens[i]) & (trees[i] >> np.arange(TREES) & 1).astype(bool)
+                other = other[shared.argmax(axis=1) == tree[i]]
             if len(other):
                 near = other[near_sketches(sketch[i], sketch[other], threshold)[0]]
                 found.update((min(gid[i], g), max(gid[i], g)) for g in gid[near].tolist())
@@ -260,7 +276,9 @@ def _other_pairs(rows: DataFrame, still: DataFrame, members: DataFrame, labels:
     found = None
     for level in range(1, LEVELS + 1):
         full = written(rows.join(still, "path").join(members.select("gid", "tokens", "sketch"), "gid"), "level")
-        pairs = _pairs_in_nodes(full.filter(F.col("size") <= SMALL).select("path", "gid", "root", "sketch"), threshold)
+        small = full.filter(F.col("size") <= SMALL).select("path", "gid", "root", "tokens", "sketch")
+        placed = _with_trees(small) if level == 1 else small.withColumns({"tree": F.lit(-1), "trees": F.lit(0)})
+        pairs = _pairs_in_nodes(placed, threshold)
         any_large = still.filter(F.col("size") > SMALL).limit(1).count()
         if any_large:
             in_blocks = (F.col("size") > SMALL) & (F.lit(level == LEVELS) | (F.col("outside") <= SMALL))
