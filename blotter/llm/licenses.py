@@ -10,7 +10,11 @@ and however it is set.
 
 from __future__ import annotations
 
+import json
+import re
 from functools import reduce
+from importlib import resources
+from itertools import chain, product
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,48 +44,37 @@ _HOLDERS = r"(?m)^[ \t>*#/;-]*(copyright [(0-9]|copyright ©|copyright:|\(c\)|©
 _MARKS = r"(?:[^a-z0-9\n\x{80}-\x{10FFFF}]|[“”‘’–—•©])+"
 _PARAGRAPH = r"\n(?: ?\n)+"
 
-# Texts of licences and the notices that stand for them.
-_MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
-documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
-rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
-persons to whom the Software is furnished to do so, subject to the following conditions:
-
-The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
-Software.
-
-THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
-WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
-COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
-OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
-_ISC = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
-granted, provided that the above copyright notice and this permission notice appear in all copies.
-
-THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL
-IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
-INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN
-ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
-THIS SOFTWARE."""
-KNOWN = (
-    ("MIT", _MIT),
-    ("MIT", "MIT License\n\n" + _MIT),
-    ("MIT", "The MIT License\n\n" + _MIT),
-    ("MIT", "Released under the MIT License."),
-    ("MIT", "Licensed under the MIT License."),
-    ("MIT", "SPDX-License-Identifier: MIT"),
-    ("ISC", _ISC),
-    ("ISC", "ISC License\n\n" + _ISC),
-    ("ISC", "SPDX-License-Identifier: ISC"),
-    ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
-    ("Apache-2.0", "Released under the Apache License, Version 2.0."),
-    ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
-    ("GPL-3.0-only", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0-only", "SPDX-License-Identifier: GPL-3.0-only"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "This work is licensed under CC BY-NC 4.0."),
-    ("CC-BY-NC-4.0", "SPDX-License-Identifier: CC-BY-NC-4.0"),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
-)
+#: A phrase of EQUAL_SPELLINGS that some settings break across lines, where it keeps its spelling.
+_HOLDER_BREAK = r"(?i)(?<=copyright)[ \n]+(?=holder)"
+_FEW_BREAKS = 3
+
+
+def _settings(text: str) -> list[str]:
+    """``text`` with and without a line break at each of a few "copyright
+    holder"; a text with more of them as it is set in the file and without any."""
+    parts = re.split(_HOLDER_BREAK, text)
+    if len(parts) - 1 > _FEW_BREAKS:
+        return [text, " ".join(parts)]
+    return ["".join(chain(*zip(parts, (*gaps, "")))) for gaps in product(" \n", repeat=len(parts) - 1)]
+
+
+def load_known(content: str) -> tuple[tuple[str, str], ...]:
+    """(license, text) pairs of a file like known_licenses.json: each of
+    ``texts`` in its settings, with each of the ``swaps`` in place of the first
+    one, below each of the ``titles`` and ``rights`` lines; then the notices."""
+    data = json.loads(content)
+    known = []
+    for entry in data["texts"]:
+        swaps = entry.get("swaps", [""])
+        for text, swap in product(entry["texts"], swaps):
+            swapped = text.replace(swaps[0], swap) if swap else text
+            for body, title, rights in product(_settings(swapped), entry["titles"], entry.get("rights", [""])):
+                known.append((entry["license"], "\n\n".join(p for p in (title, rights, body) if p)))
+    return tuple(dict.fromkeys([*known, *map(tuple, data["notices"])]))
+
+
+#: Texts of licences, with the usual titles, and the notices that stand for them.
+KNOWN = load_known(resources.files("blotter.llm").joinpath("known_licenses.json").read_text("utf-8"))
 
 
 def canonical_lines(text: Column) -> Column:
@@ -125,8 +118,9 @@ def find_licenses(
     whole = lines.withColumn("whole", one_line(F.col("lines")))
     # a paragraph of one line is among the lines; a canonical line has single spaces
     paragraphs = F.transform(F.filter(F.split("lines", _PARAGRAPH), lambda p: p.contains("\n")), one_line)
-    others = F.filter(F.array_distinct(F.concat(paragraphs, F.transform(F.split("lines", "\n"), lambda p: F.trim(p)))), lambda p: p != "")
-    parts = F.concat(F.array("whole"), F.filter(others, lambda p: p != F.col("whole")))
+    # the sets are made by functions that take the whole text once: a lambda would form it again for each part
+    others = F.concat(paragraphs, F.transform(F.split("lines", "\n"), lambda p: F.trim(p)))
+    parts = F.concat(F.array("whole"), F.array_except(others, F.array(F.col("whole"), F.lit(""))))
     digests = whole.select("id", "key", "key2", F.transform(parts, lambda p: F.sha2(p, 256)).alias("digests"))
     each = digests.select("id", "key", "key2", F.col("digests")[0].alias("text_digest"), F.posexplode("digests").alias("at", "digest"))
     # the first part is the whole text: it counts rows that repeat id and text

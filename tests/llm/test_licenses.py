@@ -28,3 +28,34 @@ def test_edges(edges, empty):
 
 def test_no_python_runs(edges):
     assert not re.search("Python|Pandas|ArrowEval|MapIn", L.find_licenses(edges)._jdf.queryExecution().toString())
+
+
+def _full(name, at=0):
+    return [t for n, t in L.KNOWN if n == name and len(t) > 400][at]
+
+
+def test_full_texts(spark):
+    """Whole licence texts as files hold them, set in lines of another width."""
+    import textwrap
+
+    wrapped = lambda t: "\n\n".join(textwrap.fill(p, 60) for p in t.split("\n\n"))
+    whole = ("MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "Apache-2.0", "Unlicense", "Zlib", "BSL-1.0", "MPL-1.1", "MPL-2.0", "CC0-1.0",
+             "CC-BY-SA-4.0", "OFL-1.1", "Artistic-1.0-Perl", *[f"GPL-{v}.0-only" for v in (1, 2, 3)],
+             *[f"LGPL-{v}-only" for v in ("2.0", "2.1", "3.0")], "GFDL-1.2-only", "GFDL-1.3-only")
+    mit = _full("MIT")
+    rows = [
+        ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2014 Some One\n\n" + wrapped(mit)),
+        ("MIT", "# MIT License\n\n© 2014 Some One. All rights reserved.\n\n" + mit.replace("COPYRIGHT HOLDERS", "COPYRIGHT\nHOLDERS")),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, Some One\nAll rights reserved.\n\n" + wrapped(_full("BSD-3-Clause"))),
+        ("Apache-2.0", _full("Apache-2.0").replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2020 Some One")),
+        ("GPL-2.0-only", _full("GPL-2.0-only").replace("51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA", "59 Temple Place, Suite 330, Boston, MA  02111-1307  USA")),
+        *[(n, _full(n)) for n in whole],
+        *[(n, "\n".join("// " + x for x in _full(n).split("\n"))) for n in whole],
+    ]
+    got = {r.doc_id: r.text_license for r in L.find_licenses(table(spark, [(i, t) for i, (_, t) in enumerate(rows)])).collect()}
+    assert [got[i] for i in range(len(rows))] == [n for n, _ in rows]
+
+
+def test_file_names_all_notices():
+    spdx = {n for n, t in L.KNOWN if t == f"SPDX-License-Identifier: {n}"}
+    assert {n for n, _ in L.KNOWN} <= spdx
