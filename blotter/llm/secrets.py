@@ -2,8 +2,9 @@
 
 Detectors propose candidates in every whole text. The hash of each candidate's
 value is aggregated over the corpus: in how many repositories and with how many
-owners does it occur? A value seen with more than ``max_owners`` owners is a
-widely copied example; one that stays with its owner and looks random is live.
+owners does it occur? A value seen with more than ``max_owners`` owners, or in
+more than ``max_repos`` repositories (of one owner, even), is a widely copied
+example; one that stays with its owner and looks random is live.
 Candidates of the base kinds (assign, access, hex) are always reported, those
 of the wider kinds (pem, token) only if they are live.
 
@@ -27,6 +28,8 @@ from blotter.llm.common import documents, texts_of, with_text_columns, written
 BASE_KINDS = ("assign", "access", "hex")
 WIDER_KINDS = ("pem", "token")
 MAX_OWNERS = 2
+#: A live value may stand in a few repositories of its owner; one in more is a copied example.
+MAX_REPOS = 10
 #: Bits for each character from which a value looks random.
 MIN_ENTROPY = 3.0
 
@@ -96,13 +99,13 @@ def ownership(found: DataFrame) -> DataFrame:
     return owners.groupBy("value").agg(F.sum("n").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
 
 
-def judged(found: DataFrame, max_owners: int) -> DataFrame:
+def judged(found: DataFrame, max_owners: int, max_repos: int) -> DataFrame:
     """(row_id, secrets) for the rows of the written table ``found`` that have
     candidates; secrets are their reported spans in order, with the counts of
     their value and ``live``."""
     counts = written(ownership(found), "ownership")
     single = found.select("row_id", F.explode("spans").alias("s")).select("row_id", "s", F.col("s.value").alias("value"))
-    live = (F.col("n_owners") <= max_owners) & F.col("s.random")
+    live = (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos) & F.col("s.random")
     secret = F.struct(
         "s.start", "s.rank", "s.kind", "s.end", "s.value", F.col("n_repos"), F.col("n_owners"), live.alias("live")
     )
@@ -115,7 +118,7 @@ def judged(found: DataFrame, max_owners: int) -> DataFrame:
 
 def find_secrets(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source",
-    max_owners: int = MAX_OWNERS,
+    max_owners: int = MAX_OWNERS, max_repos: int = MAX_REPOS,
 ) -> DataFrame:
     """A row for each row of ``docs``: id and ``secrets``, an array of (start,
     rank, kind, end, value, n_repos, n_owners, live), empty where there is
@@ -125,7 +128,7 @@ def find_secrets(
         F.col(id_col).alias("id"), F.col(repo_col).alias("repo"), F.col(owner_col).alias("owner"), F.col(text_col).alias("text")
     )
     found = written(with_candidates(picked).drop("text").withColumn("row_id", F.monotonically_increasing_id()), "candidates")
-    secrets = judged(found, max_owners)
+    secrets = judged(found, max_owners, max_repos)
     empty = F.array().cast(secrets.schema["secrets"].dataType)
     return found.join(secrets, "row_id", "left").select(
         F.col("id").alias(id_col), F.coalesce("secrets", empty).alias("secrets")
@@ -134,7 +137,7 @@ def find_secrets(
 
 def redact_live(
     docs: DataFrame, text_col: str = "text", repo_col: str = "doc_id", owner_col: str = "source",
-    max_owners: int = MAX_OWNERS, mark: str = "[SECRET]",
+    max_owners: int = MAX_OWNERS, mark: str = "[SECRET]", max_repos: int = MAX_REPOS,
 ) -> DataFrame:
     """``docs`` with every live secret in the text replaced by ``mark``;
     widely copied examples stay. A column n_chars follows the new text. Only
@@ -147,7 +150,7 @@ def redact_live(
     found = with_candidates(packed)
     some = written(found.filter(F.size("spans") > 0).withColumn("row_id", F.monotonically_increasing_id()), "candidates")
     clean = found.filter(F.size("spans") == 0).select("__row")
-    live = judged(some, max_owners).select("row_id", F.filter("secrets", lambda s: s.live).alias("live"))
+    live = judged(some, max_owners, max_repos).select("row_id", F.filter("secrets", lambda s: s.live).alias("live"))
     marked = some.join(live, "row_id", "left").select("__row", "text", F.col("live.start").alias("a"), F.col("live.end").alias("b"))
 
     def cut(batches):

@@ -68,3 +68,15 @@ def test_query_digests(spark):
         spans = ",".join(f"{k}:{a}:{b}" for a, _, k, b in base(r.text or ""))
         assert got[r.doc_id].base_sha256 == hashlib.sha256(spans.encode()).hexdigest()
         assert set(spans.split(",")) <= set(got[r.doc_id].spans.split(","))
+
+
+def test_copies_within_one_owner_are_an_example(spark):
+    """Both counts decide: many documents of one source hold the same value."""
+    many, few = KEY, KEY[::-1]
+    rows = [(3 * i, f"see {many} here") for i in range(S.MAX_REPOS + 1)] + [(300 + 3 * i, f"my {few}") for i in range(S.MAX_REPOS)]
+    docs = table(spark, rows)
+    got = {r.doc_id: r.secrets for r in S.find_secrets(docs).collect()}
+    assert all(got[i] == [] for i, _ in rows[: S.MAX_REPOS + 1])
+    assert all([(s.live, s.n_repos, s.n_owners) for s in got[i]] == [(True, S.MAX_REPOS, 1)] for i, _ in rows[S.MAX_REPOS + 1 :])
+    out = {r.doc_id: r.text for r in S.redact_live(docs).collect()}
+    assert out[0] == rows[0][1] and out[300] == "my [SECRET]"
