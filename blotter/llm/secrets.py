@@ -37,7 +37,11 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
-_PEM = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----[^-]+-----END [A-Z0-9 ]{0,40}PRIVATE KEY-----")
+#: The body ends at the next END line and holds no other BEGIN line; its headers may hold hyphens.
+_PEM = re.compile(
+    r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----[^-]+(?:-(?!----(?:BEGIN|END) )[^-]*)*"
+    r"-----END [A-Z0-9 ]{0,40}PRIVATE KEY(?: BLOCK)?-----"
+)
 #: Every match of access, hex and token lies in one such run.
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}")
 _TOKEN = re.compile(r"[A-Za-z0-9_-]{20,}")

@@ -80,3 +80,15 @@ def test_copies_within_one_owner_are_an_example(spark):
     assert all([(s.live, s.n_repos, s.n_owners) for s in got[i]] == [(True, S.MAX_REPOS, 1)] for i, _ in rows[S.MAX_REPOS + 1 :])
     out = {r.doc_id: r.text for r in S.redact_live(docs).collect()}
     assert out[0] == rows[0][1] and out[300] == "my [SECRET]"
+
+
+def test_private_keys_with_headers(spark):
+    legacy = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B\n\nMIIabc123\n-----END RSA PRIVATE KEY-----"
+    pgp = "-----BEGIN PGP PRIVATE KEY BLOCK-----\nVersion: GnuPG v2 - x\n\nlQHYBF\n=Ab3d\n-----END PGP PRIVATE KEY BLOCK-----"
+    cut = "-----BEGIN RSA PRIVATE KEY-----\nMIIabc"
+    texts = [f"a {legacy} b", f"a {pgp} b", f"{cut}\n-- prose -----\n{pgp}", cut]
+    docs = table(spark, list(enumerate(texts)))
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.secrets] for r in S.find_secrets(docs, max_owners=9).collect()}
+    at = lambda i, key: [("pem", texts[i].index(key), texts[i].index(key) + len(key))]
+    assert got == {0: at(0, legacy), 1: at(1, pgp), 2: at(2, pgp), 3: []}
+    assert {r.text for r in S.redact_live(docs, max_owners=9).collect() if r.doc_id < 2} == {"a [SECRET] b"}
