@@ -5,7 +5,8 @@ copyright holders left out, equivalent spellings made one, punctuation and white
 space one space. The digests of the whole text, of its paragraphs and of its
 lines are joined with those of known licence texts and notices, so a licence is
 found where one of these is a licence from end to end, whoever holds the rights
-and however it is set.
+and however it is set. A licence of several paragraphs that stands inside a larger
+text with its blank lines is none of these and is not found.
 """
 
 from __future__ import annotations
