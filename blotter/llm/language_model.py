@@ -31,7 +31,8 @@ TEST_FOLD, WEIGHT_FOLD = 1, 4
 COUNTED, WEIGHED, TEST = 0, 1, 2
 BLOCK_BYTES = 4_000_000
 PART_BYTES = 8_000_000
-BUCKETS = 20
+#: One for each power of two that a long count may reach.
+BUCKETS = 64
 ROUNDS = 12
 #: Probabilities are rounded to so many steps an octave for the weights alone.
 GRID = 16

@@ -101,3 +101,8 @@ def test_held_out_texts_gain_from_context(spark):
 def test_packing_of_counts():
     x = np.array([0, 5, 2**40, 7], np.int64)
     assert (L.unpack(L.pack(x), np.int64) == x).all() and len(L.unpack(b"", np.int64)) == 0
+
+
+def test_buckets_cover_any_count():
+    counts = np.array([0] + [1 << k for k in range(63)], dtype=np.int64)
+    assert L.bucket_of(counts).tolist() == list(range(64))
