@@ -115,9 +115,9 @@ def q4_nearest_by_site(spark, sf_dir):
 
 
 def q4_nearest_by_site_grid(spark, sf_dir):
-    """Q4-2b from the incidents themselves, each with its nearest station,
-    without counting them by place first; equals ``q4_nearest_by_site``."""
-    found = R.nearest_stations(S.event_incidents(spark, sf_dir), S.supplier_stations(spark, sf_dir))
+    """Q4-2b from the incidents themselves, each with its nearest station by
+    the descent, without counting them by place first; equals ``q4_nearest_by_site``."""
+    found = R.nearest_stations(S.event_incidents(spark, sf_dir), S.supplier_stations(spark, sf_dir), search="descent")
     means = found.groupBy("AREA NAME").agg(F.round(F.avg("distance"), DIGITS).alias("avg(distance)"), F.count(F.lit(1)).alias("count"))
     return means.filter(F.col("AREA NAME").isNotNull())
 

@@ -11,11 +11,15 @@ of sites and points:
   location (the smallest key wins there); both aggregates collapse hot places
   map-side;
 - locations are bucketed into cubes of the unit-sphere embedding, on a fixed
-  ladder of edges, each a sixteenth of the one above;
-- a coordinate starts from the cubes of the top level (a number bounded by
-  geometry) and descends: it keeps the cubes that may hold its nearest location,
-  those whose near side is no farther than the nearest representative of any,
-  and in the last level's cubes meets the locations themselves;
+  ladder of edges, each an eighth of the one above; a cube carries one of its
+  locations, its representative;
+- the cubes of the top level, a number bounded by geometry, are compared with
+  each other: for each of them, the cubes that may hold the nearest location of
+  any place in it. A place joins those of its own cube;
+- then it descends: at each level it keeps the cubes whose near side is no
+  farther than the nearest representative of any, joins their children, and in
+  the last level's cubes meets the locations themselves. A place that is down
+  to one cube carries one row;
 - the answer joins back to the points on the coordinates, null-safe.
 
 A far point thus keeps only the cubes on the near rim of a cluster, and a dense
@@ -33,7 +37,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from blotter.functions.geo import EARTH_RADIUS_KM, haversine_km, haversine_term, km_of_haversine
@@ -41,7 +45,7 @@ from blotter.functions.typed import ref
 
 # Edges of the cubes, in radii: 1593 km down to 389 m. Powers of two keep the
 # bucketing exact, so a cube's parent holds it.
-_EDGES = tuple(2.0 ** -(2 + 4 * k) for k in range(4))
+_EDGES = tuple(2.0 ** -(2 + 3 * k) for k in range(5))
 # Estimated size of the locations up to which they are one array in the plan.
 FOLD_BYTES = 32_768
 # Slack of the pruning test (squared chords), far above rounding error.
@@ -107,17 +111,21 @@ def nearest_site(
     distance_col: str = "distance",
     site_key_as: str | None = None,
     radius: float = EARTH_RADIUS_KM,
+    search: str = "auto",
 ) -> DataFrame:
     """Every point with its nearest site strictly within ``max_km``.
 
     Adds the site key (as ``site_key_as``, default ``site_key``), the
     ``site_cols`` and the distance (32-bit). A point with a null coordinate,
     or with no site in range, is kept with nulls there. ``max_km=None``
-    searches the whole sphere.
+    searches the whole sphere. ``search`` names the way: ``fold``, ``descent``,
+    or ``auto``, which folds over few locations; the answers are the same.
     """
+    if search not in ("auto", "fold", "descent"):
+        raise ValueError("search must be auto, fold or descent")
     locations = site_locations(sites, site_key, site_lat, site_lon, site_cols)
     key_out = site_key_as or site_key
-    if points.isStreaming or estimated_bytes(locations) <= FOLD_BYTES:
+    if points.isStreaming or search == "fold" or search == "auto" and estimated_bytes(locations) <= FOLD_BYTES:
         found = _nearest_by_fold(points, locations, point_lat, point_lon, max_km, radius)
         return _expand(found, key_out, site_cols, distance_col)
     lat, lon = ref(point_lat).cast("double"), ref(point_lon).cast("double")
@@ -173,85 +181,80 @@ def _nearest_by_fold(points: DataFrame, locations: DataFrame, point_lat: str, po
     return folded.select(*keep, best.alias("_best"))
 
 
-def _unit_xyz(lat: Column, lon: Column) -> list[Column]:
-    phi, lam = F.radians(lat), F.radians(lon)
-    return [F.cos(phi) * F.cos(lam), F.cos(phi) * F.sin(lam), F.sin(phi)]
+def _unit_xyz(lat: str, lon: str, names: str) -> list[str]:
+    """The place on the unit sphere, as SQL. The builders below write SQL text:
+    a level is some hundred column calls otherwise, each a trip to the JVM."""
+    x, y, z = names.split()
+    return [
+        f"cos(radians({lat})) * cos(radians({lon})) AS {x}", f"cos(radians({lat})) * sin(radians({lon})) AS {y}", f"sin(radians({lat})) AS {z}",
+    ]
 
 
-def _index(c: Column, edge: float) -> Column:
-    return F.floor(c / F.lit(edge)).cast("int")
-
-
-def _cube(xyz: Sequence[Column], edge: float) -> Column:
+def _cube(names: str, edge: float) -> str:
     """Number of the cube that holds a point, unique within its level."""
-    x, y, z = (_index(c, edge).cast("long") + 2**20 for c in xyz)
-    return (x * 2**21 + y) * 2**21 + z
+    x, y, z = (f"(CAST(floor({n} / {edge!r}D) AS BIGINT) + {2**20})" for n in names.split())
+    return f"({x} * {2**21} + {y}) * {2**21} + {z}"
 
 
 def _levels(locations: DataFrame) -> list[DataFrame]:
     """For each edge the cubes that hold locations: ``parent`` (the cube above),
-    ``cube``, its corner and the place of one of its locations."""
+    ``cube``, its corner (``cx cy cz``) and the place of one of its locations,
+    its representative (``rx ry rz``)."""
     out = []
-    xyz = [F.col(n) for n in "xyz"]
     for above, edge in zip((None, *_EDGES), _EDGES):
-        parent = _cube(xyz, above) if above else F.lit(0).cast("long")
-        grouped = locations.groupBy(parent.alias("parent"), _cube(xyz, edge).alias("cube"))
-        held = grouped.agg(F.min(F.struct("x", "y", "z")).alias("r"), *[F.first(_index(F.col(n), edge) * edge).alias(f"c{n}") for n in "xyz"])
-        out.append(held.select("parent", "cube", "cx", "cy", "cz", "r"))
+        held = locations.groupBy(F.expr(_cube("x y z", edge)).alias("cube")).agg(F.expr("min(struct(x, y, z)) AS r"))
+        corner = [f"floor(r.{n} / {edge!r}D) * {edge!r}D AS c{n}" for n in "xyz"]
+        parent = _cube("r.x r.y r.z", above) if above else "0"
+        out.append(held.selectExpr(f"{parent} AS parent", "cube", *corner, *[f"r.{n} AS r{n}" for n in "xyz"]))
     return out
 
 
-def _bounds(cube: Column | None, edge: float) -> tuple[Column, Column]:
-    """Squared chords from the place ``_p`` to a cube's near side and to its representative."""
-    field = (lambda n: cube[n]) if cube is not None else (lambda n: F.col(n))
-    low = high = F.lit(0.0)
-    for n in "xyz":
-        p, corner = F.col("_p")[n], field(f"c{n}")
-        low = low + F.pow(F.greatest(F.lit(0.0), corner - p, p - corner - F.lit(edge)), F.lit(2.0))
-        high = high + F.pow(field("r")[n] - p, F.lit(2.0))
-    return low, high
+def _front(rows: DataFrame, keys: Sequence[str], low: str, high: str, far: float, kept: Sequence[str]) -> DataFrame:
+    """The ``rows`` whose lower bound (a squared chord) is no more than the least
+    upper bound among their ``keys``, nor than ``far``. The least is a window's,
+    so no condition on it can be moved below what computes the bounds."""
+    bounds = rows.selectExpr(*keys, *kept, f"{low} AS low", f"{high} AS high")
+    by = ", ".join(keys)
+    limited = bounds.selectExpr("*", f"min(high) OVER (PARTITION BY {by}) * {1 + _SLACK!r}D + {_LEAST!r}D AS most")
+    return limited.filter(f"low <= most AND low <= {far!r}D").select(*keys, *kept)
+
+
+def _squares(terms: Sequence[str]) -> str:
+    return " + ".join(f"pow({t}, 2D)" for t in terms)
 
 
 def _nearest_by_descent(places: DataFrame, locations: DataFrame, max_km, radius: float) -> DataFrame:
     """``_plat``, ``_plon`` → ``_best`` for the places with a location in range."""
     far = 4.0 if max_km is None else (2.0 * math.sin(min(max_km / (2.0 * radius), math.pi / 2))) ** 2
     far = far * (1 + _SLACK) + _LEAST
-    located = locations.select("_site", "_lat", "_lon", *[c.alias(n) for c, n in zip(_unit_xyz(F.col("_lat"), F.col("_lon")), "xyz")])
+    located = locations.selectExpr("_site", "_lat", "_lon", *_unit_xyz("_lat", "_lon", "x y z"))
     levels = _levels(located)
-    # one column for a place, which every level groups by
-    xyz = [c.alias(n) for c, n in zip(_unit_xyz(F.col("_plat"), F.col("_plon")), "xyz")]
-    at = places.select(F.struct(F.col("_plat").alias("lat"), F.col("_plon").alias("lon"), *xyz).alias("_p"))
-
-    def near(cubes: Column) -> Column:
-        """Numbers of the ``cubes`` (low, cube) that the smallest upper bound allows."""
-        limit = F.least(F.col("_high") * (1 + _SLACK) + _LEAST, F.lit(far))
-        return F.transform(F.filter(cubes, lambda c: c["low"] <= limit), lambda c: c["cube"])
-
-    # The top level is bounded by geometry, whatever the table: under 400 cubes
-    # of this edge meet the sphere. It is one constant of the plan.
-    top = levels[0].agg(F.collect_list(F.struct("cube", "cx", "cy", "cz", "r")).alias("t")).scalar()
-    scored = F.transform(
-        F.col("_top"), lambda c: F.struct(_bounds(c, _EDGES[0])[0].alias("low"), _bounds(c, _EDGES[0])[1].alias("high"), c["cube"].alias("cube"))
-    )
-    front = (
-        at.select("_p", top.alias("_top")).select("_p", scored.alias("_cubes"))
-        .select("_p", "_cubes", F.array_min(F.transform("_cubes", lambda c: c["high"])).alias("_high"))
-        .select("_p", near(F.col("_cubes")).alias("_front"))
+
+    # Pairs of top cubes: all those that meet the sphere (indices -1/edge to
+    # 1/edge) with those that hold locations, both bounded by geometry.
+    top, side = _EDGES[0], int(2 / _EDGES[0]) + 1
+    homes = locations.sparkSession.range(side**3).selectExpr(
+        *[f"(id div {side**i} % {side} - {int(1 / top)}) * {top!r}D AS h{n}" for i, n in enumerate("xyz")]
     )
-    for edge, level in zip(_EDGES[1:], levels[1:]):
-        met = front.select("_p", F.explode("_front").alias("parent")).join(level, "parent")
-        low, high = _bounds(None, edge)
-        front = (
-            met.select("_p", F.struct(low.alias("low"), F.col("cube").alias("cube")).alias("c"), high.alias("high"))
-            .groupBy("_p").agg(F.collect_list("c").alias("_cubes"), F.min("high").alias("_high"))
-            .select("_p", near(F.col("_cubes")).alias("_front"))
-        )
-    last = located.select(_cube([F.col(n) for n in "xyz"], _EDGES[-1]).alias("cube"), "_site", "_lat", "_lon")
-    met = front.select("_p", F.explode("_front").alias("cube")).join(last, "cube")
-    phi, lam = (F.radians(F.col(c)) for c in ("_lat", "_lon"))
-    pphi, plam = (F.radians(F.col("_p")[c]) for c in ("lat", "lon"))
+    gap = _squares([f"greatest(0D, abs(c{n} - h{n}) - {top!r}D)" for n in "xyz"])
+    reach = _squares([f"greatest(abs(r{n} - h{n}), abs(r{n} - h{n} - {top!r}D))" for n in "xyz"])
+    corners = [f"{a}{n}" for a in "cr" for n in "xyz"]
+    pairs = homes.join(F.broadcast(levels[0]), F.expr(f"{gap} <= {far!r}D"))
+    pairs = _front(pairs, ["hx", "hy", "hz"], gap, reach, far, ["cube", *corners])
+    home = pairs.selectExpr(f"{_cube('hx hy hz', top)} AS home", "cube", *corners)
+
+    place = ["_plat", "_plon"]
+    at = places.selectExpr("_plat", "_plon", *_unit_xyz("_plat", "_plon", "px py pz"))
+    rows = at.selectExpr("*", f"{_cube('px py pz', top)} AS home").join(F.broadcast(home), "home")
+    for k, edge in enumerate(_EDGES):
+        if k:
+            rows = rows.withColumnRenamed("cube", "parent").join(levels[k], "parent")
+        near = _squares([f"greatest(0D, c{n} - p{n}, p{n} - c{n} - {edge!r}D)" for n in "xyz"])
+        rows = _front(rows, place, near, _squares([f"r{n} - p{n}" for n in "xyz"]), far, ["px", "py", "pz", "cube"])
+    met = rows.join(located.selectExpr(f"{_cube('x y z', _EDGES[-1])} AS cube", "_site", "_lat", "_lon"), "cube")
+    phi, lam, pphi, plam = (F.radians(F.col(c)) for c in ("_lat", "_lon", "_plat", "_plon"))
     a = haversine_term(phi - pphi, lam - plam, F.cos(pphi), F.cos(phi))
-    best = met.select("_p", F.struct(a.alias("a"), F.col("_site").alias("site")).alias("w")).groupBy("_p").agg(F.min("w").alias("w"))
+    best = met.groupBy("_plat", "_plon").agg(F.min(F.struct(a.alias("a"), F.col("_site").alias("site"))).alias("w"))
     d = km_of_haversine(F.col("w.a"), radius)
-    found = best.select(F.col("_p.lat").alias("_plat"), F.col("_p.lon").alias("_plon"), F.struct(d.alias("d"), F.col("w.site").alias("site")).alias("_best"))
+    found = best.select("_plat", "_plon", F.struct(d.alias("d"), F.col("w.site").alias("site")).alias("_best"))
     return found if max_km is None else found.filter(F.col("_best.d") < max_km)

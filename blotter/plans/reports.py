@@ -325,15 +325,17 @@ def assigned_distance_by_area(crimes: DataFrame, stations: DataFrame, digits: in
     return _mean_by(joined, F.col("`AREA NAME`"), "AREA NAME", digits, with_count=True)
 
 
-def nearest_stations(crimes: DataFrame, stations: DataFrame, max_km: float | None = 1000.0) -> DataFrame:
+def nearest_stations(crimes: DataFrame, stations: DataFrame, max_km: float | None = 1000.0, search: str = "auto") -> DataFrame:
     """Firearm incidents with their nearest station (``AREA NAME`` = its
-    division) and the distance; null when no station is within ``max_km``."""
-    return _with_nearest(firearm_incidents(crimes), stations, max_km)
+    division) and the distance; null when no station is within ``max_km``.
+    ``search`` as in ``nearest_site``."""
+    return _with_nearest(firearm_incidents(crimes), stations, max_km, search)
 
 
-def _with_nearest(points: DataFrame, stations: DataFrame, max_km: float | None) -> DataFrame:
+def _with_nearest(points: DataFrame, stations: DataFrame, max_km: float | None, search: str = "auto") -> DataFrame:
     found = nearest_site(
-        points, station_sites(stations), "LAT", "LON", "AREA", "Y", "X", site_cols=("DIVISION",), max_km=max_km, site_key_as="site"
+        points, station_sites(stations), "LAT", "LON", "AREA", "Y", "X", site_cols=("DIVISION",), max_km=max_km, site_key_as="site",
+        search=search,
     )
     return found.withColumnRenamed("DIVISION", "AREA NAME")
 

@@ -168,3 +168,26 @@ def test_descent_matches_brute_force_on_generated_layouts(spark, site_xy, point_
     sites = [(i + 1, a, b) for i, (a, b) in enumerate(site_xy)]
     points = [(i, a, b) for i, (a, b) in enumerate(point_xy)]
     _assert_same(run(spark, points, sites, max_km), brute(points, sites, max_km))
+
+
+def test_descent_has_no_search_in_a_scan_filter(spark):
+    """No condition on a level's bounds is moved down to what reads the points
+    or the sites: there a whole level would be computed for each row."""
+    import __spark_entry__ as E
+
+    plan = E.q4_nearest_many_sites(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line]
+    assert filters and not any("transform(" in f or "size(" in f for f in filters)
+    for line in filters:
+        assert line.count("pow(") <= 6, line
+
+
+def test_search_parameter(spark):
+    points, sites = [(1, 34.0, -118.0), (2, 10.0, 10.0), (3, None, 1.0)], [(1, 34.01, -118.0), (2, 35.01, -118.0)]
+    pdf = spark.createDataFrame(points, "pid long, lat double, lon double")
+    sdf = spark.createDataFrame(sites, "k long, y double, x double")
+    for search in ("fold", "descent"):
+        got = nearest_site(pdf, sdf, "lat", "lon", "k", "y", "x", search=search)
+        assert {r.pid: r.k for r in got.collect()} == {1: 1, 2: None, 3: None}
+    with pytest.raises(ValueError):
+        nearest_site(pdf, sdf, "lat", "lon", "k", "y", "x", search="other")
