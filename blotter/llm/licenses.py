@@ -13,14 +13,14 @@ from __future__ import annotations
 
 import json
 import re
-from functools import reduce
+from functools import lru_cache, reduce
 from importlib import resources
 from itertools import chain, product
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm.common import documents
+from blotter.llm.common import documents, written
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Spellings that mean the same in licence texts (fixed values), replaced in this order.
@@ -42,8 +42,10 @@ EQUAL_SPELLINGS = (
     ("&", " and "),
 )
 _HOLDERS = r"(?m)^[ \t>*#/;-]*(copyright [(0-9]|copyright ©|copyright:|\(c\)|©)[^\n]*$"
-_MARKS = r"(?:[^a-z0-9\n\x{80}-\x{10FFFF}]|[“”‘’–—•©])+"
-_PARAGRAPH = r"\n(?: ?\n)+"
+# Classes under one repetition only: a repeated group is a recursion a repeat in
+# Java's patterns, and some thousand marks or blank lines would end its stack.
+_MARKS = r"[\x00-\x09\x0B-\x2F\x3A-\x60\x7B-\x7F“”‘’–—•©]+"
+_PARAGRAPH = r"\n[ \n]*\n"  # of canonical lines, where no two blanks meet
 
 #: A phrase of EQUAL_SPELLINGS that some settings break across lines, where it keeps its spelling.
 _HOLDER_BREAK = r"(?i)(?<=copyright)[ \n]+(?=holder)"
@@ -90,8 +92,12 @@ def one_line(text: Column) -> Column:
     return F.trim(F.regexp_replace(text, r"[ \n]+", " "))
 
 
-def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
-    """(digest, license); a text that is known by several names has the smallest."""
+@lru_cache(maxsize=1)
+def _default_digests(application: str) -> tuple[tuple[str, str], ...]:
+    return tuple((r.digest, r.license) for r in _digests(SparkSession.getActiveSession(), KNOWN).collect())
+
+
+def _digests(spark: SparkSession, known) -> DataFrame:
     table = spark.createDataFrame(list(known), "license string, text string")
     return (
         table.select(F.sha2(one_line(canonical_lines(F.col("text"))), 256).alias("digest"), "license")
@@ -99,6 +105,14 @@ def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
     )
 
 
+def known_digests(spark: SparkSession, known=KNOWN) -> DataFrame:
+    """(digest, license); a text that is known by several names has the smallest.
+    The digests of ``KNOWN`` (a fixed table) are made once in an application."""
+    if known is not KNOWN or SparkSession.getActiveSession() is None:
+        return _digests(spark, known)
+    return spark.createDataFrame(list(_default_digests(spark.sparkContext.applicationId)), "digest string, license string")
+
+
 def find_licenses(
     docs: DataFrame, known: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -107,10 +121,14 @@ def find_licenses(
     repeats, of the text, its paragraphs and its lines).
 
     ``known`` has the columns digest and license, and may be of any size: the
-    join is left to Spark. Null and empty texts have no licence. Repeated rows
-    get equal answers. Other columns are not read.
+    join is left to Spark. The texts are read once, their digests are written;
+    only parts that are known licences are grouped and joined back. Null and
+    empty texts have no licence. Repeated rows get equal answers. A text of one
+    character a million times, or of that many blank lines, is as any other.
+    Other columns are not read.
     """
     known = known_digests(docs.sparkSession) if known is None else known
+    known = known.select(F.unhex("digest").alias("digest"), "license")
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = docs.select(
         F.col(id_col).alias("id"), F.xxhash64(F.col(id_col), text).alias("key"), F.xxhash64(F.lit(5), F.col(id_col), text).alias("key2"),
@@ -122,17 +140,15 @@ def find_licenses(
     # the sets are made by functions that take the whole text once: a lambda would form it again for each part
     others = F.concat(paragraphs, F.transform(F.split("lines", "\n"), lambda p: F.trim(p)))
     parts = F.concat(F.array("whole"), F.array_except(others, F.array(F.col("whole"), F.lit(""))))
-    digests = whole.select("id", "key", "key2", F.transform(parts, lambda p: F.sha2(p, 256)).alias("digests"))
-    each = digests.select("id", "key", "key2", F.col("digests")[0].alias("text_digest"), F.posexplode("digests").alias("at", "digest"))
-    # the first part is the whole text: it counts rows that repeat id and text
-    found = (
-        each.join(known, "digest", "left").groupBy("id", "key", "key2", "text_digest").agg(
-            F.count(F.when(F.col("at") == 0, 1)).cast("int").alias("rows"), F.max(F.when(F.col("at") == 0, F.col("license"))).alias("text_license"),
-            F.array_sort(F.collect_set("license")).alias("licenses"),
-        )
+    digests = written(whole.select("id", "key", "key2", F.transform(parts, lambda p: F.unhex(F.sha2(p, 256))).alias("digests")), "digests")
+    each = digests.select("id", "key", "key2", F.posexplode("digests").alias("at", "digest"))
+    found = each.join(known, "digest").groupBy("id", "key", "key2").agg(
+        F.max(F.when(F.col("at") == 0, F.col("license"))).alias("text_license"), F.array_sort(F.collect_set("license")).alias("licenses")
     )
-    again = found.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("rows"))))
-    return again.select(F.col("id").alias(id_col), "text_digest", "text_license", "licenses")
+    rows = digests.select("id", "key", "key2", F.lower(F.hex(F.col("digests")[0])).alias("text_digest"))
+    same = rows["id"].eqNullSafe(found["id"]) & (rows["key"] == found["key"]) & (rows["key2"] == found["key2"])
+    licenses = F.coalesce(found["licenses"], F.array().cast("array<string>"))
+    return rows.join(found, same, "left").select(rows["id"].alias(id_col), "text_digest", "text_license", licenses.alias("licenses"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -56,6 +56,21 @@ def test_full_texts(spark):
     assert [got[i] for i in range(len(rows))] == [n for n, _ in rows]
 
 
+def test_a_million_of_one_character(spark):
+    """Runs of marks, blanks, blank lines, letters: no recursion, no crash."""
+    notice = "Released under the MIT License"
+    runs = ["-", " ", "\n", " \n", "\t", "x", "“", "#-", "\n-"]
+    rows = [(i, notice + "\n\n" + r * (1_000_000 // len(r)) + "\n\n" + notice) for i, r in enumerate(runs)]
+    got = {r.doc_id: r.licenses for r in L.find_licenses(table(spark, rows)).collect()}
+    assert got == {i: ["MIT"] for i in range(len(runs))}
+
+
+def test_repeated_and_null_ids(spark):
+    rows = [(None, "Released under the MIT License"), (None, "x"), (1, "x"), (1, "Released under the MIT License"), (1, "x")]
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.licenses) for r in L.find_licenses(table(spark, rows)).collect())
+    assert got == sorted((i is None, i or 0, ["MIT"] if t != "x" else []) for i, t in rows)
+
+
 def test_file_names_all_notices():
     spdx = {n for n, t in L.KNOWN if t == f"SPDX-License-Identifier: {n}"}
     assert {n for n, _ in L.KNOWN} <= spdx
