@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from blotter.llm import automaton, exact_dedup, language_model, licenses, near_dedup, packing, personal_data, repetition, secrets, suffix_dedup
+from blotter.llm import automaton, exact_dedup, language_model, licenses, near_dedup, packing, personal_data, repetition, secrets, suffix_dedup, token_files
 
 QUERIES = {
     "op1_secret_ownership": secrets.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_repetition_rules": repetition.query,
     "op9_best_two_fit": packing.query,
     "op10_chosen_path_near_dedup": near_dedup.query,
+    "op12_elias_fano_files": token_files.query,
 }
 SQL = {
     "op5_license_digest": licenses.SQL,

@@ -25,8 +25,8 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123)]] = True
 _POINT = np.zeros(256, bool)
 _POINT[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
-#: Distinct pieces held at once by a worker.
-HELD = 500_000
+#: Bytes of distinct pieces held at once by a worker, each counted with its place in the table.
+HELD_BYTES, _ENTRY = 32_000_000, 180
 
 
 def default_vocabulary() -> str:
@@ -94,6 +94,7 @@ class PieceCache:
     def __init__(self, encode: Callable[[list[str]], list[bytes]], special: dict[str, int]):
         self.encode = encode
         self.known: dict[int, bytes] = {}
+        self.held = 0
         self.special = special
         longest_first = sorted(special, key=len, reverse=True)
         self.split_special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if special else None
@@ -128,8 +129,9 @@ class PieceCache:
         code, distinct = pd.factorize(span_hashes(data, start, end))
         one = np.empty(len(distinct), np.int64)
         one[code[::-1]] = np.arange(len(code))[::-1]
-        if len(self.known) > HELD:
+        if self.held > HELD_BYTES:
             self.known.clear()
+            self.held = 0
         keys = distinct.tolist()
         packed = list(map(self.known.get, keys))
         new = [k for k, p in enumerate(packed) if p is None]
@@ -137,6 +139,7 @@ class PieceCache:
         strings = [raw[start[i] : end[i]].decode("utf-8", "surrogatepass") for i in one[new]]
         for k, p in zip(new, self.encode(strings) if new else ()):
             packed[k] = self.known[keys[k]] = p
+            self.held += len(p) + _ENTRY
         ids = np.frombuffer(b"".join(packed), "<u4")
         length = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
         first = np.cumsum(length) - length

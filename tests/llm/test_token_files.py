@@ -1,0 +1,106 @@
+from __future__ import annotations
+
+import zlib
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from blotter.llm import elias_fano, token_files as T
+from blotter.llm.elias_fano import EliasFano
+from tests.llm.conftest import EDGES, prose, table
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, 2**62), max_size=40), st.lists(st.integers(0, 3), max_size=2000), st.integers(0, 900), st.integers(0, 900))
+def test_select_returns_the_values(wide, steps, a, b):
+    for values in (sorted(wide), np.cumsum(np.array(steps, np.int64)).tolist()):
+        made, end = EliasFano.from_bytes(b"xy" + EliasFano.of(np.array(values, np.uint64)).to_bytes() + b"\n", 2)
+        assert made.n == len(values) and made.select_range(0, made.n).tolist() == values
+        a, b = sorted((min(a, made.n), min(b, made.n)))
+        assert made.select_range(a, b).tolist() == values[a:b]
+        assert [made.select(i) for i in range(a, min(b, a + 5))] == values[a : min(b, a + 5)]
+        with pytest.raises(IndexError):
+            made.select(made.n)
+
+
+def test_space_is_near_minimal():
+    rng = np.random.default_rng(1)
+    ends = np.cumsum(rng.integers(1, 2000, 100_000))
+    bits = 8 * len(EliasFano.of(ends).to_bytes()) / len(ends)
+    assert bits < 2 + np.log2(ends[-1] / len(ends)) + 32 / elias_fano.RATE + 0.1
+
+
+def test_falling_values_are_refused():
+    with pytest.raises(ValueError):
+        EliasFano.of(np.array([3, 2]))
+
+
+def expected(rows):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(T.default_vocabulary())
+    ids = [[*tokenizer.encode(t or "", add_special_tokens=False).ids, 1] for _, t in rows]
+    return [(i, len(x), zlib.crc32(np.array(x, "<u4").tobytes()), x) for (i, _), x in zip(rows, ids)]
+
+
+ODD = [
+    (20, "it's IT'S we'll o'clock don't'sx 'S"), (21, "a<|endoftext|>b <|startoftext|> <|ENDOFTEXT|>"), (22, "x y z ́a é Å"),
+    (23, "ΑΣ ΑΣΑ ﬁ ½ ①２"), (24, "a\r\nb\tc\x0bd\x0ce\x1cf\x85g"), (25, "12,345.67 $%^ a1b2 __x__ ///"), (26, "\x00 ﻿​"), (27, "日本語 テキスト  한국어 นี่"),
+]
+
+
+@pytest.mark.parametrize("ids_per_file", [T.IDS_PER_FILE, 500])
+def test_files_hold_what_the_library_encodes(spark, tmp_path, ids_per_file):
+    rows = [*EDGES, *ODD]
+    folder = str(tmp_path / "ids")
+    T.write_ids(table(spark, rows).repartition(4), folder, ids_per_file=ids_per_file)
+    got = T.read_ids(spark, folder, with_ids=True).orderBy("start").collect()
+    want = expected(rows)
+    key = lambda r: (r[0] is None, r[0] or 0)
+    assert [key((r.doc_id,)) for r in got] == sorted(map(key, want))
+    at = 0
+    for r in got:
+        assert r.start == at
+        at += r.n_tokens
+    assert sorted(((r.doc_id, r.n_tokens, r.ids_crc32, list(r.ids)) for r in got), key=repr) == sorted(want, key=repr)
+
+
+def test_one_id_with_a_third_of_all_rows(spark, tmp_path):
+    rows = [(7 if i % 3 == 0 else i, prose(i, 30)) for i in range(900)]
+    folder = str(tmp_path / "ids")
+    T.write_ids(table(spark, rows).repartition(4), folder, ids_per_file=2000)
+    files = [T.TokenFile(bytes(r.content)) for r in spark.read.format("binaryFile").load(folder).collect() if len(r.content)]
+    assert sum(7 in f.doc_ids(0, f.n_docs) for f in files) > 2
+    assert sum(f.n_docs for f in files) == 900 and max(f.n_ids for f in files) <= 2000
+    got = T.read_ids(spark, folder).orderBy("start").collect()
+    assert [r.doc_id for r in got] == sorted(i for i, _ in rows)
+
+
+def test_a_document_by_its_number(spark, tmp_path):
+    folder = str(tmp_path / "ids")
+    T.write_ids(table(spark, EDGES), folder)
+    want = sorted(tuple(x) for *_, x in expected(EDGES))
+    files = [T.TokenFile(bytes(r.content)) for r in spark.read.format("binaryFile").load(folder).collect() if len(r.content)]
+    assert sorted(tuple(f.document(k).tolist()) for f in files for k in range(f.n_docs)) == want
+
+
+def test_wide_and_negative_ids_and_empty_tables(spark, tmp_path, empty):
+    rows = [(-(2**63), "a"), (2**63 - 1, "b c"), (0, None), (None, "d")]
+    T.write_ids(table(spark, rows).coalesce(1), str(tmp_path / "a"))
+    got = T.read_ids(spark, str(tmp_path / "a")).orderBy("start").collect()
+    assert [(r.doc_id, r.n_tokens) for r in got] == [(-(2**63), 2), (0, 1), (2**63 - 1, 3), (None, 2)]
+    T.write_ids(empty, str(tmp_path / "b"))
+    assert T.read_ids(spark, str(tmp_path / "b")).count() == 0
+
+
+def test_query_on_whole_documents(spark):
+    from tests.conftest import SMOKE_DIR
+
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMOKE_DIR}/documents.parquet").select("doc_id", "text").collect()]
+    want, at = [], 0
+    for i, n, crc, _ in sorted(expected(rows)):
+        want.append((i, at, n, crc))
+        at += n
+    assert sorted(tuple(r) for r in T.query(spark, SMOKE_DIR).collect()) == want
