@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from blotter.llm import automaton, exact_dedup, hard_negatives, language_model, licenses, near_dedup, packing, personal_data, repetition, secrets, suffix_dedup, token_files
+from blotter.llm import alignment, automaton, exact_dedup, hard_negatives, language_model, licenses, near_dedup, packing, personal_data, repetition, secrets, suffix_dedup, token_files
 
 QUERIES = {
     "op1_secret_ownership": secrets.query,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_repetition_rules": repetition.query,
     "op9_best_two_fit": packing.query,
     "op10_chosen_path_near_dedup": near_dedup.query,
+    "op11_token_alignment": alignment.query,
     "op12_elias_fano_files": token_files.query,
     "op13_angular_negatives": hard_negatives.query,
 }
