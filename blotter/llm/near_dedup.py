@@ -9,10 +9,12 @@ threshold, every other pair is verified on the full sets, natively.
 
 Only components are wanted, so each member is first held against the pivots of
 its nodes (another in each tree), of which the nearest few are verified. A node
-whose members are then in one component is settled; in the others the pairs
-across components are compared. A large node of which few members are outside its largest component meets just
-these with all, in blocks; so do nodes that stay large on every level. That
-keeps a node of near copies linear.
+whose members are then in one component is settled; in the others members are
+compared across components by sketch, and those with a near one again by their
+full sets, in the task, which gives fewer links than the node has members. A
+large node of which few members are outside its largest component meets just
+these with all, in blocks; so do nodes that stay large on every level. No row
+is made for a pair, so a node of near copies stays linear.
 
 Recall: a pair at the threshold 0.8 shares the first token in a tree with
 probability 0.8 and survives a further level with 0.96; in 12 trees fewer than
@@ -100,17 +102,21 @@ def _sketches(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def near_sketches(one: np.ndarray, many: np.ndarray, threshold: int = THRESHOLD) -> tuple[np.ndarray, np.ndarray]:
+def near_sketches(one: np.ndarray, many: np.ndarray, threshold: int = THRESHOLD, n_one=None, n_many=None) -> tuple[np.ndarray, np.ndarray]:
     """Which of ``many`` may reach the threshold with ``one``, and the estimate:
     of the ranges that either has, the share with equal entries. The ranges are
     a sample without replacement of the union, whose size their number tells;
-    small sets are sampled nearly whole, and so estimated more closely."""
+    small sets are sampled nearly whole, and so estimated more closely. The
+    sizes of the sets, where given, rule out pairs that cannot reach it."""
     used = ((many | one) != 0).sum(axis=1)
     equal = ((many == one) & (one != 0)).sum(axis=1)
     t, free = threshold / 100, np.maximum(1 - used / BINS, 1 / (4 * BINS))
     sampled = np.where(used > 0, used / np.maximum(-BINS * np.log(free), 1), 1.0)
     spread = np.sqrt(t * (1 - t) * used * np.maximum(1 - sampled, 0))
-    return equal >= t * used - DEVIATIONS * spread - 1, equal / np.maximum(used, 1)
+    near = equal >= t * used - DEVIATIONS * spread - 1
+    if n_one is not None:
+        near &= 100 * np.minimum(n_one, n_many) >= threshold * np.maximum(n_one, n_many)
+    return near, equal / np.maximum(used, 1)
 
 
 def _describe(texts: list[str], size: int) -> list:
@@ -152,16 +158,18 @@ def _pivot_pairs(rows: DataFrame, members: DataFrame, threshold: int) -> DataFra
         for batch in batches:
             if batch.num_rows:
                 x, y = (_sketch_matrix(batch.column(c)) for c in ("x", "y"))
-                near, share = (np.concatenate(v) for v in zip(*(near_sketches(one, other[None], threshold) for one, other in zip(x, y))))
+                n, m = (batch.column(c).to_numpy() for c in ("n_x", "n_y"))
+                tested = (near_sketches(x[i], y[i : i + 1], threshold, n[i], m[i : i + 1]) for i in range(len(x)))
+                near, share = (np.concatenate(v) for v in zip(*tested))
                 columns = [batch.column("gid"), batch.column("pivot"), pa.array(share)]
                 yield pa.RecordBatch.from_arrays(columns, names=["gid", "pivot", "share"]).filter(pa.array(near))
 
     order = F.struct(F.xxhash64("gid", "path").alias("h"), "gid")
     pivots = written(rows.groupBy("path").agg(F.min(order).alias("p")).select("path", F.col("p.gid").alias("pivot")), "pivots")
     met = rows.join(pivots, "path").filter("gid <> pivot").select("gid", "pivot").distinct()
-    one = members.select("gid", F.col("sketch").alias("x"))
-    two = members.select(F.col("gid").alias("pivot"), F.col("sketch").alias("y"))
-    near = met.join(one, "gid").join(two, "pivot").select("gid", "pivot", "x", "y").mapInArrow(run, "gid long, pivot long, share double")
+    one = members.select("gid", F.col("sketch").alias("x"), F.col("n").alias("n_x"))
+    two = members.select(F.col("gid").alias("pivot"), F.col("sketch").alias("y"), F.col("n").alias("n_y"))
+    near = met.join(one, "gid").join(two, "pivot").select("gid", "pivot", "x", "y", "n_x", "n_y").mapInArrow(run, "gid long, pivot long, share double")
     best = near.groupBy("gid").agg(F.slice(F.sort_array(F.collect_list(F.struct("share", "pivot")), False), 1, NEAREST).alias("best"))
     pair = best.select("gid", F.explode("best.pivot").alias("pivot"))
     return pair.select(F.least("gid", "pivot").alias("a"), F.greatest("gid", "pivot").alias("b")).distinct()
@@ -176,77 +184,123 @@ def _with_trees(members: DataFrame) -> DataFrame:
     return rows.join(own, "gid")
 
 
-def _pairs_in_nodes(members: DataFrame, threshold: int) -> DataFrame:
-    """(a, b) across components whose sketches are near, in nodes of up to
-    ``SMALL`` members (path, gid, root, tokens, sketch, tree, trees). A pair
-    that shares several nodes comes from the one of the first tree; tree -1
-    (further levels) compares all."""
+_FLAGGED = "node long, side int, tree int, trees int, gid long"
+
+
+def _by_node(rows: DataFrame, schema: str, answer) -> DataFrame:
+    """``answer`` (a table of whole nodes) over ``rows``, which have a column ``node``."""
 
     def run(batches):
         held: list[pa.RecordBatch] = []
         for batch in batches:
             held.append(batch)
             table = pa.Table.from_batches(held)
-            path = table.column("path").to_numpy()
-            if not len(path):
+            node = table.column("node").to_numpy()
+            if not len(node):
                 continue
-            last = int(np.searchsorted(path, path[-1]))  # the last node may go on
+            last = int(np.searchsorted(node, node[-1]))  # the last node may go on
             if last:
-                yield from _compare(table.slice(0, last), threshold)
+                yield from answer(table.slice(0, last))
             held = table.slice(last).combine_chunks().to_batches()
         if held:
-            yield from _compare(pa.Table.from_batches(held), threshold)
-
-    dealt = members.repartition(shuffle_width(members.sparkSession), "path")
-    return dealt.sortWithinPartitions("path").mapInArrow(run, "a long, b long")
-
-
-def _compare(table: pa.Table, threshold: int):
-    path, gid, root = (table.column(c).to_numpy() for c in ("path", "gid", "root"))
-    sketch = _sketch_matrix(table.column("sketch"))
-    tree, trees = (table.column(c).to_numpy() for c in ("tree", "trees"))
-    tokens = table.column("tokens").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, TOKENS)[:, :TREES]
-    edges = np.concatenate([[0], np.flatnonzero(path[1:] != path[:-1]) + 1, [len(path)]])
-    found = set()
-    for s, e in zip(edges, edges[1:]):
-        for i in range(s, e - 1):
-            other = np.flatnonzero(root[i + 1 : e] != root[i]) + i + 1
-            if tree[i] >= 0 and len(other):
-                shared = (tokens[other] == tokens[i]) & (trees[i] >> np.arange(TREES) & 1).astype(bool)
-                other = other[shared.argmax(axis=1) == tree[i]]
-            if len(other):
-                near = other[near_sketches(sketch[i], sketch[other], threshold)[0]]
-                found.update((min(gid[i], g), max(gid[i], g)) for g in gid[near].tolist())
-    if found:
-        a, b = zip(*found)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-
-def _pairs_in_blocks(members: DataFrame, threshold: int) -> DataFrame:
-    """The same for larger nodes (path, size, main, gid, root, sketch): their
-    members are dealt into blocks of about ``SMALL``, each of which meets the
-    members that are not in ``main``, the node's largest component."""
-    blocks = F.ceil(F.col("size") / SMALL).cast("int")
-    columns = ["path", "block", "gid", "root", "sketch"]
-    own = members.withColumn("block", F.pmod(F.xxhash64("gid"), blocks).cast("int")).select(*columns)
-    probes = members.filter("root <> main").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).select(*columns)
-
-    def meet(own, probe):
-        import pandas as pd
-
-        out = [pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})]
-        if len(own) and len(probe):
-            mine = np.frombuffer(b"".join(own["sketch"]), np.uint8).reshape(-1, BINS)
-            gid, root = own["gid"].to_numpy(), own["root"].to_numpy()
-            for g, r, s in zip(probe["gid"], probe["root"], probe["sketch"]):
-                other = np.flatnonzero(root != r)
-                near = gid[other[near_sketches(np.frombuffer(s, np.uint8), mine[other], threshold)[0]]]
-                out.append(pd.DataFrame({"a": np.minimum(near, g), "b": np.maximum(near, g)}))
-        return pd.concat(out)
-
-    # written, so that no column is shared by the two sides
-    left, right = own.groupBy("path", "block"), written(probes, "probes").groupBy("path", "block")
-    return left.cogroup(right).applyInPandas(meet, "a long, b long")
+            yield from answer(pa.Table.from_batches(held))
+
+    dealt = rows.repartition(shuffle_width(rows.sparkSession), "node")
+    return dealt.sortWithinPartitions("node").mapInArrow(run, schema)
+
+
+class _Nodes:
+    """The rows of some nodes, ``edges`` between them, and for each row those
+    that it is compared with."""
+
+    def __init__(self, table: pa.Table, threshold: int):
+        self.node, self.side, self.gid, self.root, self.n, self.tree, self.trees = (
+            table.column(c).to_numpy() for c in ("node", "side", "gid", "root", "n", "tree", "trees")
+        )
+        self.sketch, self.threshold = _sketch_matrix(table.column("sketch")), threshold
+        self.tokens = table.column("tokens").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, TOKENS)[:, :TREES]
+        self.edges = np.concatenate([[0], np.flatnonzero(self.node[1:] != self.node[:-1]) + 1, [len(self.node)]])
+
+    def near(self, i: int, end: int, apart: np.ndarray) -> np.ndarray:
+        """Rows after i, before ``end``, with another value of ``apart`` and a near
+        sketch. Sides 1 and 2 meet each other only; a pair that shares nodes of
+        several trees counts in the first of them; tree -1 (further levels)
+        compares all."""
+        other = np.flatnonzero(apart[i + 1 : end] != apart[i]) + i + 1
+        if self.side[i] and len(other):
+            other = other[self.side[other] != self.side[i]]
+        if self.tree[i] >= 0 and len(other):
+            shared = (self.tokens[other] == self.tokens[i]) & (self.trees[i] >> np.arange(TREES) & 1).astype(bool)
+            other = other[shared.argmax(axis=1) == self.tree[i]]
+        if not len(other):
+            return other
+        return other[near_sketches(self.sketch[i], self.sketch[other], self.threshold, self.n[i], self.n[other])[0]]
+
+
+def _flagged(rows: DataFrame, threshold: int) -> DataFrame:
+    """The rows (node, side, tree, trees, gid) that have a near sketch in their
+    node and another component. At most all rows, whatever the pairs."""
+
+    def answer(table: pa.Table):
+        nodes = _Nodes(table, threshold)
+        hit = np.zeros(len(nodes.node), bool)
+        for s, e in zip(nodes.edges, nodes.edges[1:]):
+            for i in range(s, e - 1):
+                near = nodes.near(i, e, nodes.root)
+                hit[near] = True
+                hit[i] |= len(near) > 0
+        if hit.any():
+            yield from table.select([f.split()[0] for f in _FLAGGED.split(", ")]).filter(pa.array(hit)).combine_chunks().to_batches()
+
+    return _by_node(rows, _FLAGGED, answer)
+
+
+def _links_in_nodes(rows: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): links across components, as many as join the rows of a node to
+    what they are linked with: fewer than it has rows. Pairs near by sketch are
+    decided on the full sets (``shingles``), here in the task."""
+
+    def answer(table: pa.Table):
+        nodes = _Nodes(table, threshold)
+        sets = table.column("shingles").combine_chunks()
+        # the hashes ascend as unsigned numbers
+        values, at = sets.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.concatenate([[0], np.cumsum(sets.value_lengths().to_numpy())])
+        found = []
+        for s, e in zip(nodes.edges, nodes.edges[1:]):
+            group = nodes.root[:e].copy()  # components, joined as links are found
+            for i in range(s, e - 1):
+                near = nodes.near(i, e, group)
+                if not len(near):
+                    continue
+                own = values[at[i] : at[i + 1]]
+                theirs = np.concatenate([values[at[j] : at[j + 1]] for j in near])
+                size = at[near + 1] - at[near]
+                here = own[np.minimum(np.searchsorted(own, theirs), len(own) - 1)] == theirs
+                common = np.add.reduceat(here.astype(np.int64), np.cumsum(size) - size)
+                for j in near[100 * common >= threshold * (len(own) + size - common)]:
+                    if group[j] != group[i]:
+                        found.append((nodes.gid[i], nodes.gid[j]))
+                        part = group[s:e]
+                        part[part == group[j]] = group[i]
+        if found:
+            a, b = zip(*found)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return _by_node(rows, "a long, b long", answer)
+
+
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """Rows of larger nodes (path, size, main, outside, gid, root) in nodes of
+    at most about 2 x ``SMALL``: the members (side 1) are dealt into blocks of
+    that size, and those that are not in ``main``, the largest component, too
+    (side 2); every block of the one meets every block of the other."""
+    blocks, probes = (F.greatest(F.lit(1), F.ceil(F.col(c) / SMALL)).cast("int") for c in ("size", "outside"))
+    each = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    own = members.withColumn("x", F.pmod(F.xxhash64("gid"), blocks).cast("int")).withColumn("y", each(probes)).withColumn("side", F.lit(1))
+    probe = members.filter("root <> main").withColumn("y", F.pmod(F.xxhash64("gid", F.lit(2)), probes).cast("int"))
+    probe = probe.withColumn("x", each(blocks)).withColumn("side", F.lit(2))
+    both = own.unionByName(probe).withColumns({"tree": F.lit(-1), "trees": F.lit(0)})
+    return both.select(F.xxhash64("path", "x", "y").alias("node"), "side", "tree", "trees", "gid", "root")
 
 
 # ------------------------------------------------------------------ join
@@ -271,42 +325,57 @@ def _open(nodes: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     return here, still
 
 
-def _other_pairs(rows: DataFrame, still: DataFrame, members: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
-    """Near pairs across components in the nodes that the pivots have not settled."""
+def _other_links(
+    rows: DataFrame, still: DataFrame, members: DataFrame, labels: DataFrame, docs: DataFrame, sets: DataFrame | None, size: int, threshold: int
+) -> DataFrame:
+    """Links across components in the nodes that the pivots have not settled.
+    Nodes are compared by sketch first; the members with near ones alone get
+    their full sets, and are compared again."""
+    sketches = members.select("gid", "tokens", "sketch", "n")
     found = None
     for level in range(1, LEVELS + 1):
-        full = written(rows.join(still, "path").join(members.select("gid", "tokens", "sketch"), "gid"), "level")
-        small = full.filter(F.col("size") <= SMALL).select("path", "gid", "root", "tokens", "sketch")
+        full = written(rows.join(still, "path"), "level")
+        small = full.filter(F.col("size") <= SMALL).join(members.select("gid", "tokens"), "gid")
         placed = _with_trees(small) if level == 1 else small.withColumns({"tree": F.lit(-1), "trees": F.lit(0)})
-        pairs = _pairs_in_nodes(placed, threshold)
+        meeting = placed.select(F.col("path").alias("node"), F.lit(0).alias("side"), "tree", "trees", "gid", "root")
         any_large = still.filter(F.col("size") > SMALL).limit(1).count()
         if any_large:
             in_blocks = (F.col("size") > SMALL) & (F.lit(level == LEVELS) | (F.col("outside") <= SMALL))
-            meeting = full.filter(in_blocks).select("path", "size", "main", "gid", "root", "sketch")
-            pairs = pairs.unionByName(_pairs_in_blocks(meeting, threshold))
-        found = pairs if found is None else found.unionByName(pairs)
+            meeting = meeting.unionByName(_in_blocks(full.filter(in_blocks)))
+        meeting = written(meeting, "meeting")
+        near = written(_flagged(meeting.join(sketches, "gid"), threshold), "near")
+        near = near.join(labels, "gid")
+        found = near if found is None else found.unionByName(near)
         rest = full.filter((F.col("size") > SMALL) & ~in_blocks) if any_large else None
         if rest is None or not rest.limit(1).count():
-            return found
-        rows, still = _open(_shared(_branch(rest, level)), labels)
-    return found
+            break
+        further = rest.select("path", "gid").join(members.select("gid", "tokens"), "gid")
+        rows, still = _open(_shared(_branch(further, level)), labels)
+    sets = _with_sets(found.select("gid").distinct(), docs, members, sets, size)
+    return _links_in_nodes(found.join(sketches, "gid").join(sets, "gid"), threshold)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, sets: DataFrame | None, size: int, threshold: int):
-    """The pairs that reach the threshold on their full sets, and the sets
-    known so far. Sets are made for the members in pairs alone, each from one
-    of its texts: texts that a filter of these does not hold are not shuffled."""
-    wanted = pairs.select(F.col("a").alias("gid")).unionByName(pairs.select(F.col("b").alias("gid"))).distinct()
+def _with_sets(wanted: DataFrame, docs: DataFrame, members: DataFrame, sets: DataFrame | None, size: int) -> DataFrame:
+    """(gid, shingles) of the ``wanted`` members and of those in ``sets``, each
+    from one of its texts: texts that a filter of the wanted ones does not hold
+    are not shuffled."""
     if sets is not None:
         wanted = wanted.join(sets.select("gid"), "gid", "left_anti")
     wanted = written(wanted.join(members.select("gid", "text_key"), "gid").select("gid", "text_key.*"), "wanted")
     entries = wanted.count()
-    if sets is None or entries:
-        held = Filter(wanted.select(F.col("t1").alias("h")), entries)
-        texts = docs.select("text", _text_key().alias("k")).select("text", "k.*")
-        some = texts.mapInArrow(_holding(held), texts.schema).join(wanted, ["t1", "t2"]).dropDuplicates(["gid"]).select("gid", "text")
-        new = written(with_text_columns(some, "shingles array<long>", lambda t: _set_lists(t, size)).drop("text"), "sets")
-        sets = new if sets is None else sets.unionByName(new)
+    if sets is not None and not entries:
+        return sets
+    held = Filter(wanted.select(F.col("t1").alias("h")), entries)
+    texts = docs.select("text", _text_key().alias("k")).select("text", "k.*")
+    some = texts.mapInArrow(_holding(held), texts.schema).join(wanted, ["t1", "t2"]).dropDuplicates(["gid"]).select("gid", "text")
+    new = written(with_text_columns(some, "shingles array<long>", lambda t: _set_lists(t, size)).drop("text"), "sets")
+    return new if sets is None else sets.unionByName(new)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, members: DataFrame, size: int, threshold: int):
+    """The pairs that reach the threshold on their full sets, and those sets."""
+    wanted = pairs.select(F.col("a").alias("gid")).unionByName(pairs.select(F.col("b").alias("gid"))).distinct()
+    sets = _with_sets(wanted, docs, members, None, size)
     one = sets.select(F.col("gid").alias("a"), F.col("shingles").alias("x"))
     two = sets.select(F.col("gid").alias("b"), F.col("shingles").alias("y"))
     both = pairs.join(one, "a").join(two, "b").withColumn("common", F.size(F.array_intersect("x", "y")))
@@ -358,17 +427,16 @@ def _answers(docs: DataFrame, id_col: str, text_col: str, shingle: int, threshol
     members = written(
         rows.filter("n_shingles > 0").groupBy("key").agg(
             F.min("row").alias("gid"), F.min("id").alias("low_id"),
-            F.min_by(F.struct("tokens", "sketch", "text_key"), "row").alias("m"),
+            F.min_by(F.struct("tokens", "sketch", "text_key", F.col("n_shingles").alias("n")), "row").alias("m"),
         ).select("key", "gid", "low_id", "m.*"), "members"
     )
     first = F.transform(F.sequence(F.lit(0), F.lit(TREES - 1)), lambda tree: F.xxhash64(tree, F.get("tokens", tree)))
     rows_of_nodes = _shared(members.select("gid", F.explode(first).alias("path")))
 
     pairs = written(_pivot_pairs(rows_of_nodes, members, threshold), "pairs")
-    links, sets = _verified(pairs, picked, members, None, shingle, threshold)
+    links, sets = _verified(pairs, picked, members, shingle, threshold)
     labels = _labelled(members, components(links))
-    pairs = written(_other_pairs(*_open(rows_of_nodes, labels), members, labels, threshold).distinct(), "pairs")
-    more, _ = _verified(pairs, picked, members, sets, shingle, threshold)
+    more = written(_other_links(*_open(rows_of_nodes, labels), members, labels, picked, sets, shingle, threshold).distinct(), "links")
     # components of components: the roots stand for their members
     a, b = (labels.select(F.col("gid").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
     between = more.join(a, "a").join(b, "b").select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
