@@ -37,11 +37,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
+def written(df: DataFrame, tag: str, **options) -> DataFrame:
     """``df`` written once in the shared folder of ``spark.checkpoint.dir``
     and read back: the lineage ends, and the rows survive lost executors."""
     path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/llm-{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -18,16 +18,19 @@ of the files before.
 
 from __future__ import annotations
 
+import json
 import struct
 import uuid
 import zlib
+from array import array
 from functools import lru_cache
+from itertools import compress
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from blotter.llm.common import documents, shuffle_width, slices, texts_of, written
+from blotter.llm.common import SPACE, documents, shuffle_width, slices, texts_of, written
 from blotter.llm.elias_fano import RATE, EliasFano
 from blotter.llm.tokens import PieceCache
 from blotter.session import checkpoint_dir
@@ -48,10 +51,41 @@ def default_vocabulary() -> str:
 # ------------------------------------------------------------------ ids
 
 
+#: What the splitting below is for (fixed values): small letters, white space dropped, words by this pattern.
+_NORMAL = ["NFC", "Replace", "Lowercase"]
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Classes of bytes: white space, letters, digits, other ASCII, apostrophe, the rest.
+_CLASS = np.full(256, 5)
+_CLASS[:128] = 3
+_CLASS[SPACE] = 0
+_CLASS[[*range(65, 91), *range(97, 123)]] = 1
+_CLASS[48:58] = 2
+_CLASS[39] = 4
+#: A word of the pattern ends between these classes, whatever stands around them.
+_ENDS = np.zeros((6, 6), bool)
+_ENDS[0, :] = _ENDS[:, 0] = True
+_ENDS[2, 1:5] = _ENDS[1:5, 2] = True
+_ENDS[1, 3:5] = _ENDS[3, 1] = True
+_ENDS[0, 0] = False
+
+
+#: Words that are encoded as one text.
+_WORDS_AT_ONCE = 256
+
+
+def word_pieces(data: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of pieces without white space that no word of ``_PATTERN``
+    reaches over: runs of letters, digits, other characters."""
+    kind = _CLASS[data]
+    cut = np.flatnonzero(_ENDS[kind[:-1], kind[1:]]) + 1
+    solid = kind[cut] > 0
+    return cut[solid], np.append(cut[1:], len(data))[solid]
+
+
 class WordEncoder:
-    """Ids of texts by a tokenizers vocabulary whose words end at white space,
-    such as one with word ends. Distinct pieces of a batch are encoded once; a
-    text in which a special token might stand is encoded whole."""
+    """Ids of texts by a tokenizers vocabulary. If it splits words by
+    ``_PATTERN``, distinct pieces are encoded once; a text in which a special
+    token might stand, and any text for another vocabulary, is encoded whole."""
 
     def __init__(self, path: str):
         import os
@@ -64,14 +98,38 @@ class WordEncoder:
         tokenizer.no_truncation()
         self.size = max(tokenizer.get_vocab_size(with_added_tokens=True), max(tokenizer.get_vocab(True).values(), default=0) + 1)
         self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        steps, cuts = ((spec[k] or {}).get(of, []) for k, of in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers")))
+        self.pieced = [x["type"] for x in steps] == _NORMAL and bool(cuts) and cuts[0].get("pattern") == {"Regex": _PATTERN}
 
-        def encode(strings: list[str]) -> list[bytes]:
-            return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+        suffix = spec["model"].get("end_of_word_suffix")
+        self.ends = np.zeros(self.size, bool)
+        if suffix:
+            self.ends[[i for word, i in tokenizer.get_vocab(False).items() if word.endswith(suffix)]] = True
 
-        self.whole, self.cache = encode, PieceCache(encode, {})
+        def encode(strings: list[str]) -> list[bytes]:
+            return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
+
+        def encode_pieces(strings: list[str]) -> list[bytes]:
+            """Runs of letters are words: many are encoded as one text, whose
+            ids are told apart by the tokens that end a word."""
+            is_word = [s.isascii() and s.isalpha() for s in strings] if suffix else [False] * len(strings)
+            words = list(compress(strings, is_word))
+            texts = [" ".join(words[i : i + _WORDS_AT_ONCE]) for i in range(0, len(words), _WORDS_AT_ONCE)]
+            ids = np.frombuffer(b"".join(encode(texts)), "<u4")
+            stops = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            if len(stops) != len(words):
+                raise ValueError("the vocabulary's words do not end where white space does")
+            packed, stops = ids.tobytes(), stops.tolist()
+            found = iter([packed[a:b] for a, b in zip([0, *stops], stops)])
+            rest = iter(encode([s for s, w in zip(strings, is_word) if not w]))
+            return [next(found) if w else next(rest) for w in is_word]
+
+        self.whole, self.cache = encode, PieceCache(encode_pieces, {}, word_pieces, lower=True)
 
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        own = [any(s in t for s in self.special) for t in texts]
+        own = [not self.pieced or any(s in t for s in self.special) for t in texts]
         pieced = iter(self.cache([t for t, o in zip(texts, own) if not o]))
         return [np.frombuffer(self.whole([t])[0], "<u4") if o else next(pieced) for t, o in zip(texts, own)]
 
@@ -152,7 +210,7 @@ def write_ids(
     columns are not read.
     """
     spark = docs.sparkSession
-    made = written(encoded(docs, id_col, text_col, end_id, vocabulary or default_vocabulary()), "ids")
+    made = written(encoded(docs, id_col, text_col, end_id, vocabulary or default_vocabulary()), "ids", compression="zstd")
     total = made.agg(F.sum("n")).first()[0] or 0
     order = [F.col("id").asc_nulls_last(), F.col("own").asc()]
     dealt = made.repartitionByRange(max(shuffle_width(spark), -(-total // ids_per_file)), *order).sortWithinPartitions(*order)

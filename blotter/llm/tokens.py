@@ -15,7 +15,7 @@ from collections.abc import Callable
 import numpy as np
 import pandas as pd
 
-from blotter.llm.common import SPACE, span_hashes
+from blotter.llm.common import LOWER, SPACE, span_hashes
 
 #: The fixed pre-split pattern of byte-level BPE.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -89,10 +89,11 @@ def pieces(data: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 class PieceCache:
     """Encodes texts piece by piece. ``encode`` turns a list of strings into a
     list of packed ids (32 bits, little-endian); ``special`` maps strings that
-    are tokens of their own, wherever they stand, to ids."""
+    are tokens of their own, wherever they stand, to ids. ``split`` finds the
+    pieces, in texts whose letters A-Z are first made small if ``lower``."""
 
-    def __init__(self, encode: Callable[[list[str]], list[bytes]], special: dict[str, int]):
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[str]], list[bytes]], special: dict[str, int], split=pieces, lower: bool = False):
+        self.encode, self.split, self.lower = encode, split, lower
         self.known: dict[int, bytes] = {}
         self.held = 0
         self.special = special
@@ -122,8 +123,9 @@ class PieceCache:
             return []
         blobs = [t.encode("utf-8", "surrogatepass") for t in texts]
         data = np.frombuffer(b"\n".join([b"", *blobs, b""]), np.uint8)
+        data = LOWER[data] if self.lower else data
         edge = np.cumsum([0, *(len(b) + 1 for b in blobs)])
-        start, end = pieces(data, edge)
+        start, end = self.split(data, edge)
         if not len(start):
             return [np.zeros(0, "<u4") for _ in texts]
         code, distinct = pd.factorize(span_hashes(data, start, end))
