@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 import uuid
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -49,7 +50,7 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(batches, text_at: int | str, most_bytes: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def slices(batches, text_at: int | str, most_bytes: int = 1_000_000) -> Iterator[pa.RecordBatch]:
     """Rows in order, in slices of about ``most_bytes`` of text (one row at least)."""
     for batch in batches:
         if not batch.num_rows:
@@ -99,6 +100,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 _POWERS: dict[str, np.ndarray] = {}
+#: Powers that a worker keeps from one batch to the next.
+_KEPT_POWERS = 1 << 21
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -137,9 +140,29 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     out = mix((total[end] - total[start]) * down[start] + length * np.uint64(0xD6E8FEB86659FD93))
     for i in np.flatnonzero(length > _LONG_WORD):
         out[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    if len(up) > _KEPT_POWERS:  # after a very long text
+        _POWERS.clear()
     return out
 
 
+def meets(spans: list[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Whether a span (start, end) overlaps any of the ``spans``, found by
+    bisection among their union."""
+    starts, ends = [], []
+    for a, b in sorted(spans):
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+
+    def test(a: int, b: int) -> bool:
+        k = bisect_left(starts, b)
+        return k > 0 and ends[k - 1] > a
+
+    return test
+
+
 def joined_hash(parts: list[np.ndarray]) -> np.ndarray:
     """Hash of the sequence of the given hashes, element by element."""
     out = np.zeros(len(parts[0]), np.uint64)

@@ -162,6 +162,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, max_len: int, end_id: in
                     seen[length] += 1
             columns = [batch.column("id").take(pa.array(row, pa.int64())), *map(list, zip(*out))]
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, types)], names=types.names)
+        _library(path).forget()
 
     return picked.mapInArrow(run, schema)
 

@@ -23,14 +23,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm.common import documents, with_text_columns
+from blotter.llm.common import documents, meets, with_text_columns
 
 KINDS = ("email", "ip", "card", "phone")
 #: Label 0 is a word outside; outside segments have one word.
 LABELS = ("outside", *KINDS)
 MAX_WORDS = 5
-#: Bound of the labelled sample that the field is fitted on.
-SAMPLE_ROWS = 400
+#: Bounds of the labelled sample that the field is fitted on: rows, runs of a row (the first ones), words of a run.
+SAMPLE_ROWS, SAMPLE_RUNS, SAMPLE_WORDS = 400, 200, 50
 ROUNDS = 8
 RATE = 0.3
 DECAY = 1e-4
@@ -38,8 +38,11 @@ DECAY = 1e-4
 MARGIN = 1.0
 SEED = 4
 
-_EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-_IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# The patterns take a time in proportion to the text: an address is looked for
+# from its at sign on, and numbers begin where no digit is before them.
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+_HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
+_IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
@@ -61,11 +64,26 @@ def _digits(s: str) -> str:
     return "".join(_DIGIT.findall(s))
 
 
+def _addresses(text: str) -> list[tuple[int, int]]:
+    """Leftmost matches of ``[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\\.[A-Za-z0-9-]+)+``."""
+    out, free, at = [], 0, text.find("@")
+    while at >= 0:
+        a = at
+        while a > free and text[a - 1] in _LOCAL:
+            a -= 1
+        host = _HOST.match(text, at + 1) if a < at else None
+        if host:
+            out.append((a, host.end()))
+            free = host.end()
+        at = text.find("@", max(at + 1, free))
+    return out
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) of the patterns' matches, by kind and start."""
     out = []
     if "@" in text:
-        out += [(0, *m.span()) for m in _EMAIL.finditer(text)]
+        out += [(0, *span) for span in _addresses(text)]
     if _DIGIT.search(text):
         out += [(1, *m.span()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in m[0].split("."))]
         for m in _CARD.finditer(text):
@@ -332,17 +350,17 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rows:
 
 
 def _surroundings(text: str) -> list[str]:
-    """At most 200 runs of a text, each with some characters around it."""
-    return [text[max(0, w[0][0] - 40) : w[-1][1] + 1] for w in runs(text)[:200] if len(w) <= 50]
+    """Runs of a sampled text, within the sample's bounds, each with some characters around it."""
+    return [text[max(0, w[0][0] - 40) : w[-1][1] + 1] for w in runs(text)[:SAMPLE_RUNS] if len(w) <= SAMPLE_WORDS]
 
 
 def all_spans(text: str, field: Field) -> list[dict]:
     """Base spans and those that the field adds, by kind and start."""
     spans = [(kind, a, b, True) for kind, a, b in base_spans(text)]
-    taken = [(a, b) for _, a, b, _ in spans]
+    overlaps = meets([(a, b) for _, a, b, _ in spans])
     for words in runs(text):
         for kind, a, b in field.segment(Run(text, words)):
-            if not any(s < b and a < e for s, e in taken):
+            if not overlaps(a, b):
                 spans.append((kind, a, b, False))
     return [{"rank": k, "kind": KINDS[k], "start": a, "end": b, "base": base} for k, a, b, base in sorted(spans)]
 

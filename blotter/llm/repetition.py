@@ -133,9 +133,11 @@ def repetition_rules(
 
 def drop_rejected(docs: DataFrame, text_col: str = "text", **limits) -> DataFrame:
     """The rows of ``docs``, with their columns, that the rules keep."""
-    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col(text_col).alias("text"))
-    judged = repetition_rules(row, "text", **limits).filter("kept")
-    return judged.select(*[F.col("__row")[c].alias(c) for c in docs.columns])
+    names = docs.columns
+    at = [f"c{i}" for i in range(len(names))]  # names of any kind and case stay out of the way
+    flat = docs.select(*[F.col(f"`{c}`").alias(a) for c, a in zip(names, at)])
+    judged = repetition_rules(flat, at[names.index(text_col)], **limits).filter("kept")
+    return judged.select(*[F.col(a).alias(c) for a, c in zip(at, names)])
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm.common import documents, texts_of, with_text_columns, written
+from blotter.llm.common import documents, meets, texts_of, with_text_columns, written
 
 #: In the order in which kinds that start together are listed.
 BASE_KINDS = ("assign", "access", "hex")
@@ -78,9 +78,10 @@ def candidates(text: str) -> list[dict]:
         blocks = [(m.start(), 3, m.end(), m[0]) for m in _PEM.finditer(text)]
         taken += [(s, e) for s, _, e, _ in blocks]
         found += blocks
+    overlaps = meets(taken)
     for run in runs:
         for m in _TOKEN.finditer(text, *run.span()):
-            if _looks_random(m[0]) and not any(s < m.end() and m.start() < e for s, e in taken):
+            if _looks_random(m[0]) and not overlaps(*m.span()):
                 found.append((m.start(), 4, m.end(), m[0]))
     kinds = (*BASE_KINDS, *WIDER_KINDS)
     return [
@@ -147,35 +148,35 @@ def redact_live(
     widely copied examples stay. A column n_chars follows the new text. Only
     rows with candidates are shuffled."""
     names = docs.columns
-    packed = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("__row"),
-        F.col(repo_col).alias("repo"), F.col(owner_col).alias("owner"), F.col(text_col).alias("text"),
+    at = [f"c{i}" for i in range(len(names))]  # names of any kind and case stay out of the way
+    text = at[names.index(text_col)]
+    flat = docs.select(
+        *[F.col(f"`{c}`").alias(a) for c, a in zip(names, at)], F.col(repo_col).alias("repo"), F.col(owner_col).alias("owner")
     )
-    found = with_candidates(packed)
-    some = written(found.filter(F.size("spans") > 0).withColumn("row_id", F.monotonically_increasing_id()), "candidates")
-    clean = found.filter(F.size("spans") == 0).select("__row")
+    # the texts are scanned and written once; what follows reads the columns it needs
+    found = written(with_candidates(flat, text).withColumn("row_id", F.monotonically_increasing_id()), "candidates")
+    some = found.filter(F.size("spans") > 0)
     live = judged(some, max_owners, max_repos).select("row_id", F.filter("secrets", lambda s: s.live).alias("live"))
-    marked = some.join(live, "row_id", "left").select("__row", "text", F.col("live.start").alias("a"), F.col("live.end").alias("b"))
+    live = written(live.filter(F.size("live") > 0).select("row_id", F.col("live.start").alias("a"), F.col("live.end").alias("b")), "live")
+    marked = some.select(*at, "row_id").join(live, "row_id")
 
     def cut(batches):
         import pyarrow as pa
 
         for batch in batches:
-            new = [_cut(t, a, b, mark) for t, a, b in zip(texts_of(batch.column("text")), batch.column("a").to_pylist(), batch.column("b").to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column("__row"), pa.array(new, batch.column("text").type)], names=["__row", "new"])
-
-    schema = marked.select("__row", F.col("text").alias("new")).schema
-    cleaned = marked.filter(F.size("a") > 0).mapInArrow(cut, schema)
-
-    def value(c: str) -> Column:
-        if c == text_col:
-            return F.col("new").alias(c)
-        if c == "n_chars":
-            return F.length("new").cast(docs.schema[c].dataType).alias(c)
-        return F.col("__row")[c].alias(c)
-
-    same = clean.unionByName(marked.filter(F.coalesce(F.size("a"), F.lit(0)) <= 0).select("__row"))
-    return same.select(*[F.col("__row")[c].alias(c) for c in names]).unionByName(cleaned.select(*[value(c) for c in names]))
+            k = batch.schema.get_field_index(text)
+            texts = texts_of(batch.column(k))
+            new = [_cut(t, a, b, mark) for t, a, b in zip(texts, batch.column("a").to_pylist(), batch.column("b").to_pylist())]
+            columns = [pa.array(new, batch.column(k).type) if i == k else c for i, c in enumerate(batch.columns)]
+            yield pa.RecordBatch.from_arrays(columns[: len(at)], names=at)
+
+    cleaned = marked.select(*at, "a", "b").mapInArrow(cut, marked.select(*at).schema)
+    if "n_chars" in names:
+        k = at[names.index("n_chars")]
+        cleaned = cleaned.withColumn(k, F.length(text).cast(docs.schema["n_chars"].dataType))
+    # rows without candidates are never shuffled
+    same = found.filter(F.size("spans") == 0).select(*at).unionByName(some.select(*at, "row_id").join(live, "row_id", "left_anti").select(*at))
+    return same.unionByName(cleaned).select(*[F.col(a).alias(c) for a, c in zip(at, names)])
 
 
 def _cut(text: str, starts: list[int], ends: list[int], mark: str) -> str:

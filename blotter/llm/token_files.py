@@ -155,6 +155,7 @@ def encoded(docs: DataFrame, id_col: str, text_col: str, end_id: int, path: str)
             n = pa.array([len(p) // width for p in packed], pa.int64())
             columns = [part.column("id"), part.column("own"), n, pa.array([width] * len(packed), pa.int32()), pa.array(packed, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "own", "n", "width", "ids"])
+        encoder.cache.forget()
 
     return picked.mapInArrow(run, "id long, own long, n long, width int, ids binary")
 

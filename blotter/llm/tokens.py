@@ -100,6 +100,11 @@ class PieceCache:
         longest_first = sorted(special, key=len, reverse=True)
         self.split_special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if special else None
 
+    def forget(self) -> None:
+        """Lets the pieces go, at the end of a task: the worker lives on, maybe for another stage."""
+        self.known.clear()
+        self.held = 0
+
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         plain = [not self._peculiar(t) for t in texts]
@@ -132,8 +137,7 @@ class PieceCache:
         one = np.empty(len(distinct), np.int64)
         one[code[::-1]] = np.arange(len(code))[::-1]
         if self.held > HELD_BYTES:
-            self.known.clear()
-            self.held = 0
+            self.forget()
         keys = distinct.tolist()
         packed = list(map(self.known.get, keys))
         new = [k for k, p in enumerate(packed) if p is None]

@@ -109,3 +109,55 @@ def test_query(spark):
         digest = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
         assert row.base_sha256 == hashlib.sha256(digest.encode()).hexdigest()
         assert set(filter(None, digest.split(","))) <= set(row.spans.split(","))
+
+
+ALPHABET = "aZ09.@-+%_ é(\n"
+
+
+def test_patterns_on_generated_texts():
+    import random
+
+    rng = random.Random(11)
+    for _ in range(20_000):
+        t = "".join(rng.choice(ALPHABET) for _ in range(rng.randrange(40)))
+        assert [(P.KINDS[k], a, b) for k, a, b in P.base_spans(t)] == base(t), t
+
+
+@pytest.mark.parametrize("unit", ["x", "7", "x7", "a@", "@", "1.", "+1", ".", "abc.d@ef.gh ", "- "])
+def test_a_million_characters(unit):
+    """In a time in proportion to the text."""
+    import time
+
+    text = unit * (1_000_000 // len(unit)) + " a@b.cc"
+    began = time.process_time()
+    P.base_spans(text)
+    assert time.process_time() - began < 5
+
+
+def test_segments_against_all_segmentations():
+    """The decoder's choice has the highest score of all ways to cut and label a run."""
+    rng = np.random.default_rng(3)
+    for text in ("ring +1 (663) 555-6869 a@b.cc 17", "4 5 6 7", "a1 b@c 22 3.4.5.6 7-7 8"):
+        for words in P.runs(text):
+            run = P.Run(text, words)
+            field = P.Field()
+            for f in sorted({f for e in run.segments for _, _, fs in e for f in fs}):
+                field.weight[f] = rng.normal(size=len(P.LABELS))
+            field.step = rng.normal(size=field.step.shape)
+            score = {(i, j): (span, field._score(i, j, f)) for j, e in enumerate(run.segments, 1) for i, span, f in e}
+            every = []
+
+            def walk(at, last, total, path):
+                if at == run.n:
+                    every.append((total, path))
+                    return
+                for j in range(at + 1, min(at + P.MAX_WORDS, run.n) + 1):
+                    span, s = score[at, j]
+                    for y in range(len(P.LABELS)):
+                        if y == 0 and j - at > 1:
+                            continue
+                        more = field.step[last, y] + s[y] - (P.MARGIN if y else 0)
+                        walk(j, y, total + more, path + [(y - 1, *span)] * (y > 0))
+
+            walk(0, len(P.LABELS), 0.0, [])
+            assert field.segment(run) == max(every, key=lambda e: e[0])[1]
