@@ -8,8 +8,9 @@ coarse: tokens that share a character, byte-fallback tokens and an added space
 have no ends of their own there. A run of tokens between two sure ends is refined
 with the bytes that its tokens decode to.
 
-A text is first cut into segments, before white space that no merge of either
-tokenizer reaches over, and a distinct segment is aligned once. Tasks work on
+A text is first cut into segments, where no word of A's pattern and no merge of B
+reaches over, and a distinct segment is aligned once, many of them (between line
+feeds, which neither tokenizer joins with what follows) as one text. Tasks work on
 blocks of documents: a block counts the documents of each distinct pair before
 anything is shuffled, and gets the corpus-wide counts of its pairs back.
 """
@@ -35,6 +36,8 @@ BLOCK_BYTES = 16_000_000
 #: Bytes of aligned segments that a worker holds, each counted with its place in the table.
 HELD_BYTES, _ENTRY = 48_000_000, 400
 _MARK = "▁"
+#: Segments that are encoded as one text.
+_AT_ONCE = 256
 
 
 def default_vocabularies() -> tuple[str, str]:
@@ -71,9 +74,21 @@ def token_ends(spans: list[tuple[int, int]], sizes: list[int]) -> list[int] | No
     return None if run else ends
 
 
+def all_ends(spans: np.ndarray, sizes: np.ndarray) -> np.ndarray | None:
+    """``token_ends`` for many tokens at once."""
+    n, end = len(spans), spans[:, 1]
+    before = np.concatenate([[0], np.maximum.accumulate(end)[:-1]])
+    sure = (end > before) & np.append(spans[1:, 0] >= end[:-1], True)
+    by_bytes = np.cumsum(sizes)
+    if not n or not sure[-1] or (by_bytes[sure] != end[sure]).any():
+        return None
+    # a token without a sure end: its bytes and those before it, from the last sure end on
+    last = np.maximum.accumulate(np.where(sure, np.arange(n), -1))
+    return np.where(sure, end, np.where(last >= 0, end[last] - by_bytes[last], 0) + by_bytes)
+
+
 class Pair:
-    """The two tokenizers. ``align`` gives the entries of strings that begin
-    with white space: (groups, n_a, n_b, n_groups, linked pairs) or None."""
+    """The two tokenizers, and where texts may be cut for both."""
 
     def __init__(self, byte_path: str, piece_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -93,12 +108,28 @@ class Pair:
         self.kind = self._kind()
         probe = "é x"
         self.in_bytes = self._protos([probe])[0].pieces[-1].end == len(probe.encode())
-        # White space that stands in pieces only after itself: no merge reaches it from another character.
-        later = {(x, y) for p in pieces for x, y in zip(p, p[1:]) if x != y}
-        self.breaks = np.zeros(256, bool)
+        # Characters that stand next to each other in a piece: no merge reaches over others.
+        beside = {(" " if x == _MARK else x, " " if y == _MARK else y) for p in pieces for x, y in zip(p, p[1:])}
+        #: White space that follows nothing but itself in a piece; of this, what is beside nothing at all.
+        self.breaks, self.lone = np.zeros(256, bool), np.zeros(256, bool)
         for c in " \t\n\x0b\x0c\r":
-            mark = _MARK if c == " " else c
-            self.breaks[ord(c)] = not any(y == mark for _, y in later)
+            self.breaks[ord(c)] = not any(y == c and x != c for x, y in beside)
+            self.lone[ord(c)] = not any(c in pair for pair in beside)
+        #: Pairs of ASCII characters that A's pattern always parts and no piece of B has side by side.
+        self.part = np.zeros((256, 256), bool)
+        kind = np.full(128, 2)
+        kind[[*range(65, 91), *range(97, 123)]] = 0
+        kind[48:58] = 1
+        kind[39] = 3
+        apart = np.array([[0, 1, 1, 1], [1, 0, 1, 1], [1, 1, 0, 0], [0, 1, 0, 0]], bool)
+        solid = ~SPACE[:128]
+        self.part[:128, :128] = apart[kind[:, None], kind[None, :]] & solid[:, None] & solid[None, :]
+        for x, y in beside:
+            if x < "\x80" and y < "\x80":
+                self.part[ord(x), ord(y)] = False
+        self.joins = bool(self.lone[10]) and self.a.encode("a\nb c", add_special_tokens=False).offsets[1] == (1, 2)
+        self.a_size = np.array([len(self.a_bytes.get(i, b"")) for i in range(max(self.a_bytes) + 1)])
+        self.b_size = np.array([len(p) for p in self.b_bytes])
 
     def _kind(self) -> dict:
         """How this release of sentencepiece calls a proto with spans."""
@@ -114,25 +145,90 @@ class Pair:
         return self.b.encode(strings, num_threads=1, **self.kind)
 
     def align(self, strings: list[str]) -> list[tuple | None]:
+        """The entry of each string: (groups, n_a, n_b, n_groups, packed pairs), or None."""
+        out: list[tuple | None] = [None] * len(strings)
+        joined = [k for k, s in enumerate(strings) if self.joins and not s[-1].isspace() and not (s[0].isspace() and (s[0] != " " or s[1].isspace()))]
+        chunks = [joined[i : i + _AT_ONCE] for i in range(0, len(joined), _AT_ONCE)]
+        texts = ["\n" + "\n".join([strings[k] for k in chunk]) for chunk in chunks]
+        alone = sorted(set(range(len(strings))) - set(joined))
+        if chunks:
+            encodings = self.a.encode_batch(texts, add_special_tokens=False)
+            for chunk, text, e, p in zip(chunks, texts, encodings, self._protos(texts)):
+                entries = self._together(text, [strings[k] for k in chunk], e, p)
+                if entries is None:  # some string is not what its tokens decode to
+                    alone += chunk
+                else:
+                    for k, entry in zip(chunk, entries):
+                        out[k] = entry
+        some = [strings[k] for k in alone]
         # B puts a space before a text: it stands for the one that a string begins with.
-        spaced = [s[0] == " " for s in strings]
-        protos = self._protos([s[1:] if own else s for s, own in zip(strings, spaced)])
-        encodings = self.a.encode_batch(strings, add_special_tokens=False)
-        return [self._aligned(s, own, e, p) for s, own, e, p in zip(strings, spaced, encodings, protos)]
+        spaced = [s[0] == " " for s in some]
+        fed = [s if s[0].isspace() else "\n" + s for s in some]
+        protos = self._protos([s[1:] if own else s for s, own in zip(fed, spaced)]) if some else []
+        encodings = self.a.encode_batch(some, add_special_tokens=False) if some else []
+        for k, s, own, e, p in zip(alone, some, spaced, encodings, protos):
+            out[k] = self._aligned(s, own, e, p)
+        return out
+
+    def _together(self, text: str, strings: list[str], encoding, proto) -> list[tuple] | None:
+        """The entries of strings with a line feed before each."""
+        raw = text.encode("utf-8", "surrogatepass")
+        a, b = np.array(encoding.ids), np.array([p.id for p in proto.pieces])[1:]  # without the added space
+        if not len(b) or self.b_bytes[proto.pieces[0].id] != b" ":
+            return None
+        if b"".join([self.a_bytes[i] for i in a.tolist()]) != raw or b"".join([self.b_bytes[i] for i in b.tolist()]) != raw:
+            return None
+        a_span, b_span = np.array(encoding.offsets), np.array([(p.begin, p.end) for p in proto.pieces])[1:]
+        if len(raw) != len(text):  # characters to bytes
+            at = np.append(np.flatnonzero(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80), len(raw))
+            a_span = at[a_span]
+            if not self.in_bytes:
+                b_span = at[b_span]
+        a_end, b_end = all_ends(a_span, self.a_size[a]), all_ends(b_span, self.b_size[b])
+        if a_end is None or b_end is None:
+            return None
+        stop = np.cumsum([len(s.encode("utf-8", "surrogatepass")) + 1 for s in strings])
+        feed = np.concatenate([[1], stop[:-1] + 1])  # ends of the line feeds
+        sides = []
+        for ids, end, size in ((a, a_end, self.a_size[a]), (b, b_end, self.b_size[b])):
+            is_feed = (size == 1) & np.isin(end, feed)
+            if is_feed.sum() != len(strings) or not np.isin(stop, end).all():
+                return None
+            sides.append((ids[~is_feed], end[~is_feed]))
+        (a, a_end), (b, b_end) = sides
+        ends = np.intersect1d(a_end, b_end, assume_unique=True)
+        cuts = np.union1d(a_end, b_end)  # between two cuts lies one token of each
+        links = a[np.searchsorted(a_end, cuts)] << 32 | b[np.searchsorted(b_end, cuts)]
+        count = [np.diff(np.searchsorted(x, np.concatenate([[0], stop]), "right")) for x in (a_end, b_end, ends, cuts)]
+        packed, edge = links.astype("<i8").tobytes(), np.concatenate([[0], 8 * np.cumsum(count[3])]).tolist()
+        return list(zip(self._texts(a, a_end, b, b_end, ends, stop), *(c.tolist() for c in count[:3]), [packed[x:y] for x, y in zip(edge, edge[1:])]))
+
+    @staticmethod
+    def _texts(a, a_end, b, b_end, ends, stop) -> list[bytes]:
+        """The groups of each string as text."""
+        group = np.concatenate([np.searchsorted(ends, a_end) * 2, np.searchsorted(ends, b_end) * 2 + 1])
+        order = np.argsort(group, kind="stable")
+        ids, group = np.concatenate([a, b])[order].tolist(), group[order]
+        mark = np.zeros(len(group), np.int64)  # inside one side of a group: a comma
+        last = np.append(group[1:] != group[:-1], True)
+        mark[last] = 1 + group[last] % 2  # after the A side a bar, after the B side a semicolon
+        mark[last & (group % 2 == 1) & np.isin(ends[group // 2], stop)] = 3
+        return "".join([f"{i}{m}" for i, m in zip(ids, np.array([",", "|", ";", "\n"])[mark].tolist())]).encode().split(b"\n")[:-1]
 
     def _aligned(self, s: str, spaced: bool, encoding, proto) -> tuple | None:
         raw = s.encode("utf-8", "surrogatepass")
         a, b = encoding.ids, [p.id for p in proto.pieces]
         b_spans = [(p.begin, p.end) for p in proto.pieces]
-        if not spaced:  # the added space is a piece of its own
-            if not b or self.b_bytes[b[0]] != b" ":
+        if not spaced:  # the added space is a piece of its own, and a line feed fed before
+            fed = not s[0].isspace()
+            if len(b) <= fed or self.b_bytes[b[0]] != b" " or fed and self.b_bytes[b[1]] != b"\n":
                 return None
-            b, b_spans = b[1:], b_spans[1:]
+            b, b_spans = b[1 + fed :], [(x - fed, y - fed) for x, y in b_spans[1 + fed :]]
         a_parts, b_parts = [self.a_bytes[i] for i in a], [self.b_bytes[i] for i in b]
         if b"".join(a_parts) != raw or b"".join(b_parts) != raw:
             return None
         if len(a) == len(b) == 1:
-            return b"%d|%d" % (a[0], b[0]), 1, 1, 1, (a[0] << 32 | b[0],)
+            return b"%d|%d" % (a[0], b[0]), 1, 1, 1, (a[0] << 32 | b[0]).to_bytes(8, "little")
         a_spans = encoding.offsets
         if len(raw) != len(s):  # characters to bytes
             at = np.concatenate([[0], np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in s])]).tolist()
@@ -156,7 +252,7 @@ class Pair:
                 groups.append(",".join(map(str, a[i0 : i + 1])) + "|" + ",".join(map(str, b[j0 : j + 1])))
                 i0, j0 = i + 1, j + 1
             i, j = i + (x <= y), j + (y <= x)
-        return ";".join(groups).encode(), len(a), len(b), len(groups), tuple(links)
+        return ";".join(groups).encode(), len(a), len(b), len(groups), np.array(links, "<i8").tobytes()
 
 
 @lru_cache(maxsize=1)
@@ -181,7 +277,7 @@ class Aligner:
             some = new[at : at + 4096]
             for k, entry in zip(some, self.pair.align([string(k) for k in some])):
                 self.known[keys[k]] = entry
-                self.held += _ENTRY + (len(entry[0]) + 40 * len(entry[4]) if entry else 0)
+                self.held += _ENTRY + (len(entry[0]) + len(entry[4]) if entry else 0)
         return [self.known[k] for k in keys]
 
     def segments(self, blobs: list[bytes], odd: list[bool]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -192,7 +288,10 @@ class Aligner:
         stop = np.cumsum(size + 1)
         begin = stop - size
         cut = np.zeros(len(data) + 1, bool)
-        cut[1 : len(data)] = self.pair.breaks[data[1:]] & ~SPACE[data[:-1]]
+        space = SPACE[data]
+        cut[1 : len(data)] = self.pair.breaks[data[1:]] & ~space[:-1] | self.pair.part[data[:-1], data[1:]]
+        # after one white space of a kind that is in no piece
+        cut[2 : len(data)] |= self.pair.lone[data[1:-1]] & ~space[:-2] & ~space[2:]
         for k in np.flatnonzero(odd):
             cut[begin[k] : stop[k]] = False
         cut[begin] = cut[stop] = True
@@ -228,7 +327,7 @@ class Aligner:
         for place, name in ((1, "n_a"), (2, "n_b"), (3, "n_groups")):
             each = np.fromiter((e[place] if e else 0 for e in entries), np.int64, len(entries))
             columns[name][text] = np.bincount(of, each[code], len(some)).astype(np.int64)
-        n_links = np.fromiter((len(e[4]) if e else 0 for e in entries), np.int64, len(entries))
+        n_links = np.fromiter((len(e[4]) // 8 if e else 0 for e in entries), np.int64, len(entries))
         columns["n_links"][text] = np.bincount(of, n_links[code], len(some)).astype(np.int64)
         strings = [e[0] if e else b"" for e in entries]
         edge = np.searchsorted(of, np.arange(len(some) + 1))
@@ -239,7 +338,7 @@ class Aligner:
         # distinct segments of each text, then the pairs linked in them
         both, times = np.unique(of * len(entries) + code, return_counts=True)
         of, code = np.divmod(both, len(entries))
-        links = np.fromiter((x for e in entries if e for x in e[4]), np.int64, int(n_links.sum()))
+        links = np.frombuffer(b"".join([e[4] for e in entries if e]), "<i8")
         pairs, number = np.unique(links, return_inverse=True)
         first = np.cumsum(n_links) - n_links
         each = n_links[code]

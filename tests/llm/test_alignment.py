@@ -128,3 +128,18 @@ def test_query_on_whole_documents(spark, libraries):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMOKE_DIR}/documents.parquet").select("doc_id", "text").collect()]
     got = A.query(spark, SMOKE_DIR).select(*COLUMNS).collect()
     assert sorted((tuple(r) for r in got), key=repr) == brute(rows, libraries)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(1, 4)), min_size=1, max_size=12))
+def test_all_ends_agree(parts):
+    """Spans as libraries give them: sure ends, and runs that share one span."""
+    import numpy as np
+
+    spans, sizes, at = [], [], 0
+    for extra, size in parts:
+        sizes += [1] * extra + [size]
+        stop = at + extra + size
+        spans += [(at, at)] * extra + [(at, stop)]
+        at = stop
+    assert A.all_ends(np.array(spans), np.array(sizes)).tolist() == A.token_ends(spans, sizes) == np.cumsum(sizes).tolist()
