@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from blotter.functions.typed import as_date, as_double, as_float, as_int, as_text, in_date_range, ref
 from blotter.functions.values import descent_label, money_to_int, part_of_day
+from blotter.operators.key_filter import key_filter, passing, row_hash
+from blotter.operators.near_keys import join_near
 from blotter.operators.sites import assigned_site, nearest_site
 from blotter.operators.topn import top_and_bottom_n, top_n_per_group
 
@@ -212,6 +214,8 @@ def descent_in_income_extremes(
     n: int = 3,
     dedupe_keys: bool = False,
     date_col: str = "DATE OCC",
+    tolerance: float | None = None,
+    runtime_filter: bool = True,
 ) -> DataFrame:
     """Victims by descent among ``year``'s incidents located in the ``n``
     richest and ``n`` poorest ZIP codes. Columns: ``Victim Descent``, ``#``.
@@ -222,6 +226,11 @@ def descent_in_income_extremes(
     the join; the counts are then summed. That equals counting the joined rows
     (inner joins keep the multiplicity of repeated geocode or ZIP rows). Codes
     are labelled after grouping, so each unknown code is its own ``Error`` row.
+
+    Only the incidents at the places in question are grouped: their coordinates
+    make a filter of bounded size that is applied where the incidents are read
+    (``runtime_filter``). With a ``tolerance`` (degrees), an incident is at a
+    place if neither coordinate differs by more; by default they are equal.
     """
     zips = income_extreme_areas(income, n, dedupe_keys)
     geo = geocode.select(
@@ -232,21 +241,36 @@ def descent_in_income_extremes(
     places = geo.join(zips, "ZIP Code", "inner").select("LAT", "LON")
 
     in_year = crimes.filter(in_date_range(crimes, date_col, f"{year:04d}-01-01", f"{year + 1:04d}-01-01"))
-    per_place = (
-        in_year.select(
-            as_double(in_year, "LAT").alias("LAT"),
-            as_double(in_year, "LON").alias("LON"),
-            as_text(in_year, "Vict Descent").alias("code"),
-        )
-        .filter(F.col("code").isNotNull())
-        .groupBy("LAT", "LON", "code")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    per_code = per_place.join(places, ["LAT", "LON"], "inner").groupBy("code").agg(F.sum("n").alias("#"))
+    located = in_year.select(
+        as_double(in_year, "LAT").alias("LAT"),
+        as_double(in_year, "LON").alias("LON"),
+        as_text(in_year, "Vict Descent").alias("code"),
+    ).filter(F.col("code").isNotNull())
+    if runtime_filter:
+        located = _at_places(located, places, tolerance)
+    per_place = located.groupBy("LAT", "LON", "code").agg(F.count(F.lit(1)).alias("n"))
+    met = per_place.join(places, ["LAT", "LON"], "inner") if tolerance is None else join_near(per_place, places, ["LAT", "LON"], tolerance)
+    per_code = met.groupBy("code").agg(F.sum("n").alias("#"))
     labelled = per_code.select(descent_label(F.col("code")).alias("Victim Descent"), "#", "code")
     return labelled.orderBy(F.desc("#"), F.asc("code")).drop("code")
 
 
+def _at_places(located: DataFrame, places: DataFrame, tolerance: float | None) -> DataFrame:
+    """The incidents that may be at one of the places: those whose coordinates,
+    or with a tolerance the cells of that width, a filter of the places holds."""
+    lat, lon = F.col("LAT"), F.col("LON")
+    if tolerance is None:
+        # -0.0 and 0.0 are equal, and are one hash
+        own, theirs = [lat + 0.0, lon + 0.0], places.select((lat + 0.0).alias("LAT"), (lon + 0.0).alias("LON"))
+    else:
+        own = [F.floor(c / F.lit(float(tolerance))) for c in (lat, lon)]
+        theirs = places.select(own[0].alias("LAT"), own[1].alias("LON"))
+        for name in ("LAT", "LON"):
+            theirs = theirs.withColumn(name, F.explode(F.array(F.col(name) - 1, F.col(name), F.col(name) + 1)))
+    hashed = theirs.filter(lat.isNotNull() & lon.isNotNull()).select(row_hash([lat, lon]).alias("h"))
+    return passing(located, row_hash(own), key_filter(hashed))
+
+
 # --------------------------------------------------------------------- Q4
 
 

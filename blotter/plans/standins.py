@@ -19,16 +19,21 @@ SQL side casts them to DOUBLE as well).
 - many stations: ``orders``, nine of ten in a dense cluster, the rest all over
   the globe, for ``events`` of which one in five is anywhere, and whose record
   numbers repeat or are null;
+- CSV files: those lines under two headers, in files that Spark writes to the
+  checkpoint folder, some of them with missing or further cells or an open quote;
 - CSV lines: ``events`` as quoted lines with unpadded dates, decimal whole
   numbers and values that do not parse, under a header in another spelling.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from blotter.functions.values import hhmm_of
+from blotter.session import checkpoint_dir
 from blotter.sources.extracts import read_table
 
 # Extract split: the first "file" holds orders before 1999, the second those
@@ -163,14 +168,13 @@ def order_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as CSV lines (``value``) in the order of ``LINE_HEADER``."""
+def _line_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key and the written cells of ``csv_lines``, one column each."""
     inc = event_incidents(spark, sf_dir)
     key = F.col("DR_NO")
     when = F.make_date(2015 + key.cast("int") % 3, F.month("DATE OCC"), F.dayofmonth("DATE OCC") % 28 + 1)
     quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
-    line = F.concat_ws(
-        ",",
+    cells = (
         key.cast("string"),
         F.when(key % 11 == 0, F.lit("no date")).otherwise(F.date_format(when, "M/d/yyyy h:mm:ss a")),
         F.date_format(when, "MM/dd/yyyy"),
@@ -181,7 +185,67 @@ def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("LAT").cast("string"),
         F.col("LON").cast("string"),
     )
-    return inc.select(line.alias("value"))
+    return inc.select(key.alias("key"), *[c.alias(f"c{i}") for i, c in enumerate(cells)])
+
+
+def csv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``events`` as CSV lines (``value``) in the order of ``LINE_HEADER``."""
+    return _line_cells(spark, sf_dir).select(F.concat_ws(",", *[f"c{i}" for i in range(len(LINE_HEADER))]).alias("value"))
+
+
+def _written_lines(spark: SparkSession, lines: DataFrame, header: str) -> str:
+    """A new folder of files with ``lines`` (one column) below ``header``, in
+    the shared checkpoint folder. The writer quotes nothing: the lines are CSV."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/standin-{uuid.uuid4().hex}"
+    options = {"header": True, "sep": "\x01", "quote": "\x00", "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    lines.select(F.col(lines.columns[0]).alias(header)).write.options(**options).csv(folder)
+    return folder
+
+
+def csv_files(spark: SparkSession, sf_dir: str) -> list[str]:
+    """``csv_lines`` as two folders of files: odd records under ``LINE_HEADER``,
+    even ones with the columns the other way round under other spellings."""
+    cells = _line_cells(spark, sf_dir)
+    columns = [f"c{i}" for i in range(len(LINE_HEADER))]
+    odd = cells.filter("key % 2 = 1").select(F.concat_ws(",", *columns).alias("value"))
+    even = cells.filter("key % 2 = 0").select(F.concat_ws(",", *columns[::-1]).alias("value"))
+    turned = [f" {c.upper()} " if i % 2 else c.lower() for i, c in enumerate(LINE_HEADER[::-1])]
+    return [_written_lines(spark, odd, ",".join(LINE_HEADER)), _written_lines(spark, even, ",".join(turned))]
+
+
+def spoilt_csv_files(spark: SparkSession, sf_dir: str) -> list[str]:
+    """``csv_lines`` as files in which some lines miss their last cells, have
+    one more, or an open quote."""
+    cells = _line_cells(spark, sf_dir)
+    columns = [f"c{i}" for i in range(len(LINE_HEADER))]
+    key, whole = F.col("key"), F.concat_ws(",", *columns)
+    opened = F.concat_ws(",", *columns[:5], F.expr("substring(c5, 1, length(c5) - 1)"), *columns[6:])
+    line = (
+        F.when(key % 19 == 0, F.concat_ws(",", *columns[:7])).when(key % 23 == 0, F.concat_ws(",", whole, F.lit("x")))
+        .when(key % 29 == 0, opened).otherwise(whole)
+    )
+    return [_written_lines(spark, cells.select(line.alias("value")), ",".join(LINE_HEADER))]
+
+
+def text_files(spark: SparkSession, sf_dir: str) -> list[str]:
+    """``event_lines`` as two folders of text files: odd and even records."""
+    lines = event_lines(spark, sf_dir).select("value")
+    odd = F.substring_index("value", ",", 1).cast("long") % 2 == 1
+    folders = []
+    for part in (lines.filter(odd), lines.filter(~odd)):
+        folders.append(f"{checkpoint_dir(spark).rstrip('/')}/standin-{uuid.uuid4().hex}")
+        part.write.text(folders[-1])
+    return folders
+
+
+def shifted_geocode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``customer_geocode`` with latitudes that are up to 0.0003 degrees off."""
+    key = F.col("c_custkey")
+    return read_table(spark, sf_dir, "customer").select(
+        (customer_lat(key) + (key % 3 - 1) * F.lit(0.0003)).alias("LAT"),
+        customer_lon(key).alias("LON"),
+        F.col("c_nationkey").cast("string").alias("ZIPcode"),
+    )
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,11 @@
 """Sources: declared schemas and readers."""
 
 from blotter.sources.extracts import (
+    by_header,
     deduplicate,
+    distinct_by_hash,
     headers,
+    malformed_lines,
     parse_lines,
     read_crimes,
     read_csv_text,
@@ -16,10 +19,13 @@ from blotter.sources.schemas import CRIME_COLUMNS, canonical, crime_text_schema,
 
 __all__ = [
     "CRIME_COLUMNS",
+    "by_header",
     "canonical",
     "crime_text_schema",
     "deduplicate",
+    "distinct_by_hash",
     "headers",
+    "malformed_lines",
     "normalise",
     "parse_lines",
     "read_crimes",

@@ -9,18 +9,19 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, FloatType, FractionalType, StringType, StructField, StructType
 
+from blotter.functions.paths import path_of
 from blotter.functions.typed import as_date, as_double, as_int, ref
+from blotter.operators.key_filter import key_filter, row_hash, with_verdict
 from blotter.sources.schemas import CRIME_TYPES, TABLE_SCHEMAS, canonical, crime_text_schema
 
-# Bytes of a file that its header line must fit in.
-_HEADER_BYTES = 65536
+#: Column that a reader puts a line in whose cells don't fit the header.
+_BAD = "_malformed_line"
 
 
 def _as_list(paths: str | Iterable[str]) -> list[str]:
@@ -33,46 +34,87 @@ def read_csv_text(spark: SparkSession, path: str | Iterable[str], fmt: str = "cs
     filters and columns still reach the scan.
 
     CSV files, folders and globs may have headers of their own: files with the
-    same header are one scan, and each scan checks its files against it.
+    same header are one scan, and each scan checks its files against it. A line
+    with too few cells has nulls for the rest, one with too many loses them;
+    ``malformed_lines`` has these lines.
     """
     if fmt != "csv":
         df = spark.read.format(fmt).options(**options).load(_as_list(path))
         return df.select([ref(c).alias(canonical(c)) for c in df.columns])
-    by_header: dict[tuple[str, ...], list[str]] = {}
-    for file, header in headers(spark, _as_list(path), options.get("sep", ",")):
-        by_header.setdefault(header, []).append(file)
-    frames = []
-    for header, files in by_header.items():
-        schema = StructType([StructField(c, StringType()) for c in header])
-        # enforceSchema off: a file whose header is not the one declared fails.
-        # Standard CSV escapes a quote inside a quoted field by doubling it.
-        reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-        reader = reader.option("mode", "PERMISSIVE").option("escape", '"').options(**options)
-        frames.append(reader.csv(files).select([ref(c).alias(canonical(c)) for c in header]))
-    return union_extracts(frames)
-
-
-def headers(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> list[tuple[str, tuple[str, ...]]]:
-    """(file, header cells) of the non-empty files under ``paths``. The driver
-    reads the first line of each, many at a time; no Spark job runs."""
-    files = spark.read.text(list(paths)).inputFiles()
-    jvm = spark._jvm
-    conf = spark._jsparkSession.sessionState().newHadoopConf()
-    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
-
-    def first_line(file: str) -> str:
-        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(file))
-        stream = path.getFileSystem(conf).open(path)
-        try:
-            codec = codecs.getCodec(path)
-            source = stream if codec is None else codec.createInputStream(stream)
-            return bytes(source.readNBytes(_HEADER_BYTES)).decode("utf-8-sig", "replace").splitlines()[:1]
-        finally:
-            stream.close()
-
-    with ThreadPoolExecutor(16) as pool:
-        lines = list(pool.map(first_line, files))
-    return [(f, tuple(next(csv.reader(line, delimiter=sep)))) for f, line in zip(files, lines) if line]
+    scans = [_scan(spark, files, header, options) for header, files in by_header(spark, _as_list(path), options.get("sep", ",")).items()]
+    return union_extracts([df.select([ref(c).alias(canonical(c)) for c in df.columns]) for df in scans])
+
+
+def _scan(spark: SparkSession, files: list[str], header: Sequence[str], options: dict, bad: bool = False) -> DataFrame:
+    """The files of one header as text columns; ``bad`` adds the lines that don't fit."""
+    schema = StructType([StructField(c, StringType()) for c in (*header, *[_BAD] * bad)])
+    # enforceSchema off: a file whose header is not the one declared fails.
+    # Standard CSV escapes a quote inside a quoted field by doubling it.
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    reader = reader.option("mode", "PERMISSIVE").option("escape", '"').options(**options)
+    return (reader.option("columnNameOfCorruptRecord", _BAD) if bad else reader).csv(files)
+
+
+def malformed_lines(spark: SparkSession, path: str | Iterable[str], **options) -> DataFrame:
+    """The quarantine of CSV extracts: (file, line, reason) of the lines that
+    have ``few cells`` or ``many cells`` for their header, or an ``open quote``.
+
+    The header of a file is found on the executors, as for ``read_crimes``. Blank
+    lines are none. A line is read as a whole; quoted cells hold no line feed.
+    """
+    sep = options.get("sep", ",")
+    found = []
+    for header, files in by_header(spark, _as_list(path), sep).items():
+        rows = _scan(spark, files, header, options, bad=True).select("_metadata.file_path", ref(_BAD).alias("line"), *map(ref, header))
+        # all columns are asked for: of cells that no one reads, the parser doesn't miss any
+        lines = rows.filter(F.col("line").isNotNull() & (F.length(F.concat_ws("", *map(ref, header))) >= 0))
+        plain = F.regexp_replace("line", '"[^"]*"', "")
+        cells = F.length(plain) - F.length(F.replace(plain, F.lit(sep), F.lit(""))) + 1
+        reason = F.when(plain.contains('"'), "open quote").when(cells < len(header), "few cells").otherwise("many cells")
+        found.append(lines.select(F.col("file_path").alias("file"), "line", reason.alias("reason")))
+    return union_extracts(found)
+
+
+def headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(file, line): the first line of each file under ``paths`` that has one,
+    found by the executors. A task hands on the first lines of the files that
+    begin in it; it stops at the first rows of a part of one large file."""
+    whole = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(whole)
+    lines = spark.read.text(list(paths)).select(
+        "value", *[F.col(f"_metadata.{c}").alias(a) for c, a in (("file_path", "file"), ("file_block_start", "start"), ("file_block_length", "length"))]
+    )
+
+    def run(batches):
+        import pyarrow.compute as pc
+
+        last = None
+        for batch in batches:
+            files = batch.column("file")
+            code = files.dictionary_encode()
+            starts = batch.column("start").to_pylist()
+            for k, name in enumerate(code.dictionary.to_pylist()):
+                at = pc.index(code.indices, k).as_py()
+                if name != last and starts[at] == 0:
+                    yield batch.slice(at, 1).select(["file", "value"])
+            if batch.num_rows:
+                last = files[-1].as_py()
+                if batch.column("length")[-1].as_py() >= most:  # no other file in this task
+                    return
+
+    return lines.mapInArrow(run, "file string, line string")
+
+
+def by_header(spark: SparkSession, paths: Sequence[str], sep: str = ",") -> dict[tuple[str, ...], list[str]]:
+    """The files of each header. The driver gets each distinct header line once,
+    with its files."""
+    found = headers(spark, paths).groupBy("line").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    out: dict[tuple[str, ...], list[str]] = {}
+    for line, files in sorted(found.collect()):
+        cells = next(csv.reader([line.lstrip("\ufeff")], delimiter=sep), [])
+        if cells:
+            out.setdefault(tuple(cells), []).extend(map(path_of, files))
+    return out
 
 
 _TYPING = {"date": as_date, "int": as_int, "double": as_double}
@@ -110,10 +152,13 @@ def deduplicate(df: DataFrame, dedupe: str | Sequence[str] | None) -> DataFrame:
       heavily repeated row does not load one reducer.
     - a list of key columns: keep one row per key, the smallest one (by the
       other columns in their order), so that runs agree.
+    - ``"hashed"``: the rows of ``"rows"``, found by hash first (see ``distinct_by_hash``).
     - ``None``: keep every row (UNION ALL).
     """
     if dedupe is None:
         return df
+    if dedupe == "hashed":
+        return distinct_by_hash(df)
     if dedupe == "rows":
         return df.distinct()
     rest = [c for c in df.columns if c not in dedupe]
@@ -123,6 +168,24 @@ def deduplicate(df: DataFrame, dedupe: str | Sequence[str] | None) -> DataFrame:
     return kept.select([ref(c) if c in dedupe else F.col("_kept")[c].alias(c) for c in df.columns])
 
 
+def distinct_by_hash(df: DataFrame) -> DataFrame:
+    """Whole-row DISTINCT that shuffles hashes, and whole only the rows that may
+    repeat. The hashes that occur twice make a filter of bounded size
+    (``operators.key_filter``); rows that it does not hold are distinct and stay
+    where they are. A row it holds by chance is among the others and is kept, so
+    the answer is that of ``distinct``. The source is read three times: for wide
+    rows of which few repeat and that are cheap to read."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    if any("double" in k.simpleString() or "float" in k.simpleString() for k in kinds.values() if not isinstance(k, FractionalType)):
+        return df.distinct()  # equal numbers inside arrays and the like may differ in their bits
+    # 0.0 and -0.0 are one value
+    hashed = row_hash([ref(c) + F.lit(0.0).cast(k) if isinstance(k, (FloatType, DoubleType)) else ref(c) for c, k in kinds.items()])
+    twice = df.select(hashed.alias("h")).groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    judged = with_verdict(df, hashed, key_filter(twice), "_again")
+    alone = judged.filter(~F.col("_again")).drop("_again")
+    return alone.unionByName(judged.filter("_again").drop("_again").distinct())
+
+
 def read_crimes(
     spark: SparkSession,
     paths: str | Iterable[str],

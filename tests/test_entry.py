@@ -37,18 +37,3 @@ def test_query_matches_oracle(spark, duck, name):
     out = compare(spark, duck, name, E.queries()[name], E.oracle_sql()[name], SMOKE_DIR)
     assert out["ok"], out["problems"]
     assert out["rows"] > 0
-
-
-#: Queries with SQL whose names are no report's: those of the corpus operators.
-OTHERS = sorted(set(E.oracle_sql()) - set(REPORTS))
-
-
-def test_corpus_queries_have_sql():
-    assert {"op5_license_digest", "op7_bloom_exact_dedup"} <= set(OTHERS)
-
-
-@pytest.mark.parametrize("name", OTHERS)
-def test_other_query_matches_oracle(spark, duck, name):
-    out = compare(spark, duck, name, E.queries()[name], E.oracle_sql()[name], SMOKE_DIR)
-    assert out["ok"], out["problems"]
-    assert out["rows"] > 0
