@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from blotter.llm.common import SPACE, documents, slices, span_hashes, texts_of, written
+from blotter.llm.common import SPACE, documents, slices, span_hashes, texts_of, trim, written
 from blotter.llm.tokens import _ODD, Vocabulary
 
 #: Bytes of text in a block.
@@ -400,6 +400,7 @@ def aligned(docs: DataFrame, id_col: str, text_col: str, byte_path: str, piece_p
                 held, size = [], 0
         if held:
             yield from flush(held)
+        trim()
 
     return picked.mapInArrow(run, inner)
 

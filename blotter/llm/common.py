@@ -67,6 +67,18 @@ def texts_of(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
+def trim() -> None:
+    """Gives freed memory back to the machine, at the end of a task: the worker
+    lives on beside the tasks of later stages."""
+    import ctypes
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def with_text_columns(df: DataFrame, fields: str, fn: Callable[[list[str]], list], text: str = "text") -> DataFrame:
     """``df`` with the columns of ``fields`` (DDL) added at the end, in place
     of columns with these names; ``fn`` gets the texts of some rows and returns
@@ -85,6 +97,7 @@ def with_text_columns(df: DataFrame, fields: str, fn: Callable[[list[str]], list
             columns = fn(texts_of(part.column(at)))
             new = [pa.array(c, type=f.type) for c, f in zip(columns, types)]
             yield pa.RecordBatch.from_arrays([*part.columns, *new], names=[*part.schema.names, *types.names])
+        trim()
 
     return df.mapInArrow(run, schema)
 

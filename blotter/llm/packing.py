@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blotter.llm.common import documents, slices, texts_of, written
+from blotter.llm.common import documents, slices, texts_of, trim, written
 from blotter.llm.tokens import SPLIT, PieceCache, Vocabulary, default_vocabulary
 
 MAX_LEN = 1024
@@ -163,6 +163,7 @@ def pieces(docs: DataFrame, id_col: str, text_col: str, max_len: int, end_id: in
             columns = [batch.column("id").take(pa.array(row, pa.int64())), *map(list, zip(*out))]
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, f.type) for c, f in zip(columns, types)], names=types.names)
         _library(path).forget()
+        trim()
 
     return picked.mapInArrow(run, schema)
 

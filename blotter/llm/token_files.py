@@ -30,7 +30,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from blotter.llm.common import SPACE, documents, shuffle_width, slices, texts_of, written
+from blotter.llm.common import SPACE, documents, shuffle_width, slices, texts_of, trim, written
 from blotter.llm.elias_fano import RATE, EliasFano
 from blotter.llm.tokens import PieceCache
 from blotter.session import checkpoint_dir
@@ -139,8 +139,14 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def planes(packed: bytes, width: int, back: bool = False) -> bytes:
+    """Low bytes of all ids, then the next; high bytes are alike and compress."""
+    shape = (width, -1) if back else (-1, width)
+    return np.frombuffer(packed, np.uint8).reshape(shape).T.tobytes()
+
+
 def encoded(docs: DataFrame, id_col: str, text_col: str, end_id: int, path: str) -> DataFrame:
-    """(id, own, n, width, ids): the packed ids of each row and a number of its own."""
+    """(id, own, n, width, ids): the ids of each row, packed and compressed, and a number of its own."""
     own = F.xxhash64(F.monotonically_increasing_id())
     picked = docs.select(F.col(id_col).cast("long").alias("id"), own.alias("own"), F.col(text_col).alias("text"))
 
@@ -150,12 +156,15 @@ def encoded(docs: DataFrame, id_col: str, text_col: str, end_id: int, path: str)
         encoder = _encoder(path)
         width = 2 if max(encoder.size, end_id + 1) <= 1 << 16 else 4
         end = np.array([end_id], f"<u{width}").tobytes()
+        codec = pa.Codec("zstd", compression_level=1)
         for part in slices(batches, "text"):
             packed = [ids.astype(f"<u{width}").tobytes() + end for ids in encoder(texts_of(part.column("text")))]
             n = pa.array([len(p) // width for p in packed], pa.int64())
+            packed = [codec.compress(planes(p, width), asbytes=True) for p in packed]
             columns = [part.column("id"), part.column("own"), n, pa.array([width] * len(packed), pa.int32()), pa.array(packed, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names=["id", "own", "n", "width", "ids"])
         encoder.cache.forget()
+        trim()
 
     return picked.mapInArrow(run, "id long, own long, n long, width int, ids binary")
 
@@ -211,7 +220,7 @@ def write_ids(
     columns are not read.
     """
     spark = docs.sparkSession
-    made = written(encoded(docs, id_col, text_col, end_id, vocabulary or default_vocabulary()), "ids", compression="zstd")
+    made = written(encoded(docs, id_col, text_col, end_id, vocabulary or default_vocabulary()), "ids")
     total = made.agg(F.sum("n")).first()[0] or 0
     order = [F.col("id").asc_nulls_last(), F.col("own").asc()]
     dealt = made.repartitionByRange(max(shuffle_width(spark), -(-total // ids_per_file)), *order).sortWithinPartitions(*order)
@@ -226,8 +235,10 @@ def write_ids(
             ends = np.cumsum(np.fromiter(map(len, packed), np.int64, len(packed)) // width)
             return pa.RecordBatch.from_arrays([pa.array([file_bytes(part, number, ids, ends, b"".join(packed), width)], pa.binary())], names=["value"])
 
+        codec = pa.Codec("zstd")
         for batch in batches:
             for i, n, w, p in zip(*(batch.column(c).to_pylist() for c in ("id", "n", "width", "ids"))):
+                p = planes(codec.decompress(p, n * w, asbytes=True), w, back=True)
                 if ids and held + n > ids_per_file:
                     yield file()
                     number, held, ids, packed = number + 1, 0, [], []
