@@ -11,6 +11,12 @@ Arcs of a token lead to one state wherever they start, so the table holds a
 target for each token. A copy is stored as (copied state, lost arc, time); an
 arc of a younger token exists where the arc of its left part does. Arc tests
 are kept in a transition table as they are met.
+
+A word is read byte by byte, each byte one lookup in the table of a second
+automaton, over the bytes of the labels, whose state tells which tokens end here.
+Every beginning of a word is spelled by one path too, so exactly one of them goes
+on from the state that the beginning before it leads to: it is the last token of
+the beginning, whatever follows, and nothing is undone.
 """
 
 from __future__ import annotations
@@ -24,8 +30,6 @@ from pyspark.sql import DataFrame, SparkSession
 from blotter.llm.common import documents, with_text_columns
 from blotter.llm.tokens import SPLIT, PieceCache, Vocabulary, default_vocabulary
 
-#: Lengths of labels where the next four bytes begin none that is longer.
-_SHORT = (3, 2, 1)
 #: Entries of the transition table and of the words held by a worker.
 HELD = 400_000
 
@@ -35,7 +39,7 @@ class MergeAutomaton:
         made = {w for _, _, w in vocabulary.merges}
         self.label = vocabulary.label
         self.token = {label: i for i, label in vocabulary.label.items() if len(label) == 1 or i in made}
-        self.lengths = self._lengths()
+        self._read_labels()
         self.left: dict[int, int] = {}
         self.time = dict.fromkeys(self.token.values(), -1)
         self.target = dict.fromkeys((i for label, i in self.token.items() if len(label) == 1), 0)
@@ -55,17 +59,43 @@ class MergeAutomaton:
         self.lost.append(v)
         self.since.append(time)
 
-    def _lengths(self) -> dict[bytes, tuple[int, ...]]:
-        """By the next four bytes (fewer at the end), the lengths of the labels
-        that may follow, longest first."""
-        found: dict[bytes, set[int]] = {}
-        for label in self.token:
-            found.setdefault(label[:4], set()).add(len(label))
-        for head in [*found]:
-            for k in range(1, len(head)):
-                if head[:k] in self.token:
-                    found[head].add(k)
-        return {head: tuple(sorted(sizes, reverse=True)) for head, sizes in found.items()}
+    def _read_labels(self) -> None:
+        """The automaton over bytes: ``step`` (state and byte to state; what is
+        not there yet is found by ``fall``, the state of the longest proper end)
+        and ``ending``, the tokens that end in a state with their lengths."""
+        self.step: dict[int, int] = {}
+        token_of, parent = [-1], [(0, 0)]
+        for label, t in self.token.items():
+            node = 0
+            for byte in label:
+                key = node << 8 | byte
+                node = self.step.get(key, 0)
+                if not node:
+                    node = self.step[key] = len(token_of)
+                    token_of.append(-1)
+                    parent.append((key >> 8, byte))
+            token_of[node] = t
+        own = dict(self.step)  # of the labels alone
+        depth = [0] * len(token_of)
+        for node in range(1, len(token_of)):  # a node comes after its parent
+            depth[node] = depth[parent[node][0]] + 1
+        self.fall, self.ending = [0] * len(token_of), [()] * len(token_of)
+        for node in sorted(range(1, len(token_of)), key=depth.__getitem__):
+            above, byte = parent[node]
+            at = self.fall[above] if above else -1
+            while at > 0 and (at << 8 | byte) not in own:
+                at = self.fall[at]
+            self.fall[node] = 0 if at < 0 else own.get(at << 8 | byte, 0)
+            mine = ((token_of[node], depth[node]),) if token_of[node] >= 0 else ()
+            self.ending[node] = mine + self.ending[self.fall[node]]
+        self.own = own
+
+    def _next(self, node: int, byte: int) -> int:
+        at = node
+        while at and (at << 8 | byte) not in self.own:
+            at = self.fall[at]
+        found = self.step[node << 8 | byte] = self.own.get(at << 8 | byte, 0)
+        return found
 
     def has_arc(self, state: int, token: int) -> bool:
         copied, lost, since, left, time = self.copied, self.lost, self.since, self.left, self.time
@@ -78,35 +108,28 @@ class MergeAutomaton:
         return True
 
     def encode(self, word: bytes) -> list[int]:
-        """Ids of the path that spells ``word``; longer labels are tried first."""
-        n, token, table, target, lengths = len(word), self.token, self.table, self.target, self.lengths
-        path: list[int] = []
-        at, state, below = 0, 0, n + 1
-        places: list[tuple[int, int, int]] = []
-        dead: set[tuple[int, int]] = set()
-        while at < n:
-            found = 0
-            for length in lengths.get(word[at : at + 4], _SHORT):
-                if length >= below or length > n - at:
-                    continue
-                t = token.get(word[at : at + length])
-                if t is not None:
-                    key = state << 20 | t
-                    ok = table.get(key)
-                    if ok is None:
-                        ok = table[key] = self.has_arc(state, t)
-                    if ok and (not dead or (at + length, target[t]) not in dead):
-                        found = length
-                        break
-            if found:
-                places.append((at, state, found))
-                path.append(t)
-                at, state, below = at + found, target[t], n + 1
-            else:
-                dead.add((at, state))
-                at, state, below = places.pop()
-                path.pop()
-        return path
+        """Ids of the path that spells ``word``."""
+        step, ending, table, target = self.step, self.ending, self.table, self.target
+        states, last, node = [0], [], 0
+        for byte in word:
+            known = step.get(node << 8 | byte)
+            node = self._next(node, byte) if known is None else known
+            for t, size in ending[node]:
+                state = states[-size]
+                arc = state << 20 | t
+                ok = table.get(arc)
+                if ok is None:
+                    ok = table[arc] = self.has_arc(state, t)
+                if ok:
+                    break
+            states.append(target[t])
+            last.append((t, size))
+        path, at = [], len(word)
+        while at:
+            t, size = last[at - 1]
+            path.append(t)
+            at -= size
+        return path[::-1]
 
 
 class Codec:
@@ -133,6 +156,8 @@ class Codec:
             words.clear()
         if len(self.automaton.table) > 4 * HELD:
             self.automaton.table.clear()
+        if len(self.automaton.step) > 4 * HELD:
+            self.automaton.step = dict(self.automaton.own)
         out = []
         for piece in pieces:
             parts = []
