@@ -11,6 +11,12 @@ of its distinct n-grams once, sorted by hash and packed, to the part that holds
 that range of hashes; the part sums them over all blocks and returns the counts
 in the order in which they came. A frequent n-gram is thus one entry a block,
 no n-gram is dropped, and the counts grow with the corpus.
+
+A block sends to at most ``FAN`` ranges. Beyond so many parts the way has several
+levels: a node merges one range of ``FAN`` senders, which is about what a block
+holds, and sends to ``FAN`` finer ranges; the totals come back the same way. The
+rows that are sent thus grow with the corpus (times the levels, their logarithm),
+not with blocks times parts, and no group grows.
 """
 
 from __future__ import annotations
@@ -31,9 +37,13 @@ TEST_FOLD, WEIGHT_FOLD = 1, 4
 COUNTED, WEIGHED, TEST = 0, 1, 2
 BLOCK_BYTES = 4_000_000
 PART_BYTES = 8_000_000
+#: Ranges that a block or node sends to, and senders that a node merges.
+FAN = 512
 #: One for each power of two that a long count may reach.
 BUCKETS = 64
-ROUNDS = 12
+#: Expectation-maximisation ends when a round raises the log-likelihood by no
+#: more than this share of it, or after so many rounds.
+GAIN, ROUNDS = 1e-6, 60
 #: Probabilities are rounded to so many steps an octave for the weights alone.
 GRID = 16
 _NEVER = -(10**6)
@@ -136,45 +146,111 @@ def _parts(keys: np.ndarray, parts: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
 
 
-def _ngrams(parts: int):
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        tokens = Tokens(unpack_rows(group["rows"]).column("text").to_pylist())
-        keys, count = tokens.keys, tokens.counts()
-        part = _parts(keys, parts)
-        edges = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]])
+_SENT = "node long, sender long, part long, keys binary, counted binary, weighed binary"
+_RETURNED = "sender long, part long, counted binary, weighed binary, n_counted long, n_weighed long, n_distinct long"
+
+
+class Levels:
+    """Where packed n-grams go. At level k (from 0) there are ``parts[k]`` ranges
+    of hashes, each inside one of the level before, and ``groups[k]`` groups of
+    senders; a node is a range and a group."""
+
+    def __init__(self, size: int, blocks: int):
+        want = max(1, ceil(size / PART_BYTES))
+        self.parts = [min(want, FAN)]
+        while self.parts[-1] < want:
+            self.parts.append(self.parts[-1] * min(FAN, ceil(want / self.parts[-1])))
+        self.groups = [max(1, ceil(blocks / FAN ** (k + 1))) for k in range(len(self.parts))]
+        self.groups[-1] = 1
+
+    def send(self, level: int, group: int, sender: int, keys: np.ndarray, counts: list[np.ndarray]) -> pd.DataFrame:
+        """Rows of ``_SENT`` to the nodes of a level, for sorted keys."""
+        part = _parts(keys, self.parts[level])
+        edges = np.concatenate([[0], np.flatnonzero(np.diff(part)) + 1, [len(part)]]) if len(part) else np.zeros(1, np.int64)
         rows = []
         for a, b in zip(edges, edges[1:]):
-            gaps = np.diff(keys[a:b], prepend=np.uint64(0))
-            rows.append((int(part[a]), group["block"].iloc[0], group["role"].iloc[0], pack(gaps), pack(count[a:b])))
-        return pd.DataFrame(rows, columns=["part", "block", "role", "keys", "counts"])
+            node = int(part[a]) * self.groups[level] + group // FAN if level < len(self.parts) - 1 else int(part[a])
+            rows.append((node, sender, int(part[a]), pack(np.diff(keys[a:b], prepend=np.uint64(0))), *(pack(c[a:b]) for c in counts)))
+        return pd.DataFrame(rows, columns=[f.split()[0] for f in _SENT.split(", ")])
+
+
+def _ngrams(levels: Levels):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        tokens = Tokens(unpack_rows(group["rows"]).column("text").to_pylist())
+        block, role, count = int(group["block"].iloc[0]), group["role"].iloc[0], tokens.counts()
+        return levels.send(0, block, block, tokens.keys, [count * (role == r) for r in (COUNTED, WEIGHED)])
+
+    return run
+
+
+class Merged:
+    """The sent rows that came to a node: distinct keys, and where each sender's are among them."""
+
+    def __init__(self, group: pd.DataFrame):
+        keys = [np.cumsum(unpack(k, np.uint64), dtype=np.uint64) for k in group["keys"]]
+        self.distinct, self.at = np.unique(np.concatenate(keys), return_inverse=True)
+        self.edges = np.cumsum([0, *map(len, keys)])
+        self.sender, self.part = group["sender"].to_numpy(), group["part"].to_numpy()
+
+    def total(self, packed: pd.Series) -> np.ndarray:
+        counts = np.concatenate([unpack(c, np.int64) for c in packed])
+        return np.bincount(self.at, weights=counts, minlength=len(self.distinct)).astype(np.int64)
+
+    def returned(self, totals: list[np.ndarray]) -> pd.DataFrame:
+        """Each sender's part of the totals, in its own order."""
+        out = pd.DataFrame({"sender": self.sender, "part": self.part})
+        for name, total in zip(("counted", "weighed"), totals):
+            out[name] = [pack(total[self.at[a:b]]) for a, b in zip(self.edges, self.edges[1:])]
+        return out.assign(n_counted=0, n_weighed=0, n_distinct=0)
+
+
+def _passed_on(levels: Levels, level: int):
+    """A node of ``level`` sends its merged counts to the next."""
+
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        merged, node = Merged(group), int(group["node"].iloc[0])
+        totals = [merged.total(group[c]) for c in ("counted", "weighed")]
+        return levels.send(level + 1, node % levels.groups[level], node, merged.distinct, totals)
 
     return run
 
 
 def _summed(group: pd.DataFrame) -> pd.DataFrame:
-    """The counts over all blocks, for each block in its own order."""
-    keys = [np.cumsum(unpack(k, np.uint64), dtype=np.uint64) for k in group["keys"]]
-    counts = [unpack(c, np.int64) for c in group["counts"]]
-    distinct, at = np.unique(np.concatenate(keys), return_inverse=True)
-    edges = np.cumsum([0, *map(len, keys)])
-    totals = []
-    for role in (COUNTED, WEIGHED):
-        own = [c if r == role else np.zeros_like(c) for c, r in zip(counts, group["role"])]
-        totals.append(np.bincount(at, weights=np.concatenate(own), minlength=len(distinct)).astype(np.int64))
-    is_word = (distinct & np.uint64(1)).astype(bool)
-    out = pd.DataFrame({
-        "part": group["part"].to_numpy(), "block": group["block"].to_numpy(),
-        "counted": [pack(totals[0][at[a:b]]) for a, b in zip(edges, edges[1:])],
-        "weighed": [pack(totals[1][at[a:b]]) for a, b in zip(edges, edges[1:])],
-        "n_counted": 0, "n_weighed": 0, "n_distinct": 0,
-    })
+    """The counts over all blocks, for each sender in its own order."""
+    merged = Merged(group)
+    totals = [merged.total(group[c]) for c in ("counted", "weighed")]
+    is_word = (merged.distinct & np.uint64(1)).astype(bool)
+    out = merged.returned(totals)
     out.loc[0, "n_counted"] = int(totals[0][is_word].sum())
     out.loc[0, "n_weighed"] = int(totals[1][is_word].sum())
     out.loc[0, "n_distinct"] = int(((totals[0] + totals[1])[is_word] > 0).sum())
     return out
 
 
+def _handed_down(sent: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
+    """The totals that came back to a node, for each of its senders."""
+    merged = Merged(sent)
+    counts = counts.sort_values("part")
+    return merged.returned([np.concatenate([unpack(c, np.int64) for c in counts[name]]) for name in ("counted", "weighed")])
+
+
+def corpus_counts(dealt: DataFrame, levels: Levels) -> tuple[DataFrame, tuple[int, int, int]]:
+    """(block, part, counted, weighed) for each block, and the numbers of counted
+    tokens, weighed tokens and distinct words."""
+    sent = [dealt.groupBy("block").applyInPandas(_ngrams(levels), _SENT)]
+    for level in range(len(levels.parts) - 1):
+        sent[-1] = written(sent[-1], "sent")  # merged now, and once more on the way back
+        sent.append(sent[-1].groupBy("node").applyInPandas(_passed_on(levels, level), _SENT))
+    returned = written(sent[-1].groupBy("node").applyInPandas(_summed, _RETURNED), "counts")
+    totals = returned.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_counted", "n_weighed", "n_distinct")]).first()
+    for there in sent[-2::-1]:
+        back = returned.select(F.col("sender").alias("to"), "part", "counted", "weighed")
+        returned = written(there.groupBy("node").cogroup(back.groupBy("to")).applyInPandas(_handed_down, _RETURNED), "counts")
+    return returned.select(F.col("sender").alias("block"), "part", "counted", "weighed"), tuple(map(int, totals))
+
+
 def _of_block(tokens: Tokens, counts: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The totals of a block's keys, which went to the parts in their order."""
     counts = counts.sort_values("part")
     out = tuple(np.concatenate([unpack(c, np.int64) for c in counts[name]]) for name in ("counted", "weighed"))
     if len(out[0]) != len(tokens.keys):
@@ -214,14 +290,18 @@ def learn_weights(cells: DataFrame, n_distinct: int) -> np.ndarray:
     data = written(cells.groupBy("bucket", "one", "two").agg(F.sum("n").alias("n")), "cells").select(
         "bucket", "n", value("two").alias("p0"), value("one").alias("p1"), F.lit(uniform).alias("p2")
     )
-    weights = np.full((BUCKETS, 3), 1 / 3)
+    weights, before = np.full((BUCKETS, 3), 1 / 3), None
     for _ in range(ROUNDS):
         table = F.array(*[F.array(*map(F.lit, map(float, row))) for row in weights])
         mine = F.get(table, F.col("bucket").cast("int"))
         terms = [F.get(mine, k) * F.col(f"p{k}") for k in range(3)]
         whole = terms[0] + terms[1] + terms[2]
-        sums = data.groupBy("bucket").agg(*[F.sum(F.col("n") * t / whole).alias(f"s{k}") for k, t in enumerate(terms)]).collect()
-        total = np.zeros((BUCKETS, 3))
+        likelihood = F.sum(F.col("n") * F.log(whole)).alias("likelihood")
+        sums = data.groupBy("bucket").agg(*[F.sum(F.col("n") * t / whole).alias(f"s{k}") for k, t in enumerate(terms)], likelihood).collect()
+        now = sum(r.likelihood for r in sums)
+        if before is not None and now - before <= GAIN * abs(before):
+            break
+        before, total = now, np.zeros((BUCKETS, 3))
         for r in sums:
             total[r.bucket] = [r.s0, r.s1, r.s2]
         seen = total.sum(axis=1) > 0
@@ -272,20 +352,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     blocks = {COUNTED: 3, WEIGHED: 1, TEST: 1}
     number = {r: max(1, ceil(size * share / FOLDS / BLOCK_BYTES)) for r, share in blocks.items()}
     of_role = F.when(F.col("role") == TEST, number[TEST]).when(F.col("role") == WEIGHED, number[WEIGHED]).otherwise(number[COUNTED])
-    # by id and text, so that neither copies nor null ids fill one block
-    block = F.pmod(F.xxhash64("id", "text"), of_role.cast("long")) * 3 + F.col("role")
-    dealt = pack_rows(picked.withColumn("block", block))
+    # by a number of the row too, so that neither null ids nor rows that repeat with their id fill one block
+    block = F.pmod(F.xxhash64("id", "text", "row"), of_role.cast("long")) * 3 + F.col("role")
+    numbered = picked.withColumn("row", F.monotonically_increasing_id())
+    dealt = written(pack_rows(numbered.withColumn("block", block)), "dealt")
 
-    sent = dealt.groupBy("block").applyInPandas(
-        _ngrams(max(1, ceil(size / PART_BYTES))), "part long, block long, role int, keys binary, counts binary"
-    )
-    summed = sent.groupBy("part").applyInPandas(
-        _summed, "part long, block long, counted binary, weighed binary, n_counted long, n_weighed long, n_distinct long"
-    )
-    counts = written(summed, "counts")
-    totals = counts.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("n_counted", "n_weighed", "n_distinct")]).first()
-    n_counted, n_weighed, n_distinct = map(int, totals)
-    returned = counts.select("part", "block", "counted", "weighed")
+    returned, (n_counted, n_weighed, n_distinct) = corpus_counts(dealt, Levels(size, 3 * max(number.values())))
 
     held = dealt.filter(F.col("role") == WEIGHED).groupBy("block").cogroup(
         returned.filter(F.col("block") % 3 == WEIGHED).groupBy("block")

@@ -83,6 +83,42 @@ def test_against_plain_python(spark, monkeypatch):
     compare([tuple(r) for r in docs.select("doc_id", "text").collect()], L.score_texts(docs))
 
 
+def test_levels_change_no_score(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SMOKE_DIR}/documents.parquet")
+    rows = lambda: sorted(tuple(r) for r in L.score_texts(docs).collect())
+    monkeypatch.setattr(L, "BLOCK_BYTES", 30_000)
+    want = rows()
+    monkeypatch.setattr(L, "PART_BYTES", 12_000)
+    monkeypatch.setattr(L, "FAN", 4)
+    assert len(L.Levels(250_000, 30).parts) == 3
+    for a, b in zip(want, rows()):
+        assert a[:5] == b[:5] and b[5:] == pytest.approx(a[5:], rel=1e-9)
+
+
+def test_sent_rows_grow_with_the_corpus():
+    """At most FAN rows from a block or node, and as many nodes as blocks, whatever the size."""
+    for size in (10**9, 10**12, 10**14):
+        blocks = size // L.BLOCK_BYTES * 2
+        levels = L.Levels(size, blocks)
+        assert len(levels.parts) <= 3
+        before = 1
+        for k, parts in enumerate(levels.parts):
+            assert parts <= before * L.FAN
+            assert parts * levels.groups[k] <= 2 * max(blocks, parts)
+            before = parts
+        senders = levels.groups[-2] if len(levels.groups) > 1 else blocks
+        assert levels.parts[-1] * L.PART_BYTES >= size and senders <= 4 * L.FAN
+
+
+def test_a_row_that_repeats_fills_no_block(spark, monkeypatch):
+    monkeypatch.setattr(L, "BLOCK_BYTES", 2_000)
+    rows = [(0, "the same words again")] * 900 + [(i, f"text {i}") for i in range(1, 400)]
+    seen = []
+    monkeypatch.setattr(L, "corpus_counts", lambda dealt, levels, f=L.corpus_counts: (seen.append(dealt), f(dealt, levels))[1])
+    compare(rows, L.score_texts(table(spark, rows).repartition(4)))
+    assert seen[0].filter("role <> 1").select("block").distinct().count() > 8
+
+
 def test_edges(edges, empty):
     compare(EDGES, L.score_texts(edges))
     assert L.score_texts(empty).count() == 0
