@@ -5,6 +5,8 @@
     python -m blotter street     --crimes a.csv b.csv [--text]
     python -m blotter descent    --crimes a.csv b.csv --geocode g.csv --income i.csv [--year 2015]
     python -m blotter distance   --crimes a.csv b.csv --stations s.csv [--nearest] [--by year|area]
+    python -m blotter malformed  --crimes a.csv b.csv
+    python -m blotter sql        --crimes a.csv b.csv --text "SELECT count(*) FROM {crimes} WHERE area = :area" --set area=7
 
 On a cluster: ``spark-submit bin/blotter-report.py <same arguments>``; the
 session comes from spark-submit's configuration. Only the printed rows
@@ -19,7 +21,8 @@ import sys
 from pyspark.sql import SparkSession
 
 from blotter.plans import reports as R
-from blotter.sources import read_crimes, read_lookup, read_text_fields
+from blotter.plans.catalog import Catalogue
+from blotter.sources import malformed_lines, read_crimes, read_lookup, read_text_fields
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -48,6 +51,12 @@ def _parser() -> argparse.ArgumentParser:
     s.add_argument("--year", type=int, default=2015)
     s.add_argument("--n", type=int, default=3)
     s.add_argument("--distinct-zips", action="store_true", help="count a ZIP in both lists once")
+    s.add_argument("--tolerance", type=float, help="degrees by which an incident may be off a geocoded place")
+    common("malformed", "lines whose cells don't fit their file's header (CSV)")
+    s = common("sql", "a statement over the extracts: {crimes} is a view with lower-case column names")
+    s.add_argument("--text", required=True, help="the statement; :name is an argument")
+    s.add_argument("--set", nargs="*", default=[], metavar="NAME=VALUE", help="arguments; whole numbers are numbers, the rest is text")
+    s.add_argument("--distinct", action="store_true", help="repeated rows count once")
     s = common("distance", "Q4: firearm incidents, distance to the assigned or nearest station")
     s.add_argument("--stations", required=True, help="X (lon), Y (lat), DIVISION, PREC extract")
     s.add_argument("--nearest", action="store_true", help="nearest station instead of the assigned one")
@@ -73,8 +82,15 @@ def build(spark: SparkSession, args: argparse.Namespace):
         crimes = read_crimes(spark, args.crimes, dedupe="rows", fmt=fmt)
         return R.descent_in_income_extremes(
             crimes, read_lookup(spark, args.geocode, fmt), read_lookup(spark, args.income, fmt),
-            year=args.year, n=args.n, dedupe_keys=args.distinct_zips,
+            year=args.year, n=args.n, dedupe_keys=args.distinct_zips, tolerance=args.tolerance,
         )
+    if args.report == "malformed":
+        return malformed_lines(spark, args.crimes)
+    if args.report == "sql":
+        made = Catalogue(spark)
+        made.crimes(read_crimes(spark, args.crimes, dedupe="rows" if args.distinct else None, fmt=fmt))
+        given = (pair.partition("=") for pair in args.set)
+        return made.sql(args.text, **{name: int(v) if v.lstrip("-").isdigit() else v for name, _, v in given})
     crimes = read_crimes(spark, args.crimes, dedupe=None, fmt=fmt)
     stations = read_lookup(spark, args.stations, fmt)
     if args.nearest:

@@ -15,6 +15,7 @@ def test_cli_reports(spark, write_csv, capsys):
     stations = write_csv(table_csv(["X", "Y", "FID", "DIVISION", "LOCATION", "PREC"], [[-118.25, 34.05, 1, "Central", "a", 1]]))
     geo = write_csv(table_csv(["LAT", "LON", "ZIPcode"], [[34.05, -118.24, "90001"]]))
     income = write_csv(table_csv(["Zip Code", "Community", "Estimated Median Income"], [["90001", "A", "$5"]]))
+    spoilt = write_csv("DR_NO,LAT,LON\n1,34.0\n2,34.0,-118.0")
     runs = [
         (["base", "--crimes", crimes], "rows: 1"),
         (["top-months", "--crimes", crimes, "--sql"], "TotalCrimes"),
@@ -23,6 +24,9 @@ def test_cli_reports(spark, write_csv, capsys):
         (["descent", "--crimes", crimes, "--geocode", geo, "--income", income, "--year", "2020"], "White"),
         (["distance", "--crimes", crimes, "--stations", stations, "--by", "area"], "Central"),
         (["distance", "--crimes", crimes, "--stations", stations, "--nearest"], "2020"),
+        (["descent", "--crimes", crimes, "--geocode", geo, "--income", income, "--year", "2020", "--tolerance", "0.001"], "White"),
+        (["sql", "--crimes", crimes, "--text", "SELECT area_name, lat FROM {crimes} WHERE area = :a", "--set", "a=1"], "34.05"),
+        (["malformed", "--crimes", crimes, spoilt], "few cells"),
         (["street", "--crimes", crimes, "--explain"], "PushedFilters"),
     ]
     for argv, expected in runs:
