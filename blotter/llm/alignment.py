@@ -21,6 +21,7 @@ import hashlib
 import os
 import uuid
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -34,10 +35,10 @@ from blotter.llm.tokens import _ODD, Vocabulary
 #: Bytes of text in a block.
 BLOCK_BYTES = 16_000_000
 #: Bytes of aligned segments that a worker holds, each counted with its place in the table.
-HELD_BYTES, _ENTRY = 48_000_000, 400
+HELD_BYTES, _ENTRY = 100_000_000, 400
 _MARK = "▁"
 #: Segments that are encoded as one text.
-_AT_ONCE = 256
+_AT_ONCE = 512
 
 
 def default_vocabularies() -> tuple[str, str]:
@@ -173,12 +174,17 @@ class Pair:
     def _together(self, text: str, strings: list[str], encoding, proto) -> list[tuple] | None:
         """The entries of strings with a line feed before each."""
         raw = text.encode("utf-8", "surrogatepass")
-        a, b = np.array(encoding.ids), np.array([p.id for p in proto.pieces])[1:]  # without the added space
-        if not len(b) or self.b_bytes[proto.pieces[0].id] != b" ":
+        a_ids, pieces = encoding.ids, list(proto.pieces)
+        b_ids = [p.id for p in pieces]
+        if not b_ids or self.b_bytes[b_ids.pop(0)] != b" ":  # the added space
             return None
-        if b"".join([self.a_bytes[i] for i in a.tolist()]) != raw or b"".join([self.b_bytes[i] for i in b.tolist()]) != raw:
+        if b"".join(map(self.a_bytes.__getitem__, a_ids)) != raw or b"".join(map(self.b_bytes.__getitem__, b_ids)) != raw:
             return None
-        a_span, b_span = np.array(encoding.offsets), np.array([(p.begin, p.end) for p in proto.pieces])[1:]
+        del pieces[0]
+        a, b = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
+        a_span = np.fromiter(chain.from_iterable(encoding.offsets), np.int64, 2 * len(a)).reshape(-1, 2)
+        b_span = np.empty((len(b), 2), np.int64)
+        b_span[:, 0], b_span[:, 1] = [p.begin for p in pieces], [p.end for p in pieces]
         if len(raw) != len(text):  # characters to bytes
             at = np.append(np.flatnonzero(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80), len(raw))
             a_span = at[a_span]
@@ -187,13 +193,17 @@ class Pair:
         a_end, b_end = all_ends(a_span, self.a_size[a]), all_ends(b_span, self.b_size[b])
         if a_end is None or b_end is None:
             return None
-        stop = np.cumsum([len(s.encode("utf-8", "surrogatepass")) + 1 for s in strings])
+        same = len(raw) == len(text)
+        stop = np.cumsum([len(s if same else s.encode("utf-8", "surrogatepass")) + 1 for s in strings])
         feed = np.concatenate([[1], stop[:-1] + 1])  # ends of the line feeds
         sides = []
         for ids, end, size in ((a, a_end, self.a_size[a]), (b, b_end, self.b_size[b])):
-            is_feed = (size == 1) & np.isin(end, feed)
-            if is_feed.sum() != len(strings) or not np.isin(stop, end).all():
+            # the ends ascend, as each token has a byte
+            at = np.searchsorted(end, feed)
+            if (end[np.minimum(at, len(end) - 1)] != feed).any() or (size[at] != 1).any() or (end[np.searchsorted(end, stop)] != stop).any():
                 return None
+            is_feed = np.zeros(len(end), bool)
+            is_feed[at] = True
             sides.append((ids[~is_feed], end[~is_feed]))
         (a, a_end), (b, b_end) = sides
         ends = np.intersect1d(a_end, b_end, assume_unique=True)
@@ -212,7 +222,9 @@ class Pair:
         mark = np.zeros(len(group), np.int64)  # inside one side of a group: a comma
         last = np.append(group[1:] != group[:-1], True)
         mark[last] = 1 + group[last] % 2  # after the A side a bar, after the B side a semicolon
-        mark[last & (group % 2 == 1) & np.isin(ends[group // 2], stop)] = 3
+        final = np.zeros(len(ends), bool)
+        final[np.searchsorted(ends, stop)] = True
+        mark[last & (group % 2 == 1) & final[group // 2]] = 3
         return "".join([f"{i}{m}" for i, m in zip(ids, np.array([",", "|", ";", "\n"])[mark].tolist())]).encode().split(b"\n")[:-1]
 
     def _aligned(self, s: str, spaced: bool, encoding, proto) -> tuple | None:
