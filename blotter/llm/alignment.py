@@ -163,8 +163,8 @@ class Pair:
                         out[k] = entry
         some = [strings[k] for k in alone]
         # B puts a space before a text: it stands for the one that a string begins with.
-        spaced = [s[0] == " " for s in some]
-        fed = [s if s[0].isspace() else "\n" + s for s in some]
+        spaced = [s[0] == " " and len(s) > 1 for s in some]  # an empty text would get none
+        fed = [s if own or s[0] in "\t\n\v\f\r" else "\n" + s for s, own in zip(some, spaced)]
         protos = self._protos([s[1:] if own else s for s, own in zip(fed, spaced)]) if some else []
         encodings = self.a.encode_batch(some, add_special_tokens=False) if some else []
         for k, s, own, e, p in zip(alone, some, spaced, encodings, protos):
@@ -232,7 +232,7 @@ class Pair:
         a, b = encoding.ids, [p.id for p in proto.pieces]
         b_spans = [(p.begin, p.end) for p in proto.pieces]
         if not spaced:  # the added space is a piece of its own, and a line feed fed before
-            fed = not s[0].isspace()
+            fed = s[0] not in "\t\n\v\f\r"
             if len(b) <= fed or self.b_bytes[b[0]] != b" " or fed and self.b_bytes[b[1]] != b"\n":
                 return None
             b, b_spans = b[1 + fed :], [(x - fed, y - fed) for x, y in b_spans[1 + fed :]]

@@ -82,6 +82,7 @@ ODD = [
     (20, "Zażółć  gęślą\n\n\n  jaźń\tx"), (21, "日本語のテキスト 한국어"), (22, "\U0001f600\U0001f468‍\U0001f469 ok \U000e0041"), (23, "a▁b plain"),
     (24, "<|endoftext|> <s> </s> <unk> <0x41>"), (25, "x\r\ny();\r\n{\r z \r\n"), (26, "\x0ba\x0cb \x1c c　　 d\xa0 e f  g"), (27, "it's I'll 12345 don't"),
     (28, "\n\nlead"), (29, "   "), (30, "é́́ é"), (31, "\x00 a"), (32, "tail   "), (33, "a" * 3000), (34, "é" * 700 + "\U0001f600" * 50), (35, "▁"),
+    (36, "0 "), (37, " "), (38, "a \n"), (39, "a\n "), (40, "  "), (41, "\n"), (42, "\r"), (43, "x \t y"), (44, "\u3000"), (45, "é "),
 ]
 
 
@@ -97,7 +98,7 @@ def aligner():
     return A.Aligner(A.Pair(*A.default_vocabularies()))
 
 
-@settings(max_examples=150, deadline=None)
+@settings(max_examples=600, deadline=None)
 @given(st.lists(st.text(st.one_of(st.sampled_from(" \n\t\r;){}'sé▁　\xa0aZ09"), st.characters(codec="utf-8")), max_size=30), max_size=6))
 def test_any_text(libraries, aligner, texts):
     columns, of, number, times, pairs = aligner(texts)
