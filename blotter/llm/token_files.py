@@ -1,8 +1,8 @@
 """Token ids of documents as binary files with Elias-Fano boundaries.
 
-The documents are encoded in parallel, dealt out by ranges of ascending id (rows
-that share an id by a number of their own too, so no id fills a task), and each
-task writes files of at most ``ids_per_file`` ids, or one longer document. A file
+The documents are dealt out by ranges of ascending id (rows that share an id by a
+number of their own too, so no id fills a task), and each task encodes its own and
+writes files of at most ``ids_per_file`` ids, or one longer document. A file
 holds, after a header, the ends of its documents among its ids as an Elias-Fano
 sequence, the document ids as another one, and the ids one after another, in 16
 bits if the vocabulary allows it. Spark's writer puts the bytes in the folder, so
@@ -25,6 +25,7 @@ import zlib
 from array import array
 from functools import lru_cache
 from itertools import compress
+from math import ceil
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -139,36 +140,6 @@ def _encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
-def planes(packed: bytes, width: int, back: bool = False) -> bytes:
-    """Low bytes of all ids, then the next; high bytes are alike and compress."""
-    shape = (width, -1) if back else (-1, width)
-    return np.frombuffer(packed, np.uint8).reshape(shape).T.tobytes()
-
-
-def encoded(docs: DataFrame, id_col: str, text_col: str, end_id: int, path: str) -> DataFrame:
-    """(id, own, n, width, ids): the ids of each row, packed and compressed, and a number of its own."""
-    own = F.xxhash64(F.monotonically_increasing_id())
-    picked = docs.select(F.col(id_col).cast("long").alias("id"), own.alias("own"), F.col(text_col).alias("text"))
-
-    def run(batches):
-        import pyarrow as pa
-
-        encoder = _encoder(path)
-        width = 2 if max(encoder.size, end_id + 1) <= 1 << 16 else 4
-        end = np.array([end_id], f"<u{width}").tobytes()
-        codec = pa.Codec("zstd", compression_level=1)
-        for part in slices(batches, "text"):
-            packed = [ids.astype(f"<u{width}").tobytes() + end for ids in encoder(texts_of(part.column("text")))]
-            n = pa.array([len(p) // width for p in packed], pa.int64())
-            packed = [codec.compress(planes(p, width), asbytes=True) for p in packed]
-            columns = [part.column("id"), part.column("own"), n, pa.array([width] * len(packed), pa.int32()), pa.array(packed, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "own", "n", "width", "ids"])
-        encoder.cache.forget()
-        trim()
-
-    return picked.mapInArrow(run, "id long, own long, n long, width int, ids binary")
-
-
 # ------------------------------------------------------------------ files
 
 
@@ -219,36 +190,41 @@ def write_ids(
     its end id alone. An empty table makes a folder without files of ids. Other
     columns are not read.
     """
-    spark = docs.sparkSession
-    made = written(encoded(docs, id_col, text_col, end_id, vocabulary or default_vocabulary()), "ids")
-    total = made.agg(F.sum("n")).first()[0] or 0
+    spark, path = docs.sparkSession, vocabulary or default_vocabulary()
+    own = F.xxhash64(F.monotonically_increasing_id())
+    picked = docs.select(F.col(id_col).cast("long").alias("id"), own.alias("own"), F.col(text_col).alias("text"))
+    size = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     order = [F.col("id").asc_nulls_last(), F.col("own").asc()]
-    dealt = made.repartitionByRange(max(shuffle_width(spark), -(-total // ids_per_file)), *order).sortWithinPartitions(*order)
+    # a token has some four bytes; a task with more ids writes several files
+    dealt = picked.repartitionByRange(max(shuffle_width(spark), ceil(size / 4 / ids_per_file)), *order).sortWithinPartitions(*order)
 
     def run(batches):
         import pyarrow as pa
         from pyspark import TaskContext
 
-        part, number, held, ids, packed, width = TaskContext.get().partitionId(), 0, 0, [], [], 2
+        encoder = _encoder(path)
+        width = 2 if max(encoder.size, end_id + 1) <= 1 << 16 else 4
+        end = np.array([end_id], f"<u{width}").tobytes()
+        part, number, held, ids, packed = TaskContext.get().partitionId(), 0, 0, [], []
 
         def file():
             ends = np.cumsum(np.fromiter(map(len, packed), np.int64, len(packed)) // width)
             return pa.RecordBatch.from_arrays([pa.array([file_bytes(part, number, ids, ends, b"".join(packed), width)], pa.binary())], names=["value"])
 
-        codec = pa.Codec("zstd")
-        for batch in batches:
-            for i, n, w, p in zip(*(batch.column(c).to_pylist() for c in ("id", "n", "width", "ids"))):
-                p = planes(codec.decompress(p, n * w, asbytes=True), w, back=True)
-                if ids and held + n > ids_per_file:
+        for batch in slices(batches, "text"):
+            for i, found in zip(batch.column("id").to_pylist(), encoder(texts_of(batch.column("text")))):
+                if ids and held + len(found) + 1 > ids_per_file:
                     yield file()
                     number, held, ids, packed = number + 1, 0, [], []
-                held, width = held + n, w
+                held += len(found) + 1
                 ids.append(i)
-                packed.append(p)
+                packed.append(found.astype(f"<u{width}").tobytes() + end)
         if ids:
             yield file()
+        encoder.cache.forget()
+        trim()
 
-    files = dealt.select("id", "n", "width", "ids").mapInArrow(run, "value binary")
+    files = dealt.select("id", "text").mapInArrow(run, "value binary")
     # the cast takes the bytes as they are; the writer puts one row in a file, and a line feed after it
     files.select(F.col("value").cast("string").alias("value")).write.option("maxRecordsPerFile", 1).text(folder)
 
