@@ -11,15 +11,16 @@ of sites and points:
   location (the smallest key wins there); both aggregates collapse hot places
   map-side;
 - locations are bucketed into cubes of the unit-sphere embedding, on a fixed
-  ladder of edges, each an eighth of the one above; a cube carries one of its
-  locations, its representative;
+  ladder of edges, each an eighth of the one above; a cube carries the cell of
+  one of its locations, its representative;
 - the cubes of the top level, a number bounded by geometry, are compared with
   each other: for each of them, the cubes that may hold the nearest location of
   any place in it. A place joins those of its own cube;
-- then it descends: at each level it keeps the cubes whose near side is no
-  farther than the nearest representative of any, joins their children, and in
-  the last level's cubes meets the locations themselves. A place that is down
-  to one cube carries one row;
+- then it descends: at each level it joins the children of a cube, one array,
+  and keeps those whose near side is no farther than the nearest representative:
+  of this cube's children before anything is shuffled by place, of all the place's
+  cubes after it. In the last level's cubes it meets the locations themselves, those
+  no farther than that. A place that is down to one cube carries one row;
 - the answer joins back to the points on the coordinates, null-safe.
 
 A far point thus keeps only the cubes on the near rim of a cluster, and a dense
@@ -43,9 +44,12 @@ from pyspark.sql import functions as F
 from blotter.functions.geo import EARTH_RADIUS_KM, haversine_km, haversine_term, km_of_haversine
 from blotter.functions.typed import ref
 
-# Edges of the cubes, in radii: 1593 km down to 389 m. Powers of two keep the
+# Edges of the cubes, in radii: 1593 km down to 49 m. Powers of two keep the
 # bucketing exact, so a cube's parent holds it.
-_EDGES = tuple(2.0 ** -(2 + 3 * k) for k in range(5))
+_EDGES = tuple(2.0 ** -(2 + 3 * k) for k in range(6))
+# Edge of the cells that number places (12 m), and the bits of a number for each
+# axis, whose middle is the centre of the sphere.
+_CELL, _BITS, _HALF = 2.0**-19, 21, 2**20
 # Estimated size of the locations up to which they are one array in the plan.
 FOLD_BYTES = 32_768
 # Slack of the pruning test (squared chords), far above rounding error.
@@ -130,7 +134,8 @@ def nearest_site(
         return _expand(found, key_out, site_cols, distance_col)
     lat, lon = ref(point_lat).cast("double"), ref(point_lon).cast("double")
     places = points.select(lat.alias("_plat"), lon.alias("_plon")).filter("_plat is not null and _plon is not null").distinct()
-    best = _nearest_by_descent(places, locations, max_km, radius)
+    spots = sites.select(ref(site_lat).cast("double").alias("_lat"), ref(site_lon).cast("double").alias("_lon"))
+    best = _nearest_by_descent(places, locations, max_km, radius, spots.filter("_lat is not null and _lon is not null"))
     joined = points.join(best, lat.eqNullSafe(F.col("_plat")) & lon.eqNullSafe(F.col("_plon")), "left").drop("_plat", "_plon")
     return _expand(joined, key_out, site_cols, distance_col)
 
@@ -190,45 +195,67 @@ def _unit_xyz(lat: str, lon: str, names: str) -> list[str]:
     ]
 
 
-def _cube(names: str, edge: float) -> str:
-    """Number of the cube that holds a point, unique within its level."""
-    x, y, z = (f"(CAST(floor({n} / {edge!r}D) AS BIGINT) + {2**20})" for n in names.split())
-    return f"({x} * {2**21} + {y}) * {2**21} + {z}"
+def _cell(names: str) -> str:
+    """Number of the place's cell, the smallest of all cubes. A cube at a level
+    is the cells that agree in the upper bits of each axis."""
+    x, y, z = (f"({_HALF} + floor({n} * {1 / _CELL!r}D))" for n in names.split())
+    return f"if(isnan({names.split()[1]}), 0L, ({x} * {2**_BITS} + {y}) * {2**_BITS} + {z})"
 
 
-def _levels(locations: DataFrame) -> list[DataFrame]:
-    """For each edge the cubes that hold locations: ``parent`` (the cube above),
-    ``cube``, its corner (``cx cy cz``) and the place of one of its locations,
-    its representative (``rx ry rz``)."""
-    out = []
-    for above, edge in zip((None, *_EDGES), _EDGES):
-        held = locations.groupBy(F.expr(_cube("x y z", edge)).alias("cube")).agg(F.expr("min(struct(x, y, z)) AS r"))
-        corner = [f"floor(r.{n} / {edge!r}D) * {edge!r}D AS c{n}" for n in "xyz"]
-        parent = _cube("r.x r.y r.z", above) if above else "0"
-        out.append(held.selectExpr(f"{parent} AS parent", "cube", *corner, *[f"r.{n} AS r{n}" for n in "xyz"]))
-    return out
+def _cube(cell: str, edge: float) -> str:
+    """Number of the cube around a cell: the cell at its corner."""
+    axis = 2**_BITS - int(edge / _CELL)
+    return f"({cell} & {axis << 2 * _BITS | axis << _BITS | axis}L)"
+
 
+def _corner(cell: str) -> list[str]:
+    return [f"(((shiftright({cell}, {_BITS * k}) & {2**_BITS - 1}L) - {_HALF}) * {_CELL!r}D)" for k in (2, 1, 0)]
 
-def _front(rows: DataFrame, keys: Sequence[str], low: str, high: str, far: float, kept: Sequence[str]) -> DataFrame:
-    """The ``rows`` whose lower bound (a squared chord) is no more than the least
-    upper bound among their ``keys``, nor than ``far``. The least is a window's,
-    so no condition on it can be moved below what computes the bounds."""
-    bounds = rows.selectExpr(*keys, *kept, f"{low} AS low", f"{high} AS high")
-    by = ", ".join(keys)
-    limited = bounds.selectExpr("*", f"min(high) OVER (PARTITION BY {by}) * {1 + _SLACK!r}D + {_LEAST!r}D AS most")
-    return limited.filter(f"low <= most AND low <= {far!r}D").select(*keys, *kept)
+
+def _levels(spots: DataFrame) -> list[DataFrame]:
+    """For each edge the cubes that hold locations (``cell``), by the cube above
+    (``parent``; none above the top): of each cube one cell that holds a location,
+    its representative, with its middle (``x y z``), as ``reps``. Each level is
+    made from the one below."""
+    middle = ", ".join(f"{c} + {_CELL / 2!r}D AS {n}" for n, c in zip("xyz", _corner("c")))
+    cells = spots.groupBy(F.expr(_cube("cell", _EDGES[-1])).alias("cube")).agg(F.min("cell").alias("cell"))
+    out = []
+    for above in reversed(_EDGES[:-1]):
+        held = cells.groupBy(F.expr(_cube("cell", above)).alias("parent")).agg(F.collect_list("cell").alias("reps"))
+        held = held.filter("parent IS NOT NULL")  # as the join infers it: one shuffle serves both uses
+        out.append(held.selectExpr("parent", f"transform(reps, c -> struct(c AS cell, {middle})) AS reps"))
+        cells = held.select(F.array_min("reps").alias("cell"))
+    return [cells, *reversed(out)]
 
 
 def _squares(terms: Sequence[str]) -> str:
     return " + ".join(f"pow({t}, 2D)" for t in terms)
 
 
-def _nearest_by_descent(places: DataFrame, locations: DataFrame, max_km, radius: float) -> DataFrame:
-    """``_plat``, ``_plon`` → ``_best`` for the places with a location in range."""
+def _near(cube: str, edge: float) -> str:
+    """Lower bound of the squared chord between a place and those in a cube."""
+    return _squares([f"greatest(0D, {c} - p{n}, p{n} - {c} - {edge!r}D)" for n, c in zip("xyz", _corner(cube))])
+
+
+def _closer(rows: DataFrame, kept: Sequence[str], edge: float) -> DataFrame:
+    """The cubes of ``reps`` (as ``cube``) whose lower bound is no more than
+    ``most``, nor than the least upper bound among them, which becomes ``most``.
+    It is computed below the explode, once for each row."""
+    least = f"array_min(transform(reps, r -> {_squares([f'r.{n} - p{n}' for n in 'xyz'])}))"
+    high = f"pow(sqrt({least}) + {_CELL * math.sqrt(0.75)!r}D, 2D) * {1 + _SLACK!r}D + {_LEAST!r}D"
+    bounded = rows.selectExpr(*kept, "reps.cell AS cells", f"least(most, {high}) AS most")
+    cubes = bounded.selectExpr(*kept, "most", "explode_outer(cells) AS cell").selectExpr(*kept, "most", f"{_cube('cell', edge)} AS cube")
+    return cubes.filter(f"{_near('cube', edge)} <= most")
+
+
+def _nearest_by_descent(places: DataFrame, locations: DataFrame, max_km, radius: float, spots: DataFrame | None = None) -> DataFrame:
+    """``_plat``, ``_plon`` → ``_best`` for the places with a location in range.
+    ``spots`` are the places of the locations, repeated or not: the cubes are
+    found from them, so the locations themselves are shuffled once."""
     far = 4.0 if max_km is None else (2.0 * math.sin(min(max_km / (2.0 * radius), math.pi / 2))) ** 2
     far = far * (1 + _SLACK) + _LEAST
-    located = locations.selectExpr("_site", "_lat", "_lon", *_unit_xyz("_lat", "_lon", "x y z"))
-    levels = _levels(located)
+    spots = locations if spots is None else spots
+    levels = _levels(spots.selectExpr(*_unit_xyz("_lat", "_lon", "x y z")).selectExpr(f"{_cell('x y z')} AS cell"))
 
     # Pairs of top cubes: all those that meet the sphere (indices -1/edge to
     # 1/edge) with those that hold locations, both bounded by geometry.
@@ -236,25 +263,31 @@ def _nearest_by_descent(places: DataFrame, locations: DataFrame, max_km, radius:
     homes = locations.sparkSession.range(side**3).selectExpr(
         *[f"(id div {side**i} % {side} - {int(1 / top)}) * {top!r}D AS h{n}" for i, n in enumerate("xyz")]
     )
-    gap = _squares([f"greatest(0D, abs(c{n} - h{n}) - {top!r}D)" for n in "xyz"])
-    reach = _squares([f"greatest(abs(r{n} - h{n}), abs(r{n} - h{n} - {top!r}D))" for n in "xyz"])
-    corners = [f"{a}{n}" for a in "cr" for n in "xyz"]
-    pairs = homes.join(F.broadcast(levels[0]), F.expr(f"{gap} <= {far!r}D"))
-    pairs = _front(pairs, ["hx", "hy", "hz"], gap, reach, far, ["cube", *corners])
-    home = pairs.selectExpr(f"{_cube('hx hy hz', top)} AS home", "cube", *corners)
+    gap = _squares([f"greatest(0D, abs({c} - h{n}) - {top!r}D)" for n, c in zip("xyz", _corner(_cube("cell", top)))])
+    reach = _squares([f"greatest(abs({c} + {_CELL!r}D - h{n}), abs({c} - h{n} - {top!r}D))" for n, c in zip("xyz", _corner("cell"))])
+    pairs = homes.join(F.broadcast(levels[0]), F.expr(f"{gap} <= {far!r}D")).selectExpr(f"{_cell('hx hy hz')} AS home", "cell", f"{gap} AS low", f"{reach} AS high")
+    # the least is a window's, so no condition on it can be moved below what computes the bounds
+    pairs = pairs.selectExpr("*", f"least(min(high) OVER (PARTITION BY home) * {1 + _SLACK!r}D + {_LEAST!r}D, {far!r}D) AS most")
+    middle = ", ".join(f"{c} + {_CELL / 2!r}D AS {n}" for n, c in zip("xyz", _corner("cell")))
+    home = pairs.filter("low <= most").groupBy("home").agg(F.expr(f"collect_list(struct(cell, {middle})) AS reps"))
 
     place = ["_plat", "_plon"]
-    at = places.selectExpr("_plat", "_plon", *_unit_xyz("_plat", "_plon", "px py pz"))
-    rows = at.selectExpr("*", f"{_cube('px py pz', top)} AS home").join(F.broadcast(home), "home")
-    for k, edge in enumerate(_EDGES):
-        if k:
-            rows = rows.withColumnRenamed("cube", "parent").join(levels[k], "parent")
-        near = _squares([f"greatest(0D, c{n} - p{n}, p{n} - c{n} - {edge!r}D)" for n in "xyz"])
-        rows = _front(rows, place, near, _squares([f"r{n} - p{n}" for n in "xyz"]), far, ["px", "py", "pz", "cube"])
-    met = rows.join(located.selectExpr(f"{_cube('x y z', _EDGES[-1])} AS cube", "_site", "_lat", "_lon"), "cube")
+    kept = [*place, "px", "py", "pz"]
+    at = places.selectExpr("_plat", "_plon", *_unit_xyz("_plat", "_plon", "px py pz"), f"{far!r}D AS most")
+    rows = at.selectExpr("*", f"{_cube(_cell('px py pz'), top)} AS home").join(F.broadcast(home), "home")
+    rows = _closer(rows, kept, top)
+    for edge, level in zip(_EDGES[1:], levels[1:]):
+        rows = _closer(rows.withColumnRenamed("cube", "parent").join(level, "parent"), kept, edge)
+        # the bound of all cubes of the place
+        rows = rows.selectExpr(*kept, "cube", "min(most) OVER (PARTITION BY _plat, _plon) AS most").filter(f"{_near('cube', edge)} <= most")
+    located = locations.selectExpr("_site", "_lat", "_lon", *_unit_xyz("_lat", "_lon", "x y z"))
+    located = located.selectExpr("_site", "_lat", "_lon", f"{_cube(_cell('x y z'), _EDGES[-1])} AS cube")
+    met = rows.join(located, "cube")
     phi, lam, pphi, plam = (F.radians(F.col(c)) for c in ("_lat", "_lon", "_plat", "_plon"))
     a = haversine_term(phi - pphi, lam - plam, F.cos(pphi), F.cos(phi))
-    best = met.groupBy("_plat", "_plon").agg(F.min(F.struct(a.alias("a"), F.col("_site").alias("site"))).alias("w"))
+    # a squared chord is four times the haversine term
+    met = met.withColumn("a", a).filter(4 * F.col("a") <= F.col("most"))
+    best = met.groupBy("_plat", "_plon").agg(F.min(F.struct("a", F.col("_site").alias("site"))).alias("w"))
     d = km_of_haversine(F.col("w.a"), radius)
     found = best.select("_plat", "_plon", F.struct(d.alias("d"), F.col("w.site").alias("site")).alias("_best"))
     return found if max_km is None else found.filter(F.col("_best.d") < max_km)

@@ -191,3 +191,27 @@ def test_search_parameter(spark):
         assert {r.pid: r.k for r in got.collect()} == {1: 1, 2: None, 3: None}
     with pytest.raises(ValueError):
         nearest_site(pdf, sdf, "lat", "lon", "k", "y", "x", search="other")
+
+
+def _most_shuffled(node):
+    """Rows of the largest shuffle of an executed plan."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return _most_shuffled(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return _most_shuffled(node.plan())
+    own = node.metrics().apply("shuffleRecordsWritten").value() if kind == "ShuffleExchangeExec" else 0
+    children = node.children()
+    return max(own, *(_most_shuffled(children.apply(i)) for i in range(children.size())), 0)
+
+
+def test_cubes_are_cut_before_they_are_shuffled_by_place(spark):
+    """A place between many far locations shuffles few of the cubes that hold them."""
+    sites = spark.range(30000).selectExpr("id as k", "-69.7 + (id * 10 % 1381) * 0.1D as y", "-179.5 + (id * 70 % 3583) * 0.1D as x")
+    points = spark.range(12000).selectExpr("id as pid", "-70.0 + (id * 5 % 1399) * 0.1D as lat", "-179.0 + (id * 65 % 3571) * 0.1D as lon")
+    got = nearest_site(points, sites, "lat", "lon", "k", "y", "x", search="descent")
+    found = {r.pid: None if r.k is None else (r.k, r.distance) for r in got.collect()}
+    plan = got._jdf.queryExecution().executedPlan()
+    assert _most_shuffled(plan) < 150_000
+    rows = [tuple(r) for r in points.limit(10).collect()]
+    _assert_same({p: found[p] for p, *_ in rows}, brute(rows, [tuple(r) for r in sites.collect()], 1000.0))
