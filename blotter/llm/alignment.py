@@ -276,21 +276,34 @@ def _pair(byte_path: str, piece_path: str) -> Pair:
 
 
 class Aligner:
-    """Aligns texts by their distinct segments, which a worker holds by hash."""
+    """Aligns texts by their distinct segments, which a worker holds by hash: those
+    seen lately, and as many seen before them, which go unless they are seen again."""
 
     def __init__(self, pair: Pair):
-        self.pair, self.known, self.held = pair, {}, 0
+        self.pair, self.known, self.older, self.held = pair, {}, {}, 0
 
     def _entries(self, keys: list[int], string) -> list[tuple | None]:
-        if self.held > HELD_BYTES:
-            self.known, self.held = {}, 0
-        new = [k for k, key in enumerate(keys) if key not in self.known]
+        if self.held > HELD_BYTES // 2:
+            self.known, self.older, self.held = {}, self.known, 0
+        known, older, new = self.known, self.older, []
+        for k, key in enumerate(keys):
+            if key in known:
+                continue
+            if key in older:
+                known[key] = older.pop(key)
+                self.held += self._size(known[key])
+            else:
+                new.append(k)
         for at in range(0, len(new), 4096):
             some = new[at : at + 4096]
             for k, entry in zip(some, self.pair.align([string(k) for k in some])):
-                self.known[keys[k]] = entry
-                self.held += _ENTRY + (len(entry[0]) + len(entry[4]) if entry else 0)
-        return [self.known[k] for k in keys]
+                known[keys[k]] = entry
+                self.held += self._size(entry)
+        return [known[k] for k in keys]
+
+    @staticmethod
+    def _size(entry: tuple | None) -> int:
+        return _ENTRY + (len(entry[0]) + len(entry[4]) if entry else 0)
 
     def segments(self, blobs: list[bytes], odd: list[bool]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The bytes of some texts, and start, end and text of their segments.
@@ -364,6 +377,12 @@ class Aligner:
         return columns, text[of], number, total, pairs
 
 
+@lru_cache(maxsize=1)
+def _aligner(byte_path: str, piece_path: str) -> Aligner:
+    """One for all tasks of a worker: what one has aligned, the next need not."""
+    return Aligner(_pair(byte_path, piece_path))
+
+
 _DOC = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 _INNER = f"block string, id {{id}}, {_DOC}, pairs array<int>, times array<int>, keys array<long>, docs array<int>"
 
@@ -380,7 +399,7 @@ def aligned(docs: DataFrame, id_col: str, text_col: str, byte_path: str, piece_p
         from pyspark.sql.pandas.types import to_arrow_schema
 
         types = to_arrow_schema(inner)
-        aligner = Aligner(_pair(byte_path, piece_path))
+        aligner = _aligner(byte_path, piece_path)
 
         def lists(of: np.ndarray, values: np.ndarray, n: int) -> pa.Array:
             return pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(n + 1)).astype(np.int32)), pa.array(values.astype(np.int32)))

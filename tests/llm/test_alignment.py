@@ -144,3 +144,21 @@ def test_all_ends_agree(parts):
         spans += [(at, at)] * extra + [(at, stop)]
         at = stop
     assert A.all_ends(np.array(spans), np.array(sizes)).tolist() == A.token_ends(spans, sizes) == np.cumsum(sizes).tolist()
+
+
+def test_segments_seen_again_are_not_aligned_again(monkeypatch):
+    """A full table drops what was not seen lately, not what every text holds."""
+    monkeypatch.setattr(A, "HELD_BYTES", 400_000)
+    pair = A._pair(*A.default_vocabularies())
+    aligner, fed = A.Aligner(pair), []
+    align = pair.align
+    monkeypatch.setattr(pair, "align", lambda strings: fed.extend(strings) or align(strings))
+    texts = [" ".join(["of the", *(f"q{t}x{w}z" for w in range(300))]) for t in range(12)]
+    got = [aligner([t])[0]["groups_sha256"] for t in texts]
+    assert fed.count(" of") == 1 and aligner.held < 800_000
+    assert got == [A.Aligner(pair)([t])[0]["groups_sha256"] for t in texts]
+
+
+def test_tasks_of_a_worker_share_their_segments():
+    paths = A.default_vocabularies()
+    assert A._aligner(*paths) is A._aligner(*paths)
